@@ -21,8 +21,6 @@ from docsink.operators.effects import (
     fold_bulks,
 )
 
-_BASE = "base:"
-
 
 def apply_deletes(base: DataFrame, keys: DataFrame) -> DataFrame:
     """Remove documents by key; unknown keys are ignored (A1)."""
@@ -91,11 +89,11 @@ def apply_effects(
                 f"and {field.dataType.simpleString()} in the changes"
             )
 
-    left = base.select(F.col("_key").alias(_BASE + "_key"), *[F.col(quote(n)).alias(_BASE + n) for n in stored])
+    left = base.selectExpr(*[f"{quote(n)} as {_base(n)}" for n in ("_key", *stored)])
     if not small_effects:
-        return _after(left.join(effects, _base("_key") == F.col("_key"), "full_outer"), stored, attributes)
+        return _after(left.join(effects, F.expr(f"{_base('_key')} = _key"), "full_outer"), stored, attributes)
 
-    kept = _after(left.join(F.broadcast(effects), _base("_key") == F.col("_key"), "left"), stored, attributes)
+    kept = _after(left.join(F.broadcast(effects), F.expr(f"{_base('_key')} = _key"), "left"), stored, attributes)
     found = base.select("_key").join(F.broadcast(effects.select("_key")), "_key", "left_semi")
     new = _new_documents(effects.join(found, "_key", "left_anti"), attributes)
     return kept.unionByName(new, allowMissingColumns=True)
@@ -103,24 +101,33 @@ def apply_effects(
 
 def _after(joined: DataFrame, stored: dict[str, T.DataType], attributes: list[T.StructField]) -> DataFrame:
     """Documents after the effects, from rows with both the stored and the effect columns."""
-    in_base, hit = _base("_key").isNotNull(), F.col("_key").isNotNull()
-    survives = in_base & ~F.coalesce("reset", F.lit(False))
-    written = F.col("put").isNotNull()
+    survives = f"({_base('_key')} is not null and not coalesce(reset, false))"
 
     def attribute(field: T.StructField) -> Column:
-        dtype = field.dataType
-        old = _base(field.name) if field.name in stored else F.lit(None).cast(dtype)
-        new = F.col("put")[field.name]
-        if mergeable(dtype):
-            new = lower(merge(lift(old, dtype, F.lit(True)), new, dtype), dtype)
-        return F.when(survives & ~written, old).when(survives, new).otherwise(_fresh(field))
+        dtype, name = field.dataType, quote(field.name)
+        old = _base(field.name) if field.name in stored else "null"
+        if not mergeable(dtype):
+            return F.expr(
+                f"case when {survives} then if(put is null, {old}, put.{name}) "
+                f"else coalesce(add, put).{name} end as {name}"
+            )
+        old = F.expr(old).cast(dtype)
+        patched = lower(merge(lift(old, dtype, F.lit(True)), F.expr(f"put.{name}"), dtype), dtype)
+        return (
+            F.when(F.expr(f"{survives} and put is null"), old)
+            .when(F.expr(survives), patched)
+            .otherwise(_fresh(field))
+            .alias(field.name)
+        )
 
     only_in_base = [n for n in stored if n not in {f.name for f in attributes}]
-    keeps_rest = survives & ~F.coalesce("replaced", F.lit(False))
-    return joined.where(~hit | survives | F.col("present")).select(
-        F.coalesce(F.col("_key"), _base("_key")).alias("_key"),
-        *[attribute(f).alias(f.name) for f in attributes],
-        *[F.when(keeps_rest, _base(n)).alias(n) for n in only_in_base],
+    return joined.where(f"_key is null or {survives} or present").select(
+        F.expr(f"coalesce(_key, {_base('_key')}) as _key"),
+        *[attribute(f) for f in attributes],
+        *[
+            F.expr(f"if({survives} and not coalesce(replaced, false), {_base(n)}, null) as {quote(n)}")
+            for n in only_in_base
+        ],
     )
 
 
@@ -130,11 +137,11 @@ def _new_documents(effects: DataFrame, attributes: list[T.StructField]) -> DataF
 
 def _fresh(field: T.StructField) -> Column:
     """Attribute of the document that results when the key did not exist."""
-    return lower(F.coalesce("add", "put")[field.name], field.dataType)
+    return lower(F.expr(f"coalesce(add, put).{quote(field.name)}"), field.dataType)
 
 
-def _base(name: str) -> Column:
-    return F.col(quote(_BASE + name))
+def _base(name: str) -> str:
+    return quote(f"base:{name}")
 
 
 def _effects(docs: DataFrame, action: str) -> DataFrame:

@@ -20,6 +20,12 @@ NET_INSERT = "I"
 NET_REPLACE = "R"
 NET_UPSERT = "U"
 
+NET_ACTION = f"""
+case when op = '{DELETE}' then '{NET_DELETE}'
+     when n > 1 and op in ('{INSERT}', '{UPDATE_AFTER}') then '{NET_UPSERT}'
+     when op = '{INSERT}' then '{NET_INSERT}'
+     when op = '{UPDATE_AFTER}' then '{NET_REPLACE}' end"""
+
 
 def bulk_sizes(changes: DataFrame, flush_size: int, by: Sequence[str] = ("bulk_id",)) -> DataFrame:
     """Changes per bulk and whether the bulk is full."""
@@ -35,19 +41,13 @@ def bulk_groups(changes: DataFrame, by: Sequence[str] = ("_key", "bulk_id")) ->
     ``max_by`` keeps one row per group on the map side, so a key with millions
     of changes in a bulk costs one row per map task in the shuffle.
     """
-    return (
-        changes.groupBy(*by)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max_by(F.struct("op", "doc"), "seq").alias("_last"),
-        )
-        .select(*by, "n", F.col("_last.op").alias("op"), F.col("_last.doc").alias("doc"))
-    )
+    grouped = changes.groupBy(*by).agg(F.expr("count(1) as n"), F.expr("max_by(struct(op, doc), seq) as _last"))
+    return grouped.selectExpr(*by, "n", "_last.op as op", "_last.doc as doc")
 
 
 def bulk_singles(groups: DataFrame) -> DataFrame:
     """Keys changed exactly once in their bulk (C4)."""
-    return groups.where(F.col("n") == 1)
+    return groups.where("n = 1")
 
 
 def bulk_groups_ending(groups: DataFrame, op: str) -> DataFrame:
@@ -57,40 +57,29 @@ def bulk_groups_ending(groups: DataFrame, op: str) -> DataFrame:
 
 def net_actions(groups: DataFrame) -> DataFrame:
     """Groups with their net action; keys without one are dropped (C11)."""
-    return _with_action(groups).where(F.col("action").isNotNull())
+    return groups.where(f"{NET_ACTION} is not null").selectExpr("*", f"{NET_ACTION} as action")
 
 
 def bulk_dropped(groups: DataFrame) -> DataFrame:
     """Groups without a net action: they end in update-before or an unknown kind."""
-    return _with_action(groups).where(F.col("action").isNull()).drop("action")
+    return groups.where(f"{NET_ACTION} is null")
 
 
 def bulk_inserts(groups: DataFrame) -> DataFrame:
     """Documents to insert."""
-    return bulk_singles(groups).where(F.col("op") == INSERT)
+    return groups.where(f"n = 1 and op = '{INSERT}'")
 
 
 def bulk_updates(groups: DataFrame) -> DataFrame:
     """Documents to replace."""
-    return bulk_singles(groups).where(F.col("op") == UPDATE_AFTER)
+    return groups.where(f"n = 1 and op = '{UPDATE_AFTER}'")
 
 
 def bulk_deletes(groups: DataFrame) -> DataFrame:
     """Keys to delete, whether the delete came alone or last."""
-    return groups.where(F.col("op") == DELETE).drop("doc")
+    return groups.where(f"op = '{DELETE}'").drop("doc")
 
 
 def bulk_upserts(groups: DataFrame) -> DataFrame:
     """Documents to upsert."""
-    return groups.where((F.col("n") > 1) & F.col("op").isin(INSERT, UPDATE_AFTER))
-
-
-def _with_action(groups: DataFrame) -> DataFrame:
-    op, single = F.col("op"), F.col("n") == 1
-    return groups.withColumn(
-        "action",
-        F.when(op == DELETE, NET_DELETE)
-        .when(op.isin(INSERT, UPDATE_AFTER) & ~single, NET_UPSERT)
-        .when(op == INSERT, NET_INSERT)
-        .when(op == UPDATE_AFTER, NET_REPLACE),
-    )
+    return groups.where(f"n > 1 and op in ('{INSERT}', '{UPDATE_AFTER}')")

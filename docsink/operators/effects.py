@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +33,7 @@ from docsink.operators.bulks import (
     bulk_groups,
     net_actions,
 )
+from docsink.operators.changelog import DELETE
 
 EFFECT_COLUMNS = ("reset", "present", "add", "put", "replaced")
 
@@ -48,48 +49,56 @@ def merging_fields(doc: T.StructType) -> list[T.StructField]:
 
 def effects_of_actions(net: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Each net action as an effect, ``(_key, <carry...>, <effect columns>)``."""
-    action = F.col("action")
     doc_type = net.schema["doc"].dataType
-    written = F.when(action.isin(NET_REPLACE, NET_UPSERT), _lifted(F.col("doc"), doc_type, action == NET_REPLACE))
-    # With merging attributes the outcome over nothing and over an existing
-    # document differ, so an upsert needs both; otherwise one copy is enough.
-    added = (NET_INSERT, NET_UPSERT) if merging_fields(doc_type) else (NET_INSERT,)
-    return net.select(
+    if not merging_fields(doc_type):
+        # One copy of the document is enough: an upsert leaves ``add`` to ``put``.
+        add = f"if(action = '{NET_INSERT}', doc, null)"
+        put = f"if(action in ('{NET_REPLACE}', '{NET_UPSERT}'), doc, null)"
+    else:
+        # Merged over nothing and over an existing document, an upsert differs.
+        net = net.withColumns(
+            {
+                "_add": _lifted(F.col("doc"), doc_type, F.lit(True)),
+                "_put": _lifted(F.col("doc"), doc_type, F.col("action") == NET_REPLACE),
+            }
+        )
+        add = f"if(action in ('{NET_INSERT}', '{NET_UPSERT}'), _add, null)"
+        put = f"if(action in ('{NET_REPLACE}', '{NET_UPSERT}'), _put, null)"
+    return net.selectExpr(
         "_key",
         *carry,
-        (action == NET_DELETE).alias("reset"),
-        action.isin(NET_INSERT, NET_UPSERT).alias("present"),
-        F.when(action.isin(*added), _lifted(F.col("doc"), doc_type, F.lit(True))).alias("add"),
-        written.alias("put"),
-        (action == NET_REPLACE).alias("replaced"),
+        f"action = '{NET_DELETE}' as reset",
+        f"action in ('{NET_INSERT}', '{NET_UPSERT}') as present",
+        f"{add} as add",
+        f"{put} as put",
+        f"action = '{NET_REPLACE}' as replaced",
     )
 
 
 def effects_of_last_writes(changes: DataFrame) -> DataFrame:
     """Last write wins as effects: the last change of a key decides alone."""
     doc_type = changes.schema["doc"].dataType
-    last = changes.groupBy("_key").agg(F.max_by(F.struct("op", "doc"), "seq").alias("_last"))
-    exists = F.col("_last.op") != "-D"
-    doc = _lifted(F.col("_last.doc"), doc_type, F.lit(True))
-    return last.select(
+    last = changes.groupBy("_key").agg(F.expr("max_by(struct(op, doc), seq) as _last"))
+    if merging_fields(doc_type):
+        last = last.withColumn("_doc", _lifted(F.col("_last.doc"), doc_type, F.lit(True)))
+    else:
+        last = last.selectExpr("*", "_last.doc as _doc")
+    return last.selectExpr(
         "_key",
-        F.lit(True).alias("reset"),
-        exists.alias("present"),
-        F.when(exists, doc).alias("add"),
-        F.when(F.lit(False), doc).alias("put"),
-        F.lit(False).alias("replaced"),
+        "true as reset",
+        f"_last.op <> '{DELETE}' as present",
+        f"if(_last.op <> '{DELETE}', _doc, null) as add",
+        "if(false, _doc, null) as put",
+        "false as replaced",
     )
 
 
 def fold_effects(effects: DataFrame, keys: Sequence[str], order: str, doc_type: T.StructType) -> DataFrame:
     """Combine the effects of each group, in ``order``, into one."""
     # Nothing before the last reset matters.
-    group = Window.partitionBy(*keys)
-    live = (
-        effects.withColumn("_cut", F.max(F.when(F.col("reset"), F.col(order))).over(group))
-        .where(F.col("_cut").isNull() | (F.col(order) >= F.col("_cut")))
-        .drop("_cut")
-    )
+    live = effects.selectExpr(
+        "*", f"max(if(reset, {order}, null)) over (partition by {', '.join(keys)}) as _cut"
+    ).where(f"_cut is null or {order} >= _cut")
     if merging_fields(doc_type):
         return _fold_merging(live, keys, order, doc_type)
     return _fold_plain(live, keys, order)
@@ -107,9 +116,8 @@ def fold_bulks(
     first, which costs a third, smaller shuffle.
     """
     doc_type = changes.schema["doc"].dataType
-    segment = F.call_function("div", F.col("bulk_id"), F.lit(segment_bulks))
     by = ("_key", "_segment", "bulk_id")
-    placed = changes.select("_key", segment.alias("_segment"), "bulk_id", "seq", "op", "doc")
+    placed = changes.selectExpr("_key", f"bulk_id div {segment_bulks} as _segment", "bulk_id", "seq", "op", "doc")
     if bounded_bulks:
         placed = placed.repartition("_key", "_segment")
     net = net_actions(bulk_groups(placed, by=by))
@@ -120,27 +128,25 @@ def fold_bulks(
 
 def _fold_plain(live: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Only mergeable aggregates: the first row that makes the key exist, the last that writes."""
-    at = F.col(order)
-    born, wrote = F.when(F.col("present"), at), F.when(F.col("put").isNotNull(), at)
+    born = f"if(present, {order}, null)"
+    wrote = f"if(put is not null, {order}, null)"
     folded = live.groupBy(*keys).agg(
-        F.bool_or("reset").alias("reset"),
-        F.min(born).alias("_born"),
-        F.min_by("add", born).alias("_add"),
-        F.max(wrote).alias("_wrote"),
-        F.max_by("put", wrote).alias("_put"),
-        F.bool_or("replaced").alias("replaced"),
+        F.expr("bool_or(reset) as reset"),
+        F.expr(f"min({born}) as _born"),
+        F.expr(f"min_by(add, {born}) as _add"),
+        F.expr(f"max({wrote}) as _wrote"),
+        F.expr(f"max_by(put, {wrote}) as _put"),
+        F.expr("bool_or(replaced) as replaced"),
     )
-    reset, present = F.col("reset"), F.col("_born").isNotNull()
     # A later write hides the birth document; a row that does both (an upsert)
     # leaves ``add`` empty, unless its ``add`` came after its ``put``.
-    wrote_at, born_at = F.col("_wrote"), F.col("_born")
-    hidden = F.coalesce((wrote_at > born_at) | ((wrote_at == born_at) & F.col("_add").isNull()), F.lit(False))
-    return folded.select(
+    hidden = "coalesce(_wrote > _born or (_wrote = _born and _add is null), false)"
+    return folded.selectExpr(
         *keys,
         "reset",
-        present.alias("present"),
-        F.when(present & hidden & reset, F.col("_put")).when(present & ~hidden, F.col("_add")).alias("add"),
-        F.when(~reset, F.col("_put")).alias("put"),
+        "_born is not null as present",
+        f"case when _born is null then null when not {hidden} then _add when reset then _put end as add",
+        "if(reset, null, _put) as put",
         "replaced",
     )
 

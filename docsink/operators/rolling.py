@@ -12,10 +12,12 @@ rows than it is wide, however skewed the keys are.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docsink.functions.encoding import quote
+
 SEQ_CHUNK = 1 << 20
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -65,33 +67,30 @@ def roll_bulks(
         raise TypeError(f"sequence column {seq!r} must be an integer")
 
     tick = F.lit(0).cast("bigint") if interval_ms is None else interval_bucket(F.col(ts), interval_ms)
-    chunk = _div(F.col(seq), F.lit(seq_chunk))
-    lanes = changes.withColumns({"_lane": F.col(writer), "_tick": tick, "_chunk": chunk})
-
-    counts = lanes.groupBy("_lane", "_tick", "_chunk").agg(F.count(F.lit(1)).alias("_rows"))
-    in_tick = Window.partitionBy("_lane", "_tick").orderBy("_chunk")
-    size = F.lit(flush_size)
-    bulks_upto = _div(F.col("_upto") + size - 1, size)
-    bulks_before = _div(F.col("_upto") - F.col("_rows") + size - 1, size)
-    in_lane = Window.partitionBy("_lane").orderBy("_tick", "_chunk")
-    starts = (
-        counts.withColumn("_upto", F.sum("_rows").over(in_tick))
-        # The bulks a chunk opens; over a tick they add up to
-        # ceil(rows of the tick / flush_size).
-        .withColumn("_opened", bulks_upto - bulks_before)
-        .withColumn("_first", F.sum("_opened").over(in_lane) - bulks_upto)
-        .select("_lane", "_tick", "_chunk", (F.col("_upto") - F.col("_rows")).alias("_before"), "_first")
-    )
+    lanes = changes.withColumns({"_lane": F.col(writer), "_tick": tick, "_chunk": _div(F.col(seq), F.lit(seq_chunk))})
 
-    in_chunk = Window.partitionBy("_lane", "_tick", "_chunk").orderBy(seq)
-    numbered = lanes.withColumn("_rn", F.row_number().over(in_chunk) - 1)
-    return (
-        numbered.join(starts, ["_lane", "_tick", "_chunk"])
-        .withColumn(
-            "bulk_id",
-            F.col("_first") + _div(F.col("_before") + F.col("_rn"), size),
+    place = ("_lane", "_tick", "_chunk")
+    counts = lanes.groupBy(*place).agg(F.expr("count(1) as _rows"))
+    # ``_before``: rows of the tick in earlier chunks. ``_first``: bulks of the
+    # lane in earlier ticks. A chunk opens the bulks that start in it; over a
+    # tick they add up to ceil(rows of the tick / flush_size).
+    starts = (
+        counts.selectExpr("*", "sum(_rows) over (partition by _lane, _tick order by _chunk) as _upto")
+        .selectExpr(
+            *place,
+            "_upto - _rows as _before",
+            f"(_upto + {flush_size - 1}) div {flush_size} as _ended",
+            f"(_upto - _rows + {flush_size - 1}) div {flush_size} as _begun",
         )
-        .select(*changes.columns, "bulk_id")
+        .selectExpr(
+            *place, "_before", "sum(_ended - _begun) over (partition by _lane order by _tick, _chunk) - _ended as _first"
+        )
+    )
+    numbered = lanes.selectExpr(
+        "*", f"row_number() over (partition by _lane, _tick, _chunk order by {quote(seq)}) - 1 as _rn"
+    )
+    return numbered.join(starts, list(place)).selectExpr(
+        *[quote(c) for c in changes.columns], f"_first + (_before + _rn) div {flush_size} as bulk_id"
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsink.functions.keys import document_key
+from docsink.functions.names import quote
 
 # The text form of timestamps and the JSON wrapper names.
 TIMESTAMP_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
@@ -160,11 +161,6 @@ def document_json(doc: Column, dtype: T.DataType) -> Column:
     return F.to_json(_json_ready(doc, dtype), {"ignoreNullFields": "false"})
 
 
-def quote(name: str) -> str:
-    """Column name safe for ``F.col`` (dots and backticks included)."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _months(col: Column) -> Column:
     # A YEAR-only interval would cast to years.
     return col.cast(T.YearMonthIntervalType(0, 1)).cast(T.YearMonthIntervalType(1, 1)).cast("int")

@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docsink.functions.names import quote
+
 _NO_KEY = (T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.NullType)
 
 
@@ -34,4 +36,4 @@ def document_key(
     dtype = schema[name].dataType
     if isinstance(dtype, _NO_KEY):
         raise TypeError(f"column {name!r} of type {dtype.simpleString()} cannot be a document key")
-    return name, dtype, F.col("`" + name.replace("`", "``") + "`")
+    return name, dtype, F.col(quote(name))

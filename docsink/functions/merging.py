@@ -7,15 +7,15 @@ flag: "whatever was here before is gone". With it, patches can be combined in
 segments and the order of combining does not matter.
 
 ``lift`` adds the flags, ``merge`` combines two lifted values in order and
-``lower`` removes the flags again.
+``lower`` removes the flags again. All three take and return SQL expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docsink.functions.names import literal, quote
+
 
 def mergeable(dtype: T.DataType) -> bool:
     """True when an upsert merges this type instead of replacing it.
@@ -28,59 +28,70 @@ def mergeable(dtype: T.DataType) -> bool:
     return isinstance(dtype, T.MapType)
 
 
-def lift(col: Column, dtype: T.DataType, cut: Column) -> Column:
+def lift(value: str, dtype: T.DataType, cut: str, depth: int = 0) -> str:
     if not mergeable(dtype):
-        return col
-    if isinstance(dtype, T.MapType):
-        value = col
-        if mergeable(dtype.valueType):
-            value = F.transform_values(col, lambda _, v: lift(v, dtype.valueType, cut))
-    else:
-        value = F.when(
-            col.isNotNull(),
-            F.struct(*[lift(col[f.name], f.dataType, cut).alias(f.name) for f in dtype.fields]),
-        )
-    return F.struct(value.alias("v"), (cut | col.isNull()).alias("cut"))
+        return value
+    inner = value
+    if isinstance(dtype, T.StructType):
+        fields = [(f, lift(f"{value}.{quote(f.name)}", f.dataType, cut, depth)) for f in dtype.fields]
+        inner = f"if({value} is null, null, {_struct(fields)})"
+    elif mergeable(dtype.valueType):
+        v = f"v{depth}"
+        inner = f"transform_values({value}, (k{depth}, {v}) -> {lift(v, dtype.valueType, cut, depth + 1)})"
+    return f"named_struct('v', {inner}, 'cut', ({cut}) or {value} is null)"
 
 
-def lower(col: Column, dtype: T.DataType) -> Column:
+def lower(value: str, dtype: T.DataType, depth: int = 0) -> str:
     if not mergeable(dtype):
-        return col
-    value = col["v"]
-    if isinstance(dtype, T.MapType):
-        if mergeable(dtype.valueType):
-            return F.transform_values(value, lambda _, v: lower(v, dtype.valueType))
         return value
-    return F.when(
-        value.isNotNull(),
-        F.struct(*[lower(value[f.name], f.dataType).alias(f.name) for f in dtype.fields]),
-    )
+    inner = f"{value}.v"
+    if isinstance(dtype, T.StructType):
+        fields = [(f, lower(f"{inner}.{quote(f.name)}", f.dataType, depth)) for f in dtype.fields]
+        return f"if({inner} is null, null, {_struct(fields)})"
+    if mergeable(dtype.valueType):
+        v = f"v{depth}"
+        return f"transform_values({inner}, (k{depth}, {v}) -> {lower(v, dtype.valueType, depth + 1)})"
+    return inner
 
 
-def merge(old: Column, new: Column, dtype: T.DataType) -> Column:
+def merge(old: str, new: str, dtype: T.DataType, depth: int = 0) -> str:
     """``new`` applied after ``old``; both lifted."""
     if not mergeable(dtype):
         return new
-    inner = _merge_maps if isinstance(dtype, T.MapType) else _merge_structs
-    merged = F.struct(inner(old["v"], new["v"], dtype).alias("v"), old["cut"].alias("cut"))
-    over_nothing = F.struct(new["v"].alias("v"), F.lit(True).alias("cut"))
-    return F.when(new["cut"], new).when(old["v"].isNull(), over_nothing).otherwise(merged)
+    if isinstance(dtype, T.StructType):
+        merged = merge_fields(f"{old}.v", f"{new}.v", dtype, depth)
+    else:
+        merged = _merge_maps(f"{old}.v", f"{new}.v", dtype.valueType, depth)
+    return (
+        f"(case when {new}.cut then {new} "
+        f"when {old}.v is null then named_struct('v', {new}.v, 'cut', true) "
+        f"else named_struct('v', {merged}, 'cut', {old}.cut) end)"
+    )
+
+
+def merge_fields(old: str, new: str, dtype: T.StructType, depth: int = 0) -> str:
+    """All fields of ``new`` applied after those of ``old``."""
+    fields = []
+    for f in dtype.fields:
+        name = quote(f.name)
+        fields.append((f, merge(f"{old}.{name}", f"{new}.{name}", f.dataType, depth)))
+    return _struct(fields)
+
 
+def lift_fields(value: str, dtype: T.StructType, cut: str) -> str:
+    """A document with all its fields lifted."""
+    return _struct([(f, lift(f"{value}.{quote(f.name)}", f.dataType, cut)) for f in dtype.fields])
 
-def _merge_maps(old: Column, new: Column, dtype: T.MapType) -> Column:
-    def pick(key: Column, before: Column, after: Column) -> Column:
-        if mergeable(dtype.valueType):
-            both = F.map_contains_key(old, key) & F.map_contains_key(new, key)
-            return (
-                F.when(both, merge(before, after, dtype.valueType))
-                .when(F.map_contains_key(new, key), after)
-                .otherwise(before)
-            )
-        # An explicit null in the new document counts as a value.
-        return F.when(F.map_contains_key(new, key), after).otherwise(before)
 
-    return F.map_zip_with(old, new, pick)
+def _merge_maps(old: str, new: str, value_type: T.DataType, depth: int) -> str:
+    k, a, b = f"k{depth}", f"a{depth}", f"b{depth}"
+    # An explicit null in the new document counts as a value.
+    picked = f"if(map_contains_key({new}, {k}), {b}, {a})"
+    if mergeable(value_type):
+        both = f"map_contains_key({old}, {k}) and map_contains_key({new}, {k})"
+        picked = f"if({both}, {merge(a, b, value_type, depth + 1)}, {picked})"
+    return f"map_zip_with({old}, {new}, ({k}, {a}, {b}) -> {picked})"
 
 
-def _merge_structs(old: Column, new: Column, dtype: T.StructType) -> Column:
-    return F.struct(*[merge(old[f.name], new[f.name], f.dataType).alias(f.name) for f in dtype.fields])
+def _struct(fields: list[tuple[T.StructField, str]]) -> str:
+    return "named_struct(" + ", ".join(f"{literal(f.name)}, {value}" for f, value in fields) + ")"

@@ -7,12 +7,12 @@ the collection has survive an upsert and are lost in a replace.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsink.functions.encoding import quote
 from docsink.functions.merging import lift, lower, merge, mergeable
+from docsink.functions.names import quote
 from docsink.operators.bulks import bulk_groups, net_actions
 from docsink.operators.effects import (
     SEGMENT_BULKS,
@@ -55,7 +55,7 @@ def apply_bulks(
     changes: DataFrame,
     *,
     segment_bulks: int = SEGMENT_BULKS,
-    bounded_bulks: bool = True,
+    bounded_bulks: bool = False,
 ) -> DataFrame:
     """All bulks of ``changes`` in order of ``bulk_id``."""
     effects = fold_bulks(changes, segment_bulks=segment_bulks, bounded_bulks=bounded_bulks)
@@ -103,47 +103,44 @@ def _after(joined: DataFrame, stored: dict[str, T.DataType], attributes: list[T.
     """Documents after the effects, from rows with both the stored and the effect columns."""
     survives = f"({_base('_key')} is not null and not coalesce(reset, false))"
 
-    def attribute(field: T.StructField) -> Column:
-        dtype, name = field.dataType, quote(field.name)
-        old = _base(field.name) if field.name in stored else "null"
-        if not mergeable(dtype):
-            return F.expr(
-                f"case when {survives} then if(put is null, {old}, put.{name}) "
-                f"else coalesce(add, put).{name} end as {name}"
-            )
-        old = F.expr(old).cast(dtype)
-        patched = lower(merge(lift(old, dtype, F.lit(True)), F.expr(f"put.{name}"), dtype), dtype)
-        return (
-            F.when(F.expr(f"{survives} and put is null"), old)
-            .when(F.expr(survives), patched)
-            .otherwise(_fresh(field))
-            .alias(field.name)
+    merging = [f for f in attributes if mergeable(f.dataType) and f.name in stored]
+    if merging:
+        lifted = {f.name: lift(_base(f.name), f.dataType, cut="true") for f in merging}
+        joined = joined.selectExpr(
+            "*", *[f"{merge(lifted[f.name], f'put.{quote(f.name)}', f.dataType)} as {_merged(f.name)}" for f in merging]
         )
 
+    def attribute(field: T.StructField) -> str:
+        name = field.name
+        old = _base(name) if name in stored else "null"
+        new = lower(_merged(name) if field in merging else f"put.{quote(name)}", field.dataType)
+        return f"case when not {survives} then {_fresh(field)} when put is null then {old} else {new} end as {quote(name)}"
+
     only_in_base = [n for n in stored if n not in {f.name for f in attributes}]
-    return joined.where(f"_key is null or {survives} or present").select(
-        F.expr(f"coalesce(_key, {_base('_key')}) as _key"),
+    return joined.where(f"_key is null or {survives} or present").selectExpr(
+        f"coalesce(_key, {_base('_key')}) as _key",
         *[attribute(f) for f in attributes],
-        *[
-            F.expr(f"if({survives} and not coalesce(replaced, false), {_base(n)}, null) as {quote(n)}")
-            for n in only_in_base
-        ],
+        *[f"if({survives} and not coalesce(replaced, false), {_base(n)}, null) as {quote(n)}" for n in only_in_base],
     )
 
 
 def _new_documents(effects: DataFrame, attributes: list[T.StructField]) -> DataFrame:
-    return effects.where("present").select("_key", *[_fresh(f).alias(f.name) for f in attributes])
+    return effects.where("present").selectExpr("_key", *[f"{_fresh(f)} as {quote(f.name)}" for f in attributes])
 
 
-def _fresh(field: T.StructField) -> Column:
+def _fresh(field: T.StructField) -> str:
     """Attribute of the document that results when the key did not exist."""
-    return lower(F.expr(f"coalesce(add, put).{quote(field.name)}"), field.dataType)
+    return lower(f"coalesce(add, put).{quote(field.name)}", field.dataType)
 
 
 def _base(name: str) -> str:
     return quote(f"base:{name}")
 
 
+def _merged(name: str) -> str:
+    return quote(f"merged:{name}")
+
+
 def _effects(docs: DataFrame, action: str) -> DataFrame:
     return effects_of_actions(docs.select("_key", "doc", F.lit(action).alias("action")))
 

@@ -20,11 +20,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsink.functions.merging import lift, merge, mergeable
+from docsink.functions.merging import lift_fields, merge_fields, mergeable
 from docsink.operators.bulks import (
     NET_DELETE,
     NET_INSERT,
@@ -50,27 +50,21 @@ def merging_fields(doc: T.StructType) -> list[T.StructField]:
 def effects_of_actions(net: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Each net action as an effect, ``(_key, <carry...>, <effect columns>)``."""
     doc_type = net.schema["doc"].dataType
-    if not merging_fields(doc_type):
-        # One copy of the document is enough: an upsert leaves ``add`` to ``put``.
-        add = f"if(action = '{NET_INSERT}', doc, null)"
-        put = f"if(action in ('{NET_REPLACE}', '{NET_UPSERT}'), doc, null)"
-    else:
+    if merging_fields(doc_type):
         # Merged over nothing and over an existing document, an upsert differs.
-        net = net.withColumns(
-            {
-                "_add": _lifted(F.col("doc"), doc_type, F.lit(True)),
-                "_put": _lifted(F.col("doc"), doc_type, F.col("action") == NET_REPLACE),
-            }
-        )
-        add = f"if(action in ('{NET_INSERT}', '{NET_UPSERT}'), _add, null)"
-        put = f"if(action in ('{NET_REPLACE}', '{NET_UPSERT}'), _put, null)"
+        added = f"action in ('{NET_INSERT}', '{NET_UPSERT}')"
+        add = lift_fields("doc", doc_type, cut="true")
+        put = lift_fields("doc", doc_type, cut=f"action = '{NET_REPLACE}'")
+    else:
+        # One copy of the document is enough: an upsert leaves ``add`` to ``put``.
+        added, add, put = f"action = '{NET_INSERT}'", "doc", "doc"
     return net.selectExpr(
         "_key",
         *carry,
         f"action = '{NET_DELETE}' as reset",
         f"action in ('{NET_INSERT}', '{NET_UPSERT}') as present",
-        f"{add} as add",
-        f"{put} as put",
+        f"if({added}, {add}, null) as add",
+        f"if(action in ('{NET_REPLACE}', '{NET_UPSERT}'), {put}, null) as put",
         f"action = '{NET_REPLACE}' as replaced",
     )
 
@@ -79,16 +73,13 @@ def effects_of_last_writes(changes: DataFrame) -> DataFrame:
     """Last write wins as effects: the last change of a key decides alone."""
     doc_type = changes.schema["doc"].dataType
     last = changes.groupBy("_key").agg(F.expr("max_by(struct(op, doc), seq) as _last"))
-    if merging_fields(doc_type):
-        last = last.withColumn("_doc", _lifted(F.col("_last.doc"), doc_type, F.lit(True)))
-    else:
-        last = last.selectExpr("*", "_last.doc as _doc")
+    doc = lift_fields("_last.doc", doc_type, cut="true") if merging_fields(doc_type) else "_last.doc"
     return last.selectExpr(
         "_key",
         "true as reset",
         f"_last.op <> '{DELETE}' as present",
-        f"if(_last.op <> '{DELETE}', _doc, null) as add",
-        "if(false, _doc, null) as put",
+        f"if(_last.op <> '{DELETE}', {doc}, null) as add",
+        f"if(false, {doc}, null) as put",
         "false as replaced",
     )
 
@@ -105,15 +96,15 @@ def fold_effects(effects: DataFrame, keys: Sequence[str], order: str, doc_type:
 
 
 def fold_bulks(
-    changes: DataFrame, *, segment_bulks: int = SEGMENT_BULKS, bounded_bulks: bool = True
+    changes: DataFrame, *, segment_bulks: int = SEGMENT_BULKS, bounded_bulks: bool = False
 ) -> DataFrame:
     """Changelog with bulk ids to one effect per key.
 
-    ``bounded_bulks`` says that no bulk is huge (``roll_bulks`` guarantees it).
-    Then the changes are placed by (key, segment) right away, and collapsing the
-    bulks and folding the segments both happen in that one placement: two
-    shuffles in all. Otherwise bulks are collapsed with a map-side combine
-    first, which costs a third, smaller shuffle.
+    ``bounded_bulks`` says that every bulk is known to be small (``roll_bulks``
+    guarantees it). Then the changes are placed by (key, segment) right away,
+    and collapsing the bulks and folding the segments both happen in that one
+    placement: two shuffles in all. Otherwise the changes of a key in a bulk are
+    combined on the map side first, which costs a third shuffle of what is left.
     """
     doc_type = changes.schema["doc"].dataType
     by = ("_key", "_segment", "bulk_id")
@@ -123,6 +114,12 @@ def fold_bulks(
     net = net_actions(bulk_groups(placed, by=by))
     effects = effects_of_actions(net, ("_segment", "bulk_id"))
     segments = fold_effects(effects, ("_key", "_segment"), "bulk_id", doc_type)
+    if merging_fields(doc_type):
+        # Merging collects the run of a group, so segments are folded in groups
+        # too: what is left for the last step is one row per segment_bulks ** 2.
+        grouped = segments.selectExpr("*", f"_segment div {segment_bulks} as _group")
+        folded = fold_effects(grouped, ("_key", "_group"), "_segment", doc_type)
+        return fold_effects(folded, ("_key",), "_group", doc_type)
     return fold_effects(segments, ("_key",), "_segment", doc_type)
 
 
@@ -154,47 +151,29 @@ def _fold_plain(live: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
 def _fold_merging(live: DataFrame, keys: Sequence[str], order: str, doc_type: T.StructType) -> DataFrame:
     """Ordered fold, for documents whose maps are merged.
 
-    The collected list is bounded: one row per bulk of a segment, or one per
-    segment of a key, and only from the last delete on.
+    The collected list is short: one row per bulk of a segment, per segment of a
+    group or per batch of a log, and only from the last delete on.
     """
-    by_order = lambda a, b: F.when(a[order] < b[order], -1).when(a[order] > b[order], 1).otherwise(0)
-    listed = live.groupBy(*keys).agg(F.collect_list(F.struct(order, *EFFECT_COLUMNS)).alias("_run"))
-    ordered = F.array_sort("_run", by_order)
-    first = F.struct(*[F.get("_run", 0)[c].alias(c) for c in EFFECT_COLUMNS])
-    folded = F.reduce(
-        F.slice("_run", F.lit(2), F.size("_run")),
-        first,
-        lambda before, after: _combine(before, after, doc_type),
+    by_order = f"(l, r) -> case when l.{order} < r.{order} then -1 when l.{order} > r.{order} then 1 else 0 end"
+    listed = live.groupBy(*keys).agg(
+        F.expr(f"array_sort(collect_list(struct({order}, {', '.join(EFFECT_COLUMNS)})), {by_order}) as _run")
     )
-    return (
-        listed.withColumn("_run", ordered)
-        .withColumn("_effect", folded)
-        .select(*keys, *[F.col(f"_effect.{c}").alias(c) for c in EFFECT_COLUMNS])
+    first = ", ".join(f"_run[0].{c} as {c}" for c in EFFECT_COLUMNS)
+    combined = _combined("x", "y", doc_type)
+    folded = listed.selectExpr(
+        *keys, f"reduce(slice(_run, 2, size(_run)), struct({first}), (x, y) -> {combined}) as _effect"
     )
-
-
-def _combine(before: Column, after: Column, doc_type: T.StructType) -> Column:
-    """Effect of two adjoining runs; ``after`` holds no reset (see ``fold_effects``)."""
-    writes = after["put"].isNotNull()
-    over_add = F.when(writes, patch(before["add"], after["put"], doc_type)).otherwise(before["add"])
-    over_put = F.when(before["put"].isNull(), after["put"]).otherwise(
-        patch(before["put"], after["put"], doc_type)
-    )
-    return F.struct(
-        before["reset"].alias("reset"),
-        (before["present"] | after["present"]).alias("present"),
-        F.when(before["present"], over_add).otherwise(after["add"]).alias("add"),
-        F.when(before["reset"], before["put"]).when(writes, over_put).otherwise(before["put"]).alias("put"),
-        (before["replaced"] | after["replaced"]).alias("replaced"),
-    )
-
-
-def patch(old: Column, new: Column, doc_type: T.StructType) -> Column:
-    """Lifted document ``new`` written over lifted document ``old``."""
-    return F.struct(*[merge(old[f.name], new[f.name], f.dataType).alias(f.name) for f in doc_type.fields])
-
-
-def _lifted(doc: Column, doc_type: T.StructType, cut: Column) -> Column:
-    if not merging_fields(doc_type):
-        return doc
-    return F.struct(*[lift(doc[f.name], f.dataType, cut).alias(f.name) for f in doc_type.fields])
+    return folded.selectExpr(*keys, "_effect.*")
+
+
+def _combined(x: str, y: str, doc_type: T.StructType) -> str:
+    """Effect of run ``x`` followed by run ``y``, which holds no reset (see ``fold_effects``)."""
+    over_add = merge_fields(f"{x}.add", f"{y}.put", doc_type)
+    over_put = merge_fields(f"{x}.put", f"{y}.put", doc_type)
+    return f"""struct(
+        {x}.reset as reset,
+        {x}.present or {y}.present as present,
+        case when not {x}.present then {y}.add when {y}.put is null then {x}.add else {over_add} end as add,
+        case when {x}.reset or {y}.put is null then {x}.put
+             when {x}.put is null then {y}.put else {over_put} end as put,
+        {x}.replaced or {y}.replaced as replaced)"""

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsink.functions.encoding import quote
+from docsink.functions.names import quote
 
 SEQ_CHUNK = 1 << 20
 

@@ -35,7 +35,8 @@ _CUSTOMERS = "(select cast(c_custkey as varchar) as _key, c_acctbal as value, c_
     f"with {CHANGES_SQL}, {GROUPS_SQL}, {NET_SQL}, {BASE_SQL}, {APPLY_SQL} select * from result",
 )
 def apply_changelog_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return applying.apply_bulks(supplier_documents(spark, sf_dir), event_changes(spark, sf_dir))
+    # A bulk holds at most BULK changes, so no (key, segment) can be large.
+    return applying.apply_bulks(supplier_documents(spark, sf_dir), event_changes(spark, sf_dir), bounded_bulks=True)
 
 
 @query(
@@ -47,7 +48,7 @@ def apply_changelog_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def apply_changelog_large_bulks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bulks of any size: changes of a key are combined before they are shuffled."""
     return applying.apply_bulks(
-        supplier_documents(spark, sf_dir), event_changes(spark, sf_dir, bulk=2500), bounded_bulks=False
+        supplier_documents(spark, sf_dir), event_changes(spark, sf_dir, bulk=2500)
     )
 
 
@@ -185,7 +186,7 @@ def apply_upserts_map_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").cast("string").alias("_key"), F.create_map(F.lit("base"), "s_acctbal").alias("m")
     )
-    return applying.apply_bulks(base, changes).select("_key", F.explode("m").alias("name", "v"))
+    return applying.apply_bulks(base, changes, bounded_bulks=True).select("_key", F.explode("m").alias("name", "v"))
 
 
 @query(

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docsink.functions.encoding import encode_documents
 from docsink.operators.changelog import normalize_changelog
-from docsink.operators.effects import effects_of_last_writes, fold_bulks
+from docsink.operators.effects import SEGMENT_BULKS, effects_of_last_writes, fold_bulks
 from docsink.operators.rolling import hash_writer, roll_bulks
 from docsink.options import SinkOptions
 from docsink.sources.collection import Collection
@@ -20,6 +20,9 @@ Encoder = Callable[[DataFrame], DataFrame]
 
 _CHANGE_COLUMNS = ("op", "seq", "bulk_id")
 
+# Up to here, the changes of one key in one segment go to one task uncombined.
+MAX_SEGMENT_CHANGES = 1 << 20
+
 
 class DocumentSink:
     """Writes a changelog to ``<root>/<database>/<collection>``.
@@ -44,9 +47,12 @@ class DocumentSink:
         if self.options.mode == "lww":
             return effects_of_last_writes(changes), doc_type
         if "bulk_id" in changes.columns:
-            return fold_bulks(changes, bounded_bulks=False), doc_type
+            return fold_bulks(changes), doc_type
         lanes = changes.withColumn("writer", hash_writer(self.options.writers))
-        return fold_bulks(roll_bulks(lanes, self.options.flush_size)), doc_type
+        rolled = roll_bulks(lanes, self.options.flush_size)
+        # A segment of bulks holds at most this many changes of one key.
+        bounded = self.options.flush_size * SEGMENT_BULKS <= MAX_SEGMENT_CHANGES
+        return fold_bulks(rolled, bounded_bulks=bounded), doc_type
 
     def write(self, rows: DataFrame, source: str | None = None, batch_id: int | None = None) -> bool:
         """Apply a finite changelog; False if this batch of this source was applied before."""

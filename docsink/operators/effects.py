@@ -124,17 +124,26 @@ def fold_bulks(
 
 
 def _fold_plain(live: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Only mergeable aggregates: the first row that makes the key exist, the last that writes."""
+    """The first row that makes the key exist and the last that writes decide.
+
+    Window functions over the placement and sorting ``fold_effects`` already
+    has; the group's last row carries the result. Aggregating instead would run
+    a partial and a final aggregation over the same sorted rows.
+    """
+    over = f"over (partition by {', '.join(keys)})"
     born = f"if(present, {order}, null)"
     wrote = f"if(put is not null, {order}, null)"
-    folded = live.groupBy(*keys).agg(
-        F.expr("bool_or(reset) as reset"),
-        F.expr(f"min({born}) as _born"),
-        F.expr(f"min_by(add, {born}) as _add"),
-        F.expr(f"max({wrote}) as _wrote"),
-        F.expr(f"max_by(put, {wrote}) as _put"),
-        F.expr("bool_or(replaced) as replaced"),
-    )
+    folded = live.selectExpr(
+        *keys,
+        order,
+        f"max({order}) {over} as _end",
+        f"bool_or(reset) {over} as reset",
+        f"min({born}) {over} as _born",
+        f"min_by(add, {born}) {over} as _add",
+        f"max({wrote}) {over} as _wrote",
+        f"max_by(put, {wrote}) {over} as _put",
+        f"bool_or(replaced) {over} as replaced",
+    ).where(f"{order} = _end")
     # A later write hides the birth document; a row that does both (an upsert)
     # leaves ``add`` empty, unless its ``add`` came after its ``put``.
     hidden = "coalesce(_wrote > _born or (_wrote = _born and _add is null), false)"

@@ -51,23 +51,26 @@ def roll_bulks(
     writer: str = "writer",
     interval_ms: int | None = None,
     ts: str = "ts",
-    seq_chunk: int = SEQ_CHUNK,
+    seq_chunk: int | None = SEQ_CHUNK,
 ) -> DataFrame:
     """Add ``bulk_id``: 0, 1, ... per writer, at most ``flush_size`` changes each.
 
     With ``interval_ms`` a timer tick also closes the open bulk; ``ts`` must
     then not go backwards along ``seq``. ``seq_chunk`` is the chunk width in
-    units of ``seq``: widen it when sequence numbers are sparse.
+    units of ``seq``. For sparse numbers (nanoseconds, say) widen it or pass
+    None, which fits it to the range of ``seq`` at the price of one more pass
+    over that column: then a writer has at most SEQ_CHUNK chunks to sum up.
     """
     if flush_size < 1:
         raise ValueError("flush size must be greater than 0")
-    if seq_chunk < 1:
+    if seq_chunk is not None and seq_chunk < 1:
         raise ValueError("seq_chunk must be at least 1")
     if not isinstance(changes.schema[seq].dataType, _INTEGRAL):
         raise TypeError(f"sequence column {seq!r} must be an integer")
 
     tick = F.lit(0).cast("bigint") if interval_ms is None else interval_bucket(F.col(ts), interval_ms)
-    lanes = changes.withColumns({"_lane": F.col(writer), "_tick": tick, "_chunk": _div(F.col(seq), F.lit(seq_chunk))})
+    width = _fitted_width(changes, seq) if seq_chunk is None else F.lit(seq_chunk)
+    lanes = changes.withColumns({"_lane": F.col(writer), "_tick": tick, "_chunk": _div(F.col(seq), width)})
 
     place = ("_lane", "_tick", "_chunk")
     counts = lanes.groupBy(*place).agg(F.expr("count(1) as _rows"))
@@ -94,6 +97,14 @@ def roll_bulks(
     )
 
 
+def _fitted_width(changes: DataFrame, seq: str) -> Column:
+    """Chunk width for the range of ``seq``, as a scalar subquery."""
+    n = quote(seq)
+    # Halved before subtracting, so that the full range of a bigint fits.
+    spread = f"(max({n}) div 2 - min({n}) div 2) div {SEQ_CHUNK // 2} + 1"
+    return changes.selectExpr(f"greatest({SEQ_CHUNK}L, {spread})").scalar()
+
+
 def _div(dividend: Column, divisor: Column) -> Column:
     """Integer division; going through doubles would lose large sequence numbers."""
     return F.call_function("div", dividend, divisor)

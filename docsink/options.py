@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from docsink.operators.rolling import SEQ_CHUNK
+
 # Option names.
 DATABASE = "database"
 COLLECTION = "collection"
@@ -23,7 +25,8 @@ class SinkOptions:
     """What a sink needs to know about its target and its bulks.
 
     ``key`` is the primary key column (or columns, see ``key_policy``);
-    ``mode`` is ``"bulk"`` for exact bulk semantics or ``"lww"`` for last write
+    ``seq_chunk`` is explained in ``roll_bulks``, ``max_log`` and
+    ``compact_ratio`` in ``Collection.tidy``. ``mode`` is ``"bulk"`` for exact bulk semantics or ``"lww"`` for last write
     wins, which gives the same result on a well-formed changelog.
     """
 
@@ -38,7 +41,9 @@ class SinkOptions:
     key_policy: str = "single"
     mode: str = "bulk"
     writers: int = 1
-    compact_every: int = 20
+    max_log: int = 20
+    compact_ratio: float = 0.25
+    seq_chunk: int | None = SEQ_CHUNK
 
     def __post_init__(self) -> None:
         if not self.database or not self.collection:
@@ -53,8 +58,8 @@ class SinkOptions:
             raise ValueError(f"`{MAX_IN_FLIGHT}` must be greater than 0")
         if self.mode not in ("bulk", "lww"):
             raise ValueError(f"unknown mode {self.mode!r}")
-        if self.writers < 1 or self.compact_every < 1:
-            raise ValueError("writers and compact_every must be at least 1")
+        if self.writers < 1 or self.max_log < 1:
+            raise ValueError("writers and max_log must be at least 1")
 
     @classmethod
     def from_table(cls, options: Mapping[str, object], key: str | Sequence[str], **more: object) -> SinkOptions:

@@ -50,7 +50,7 @@ def _slices(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
 
 
 def _sink(spark: SparkSession, root: str) -> DocumentSink:
-    return DocumentSink(spark, root, SinkOptions("shop", "users", key="user_id", compact_every=3))
+    return DocumentSink(spark, root, SinkOptions("shop", "users", key="user_id", max_log=3))
 
 
 @query("stream_apply_changelog", _ORACLE)

@@ -2,9 +2,10 @@
 
 The layout follows merge-on-read: ``base/`` holds whole documents, ``log/`` one
 effect per key and batch. Applying a batch only writes its own effects, however
-large the collection is; reading folds the log over the base; ``compact`` does
-the same once and stores the result. A version is a small manifest file; a
-batch counts as applied when its manifest exists.
+large the collection is; reading folds the log over the base. ``tidy`` keeps the
+log short: recent entries are folded into one, and only when the log has grown
+to a good share of the base are both rewritten. A version is a small manifest
+file; a batch counts as applied when its manifest exists.
 
 There is one writing job per collection at a time.
 """
@@ -16,11 +17,10 @@ from dataclasses import asdict, dataclass, field, replace
 from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsink.operators.applying import apply_effects
-from docsink.operators.effects import fold_effects
+from docsink.operators.effects import EFFECT_COLUMNS, fold_effects
 
 # Parquet is compressed and columnar; rows in memory are taken to be this many
 # times larger when checking whether a log may be broadcast.
@@ -32,6 +32,11 @@ class LogEntry:
     version: int
     doc_schema: str
     effect_schema: str
+    size: int
+
+    @property
+    def schemas(self) -> tuple[str, str]:
+        return self.doc_schema, self.effect_schema
 
 
 @dataclass(frozen=True)
@@ -41,6 +46,7 @@ class Manifest:
     version: int = 0
     base_version: int | None = None
     base_schema: str | None = None
+    base_size: int = 0
     log: list[LogEntry] = field(default_factory=list)
     batches: dict[str, int] = field(default_factory=dict)
 
@@ -97,15 +103,47 @@ class Collection:
         manifest = self.manifest() or Manifest()
         if source is not None and batch_id is not None and manifest.batches.get(source, -1) >= batch_id:
             return False
-        version = manifest.version + 1
-        effects.write.mode("overwrite").parquet(self._log_path(version))
-        entry = LogEntry(version, doc_type.json(), effects.schema.json())
+        entry = self._log_entry(manifest.version + 1, effects, doc_type.json())
         batches = dict(manifest.batches)
         if source is not None and batch_id is not None:
             batches[source] = batch_id
-        self._commit(replace(manifest, version=version, log=[*manifest.log, entry], batches=batches))
+        self._commit(replace(manifest, version=entry.version, log=[*manifest.log, entry], batches=batches))
         return True
 
+    def tidy(self, max_log: int, ratio: float) -> None:
+        """Shorten a log of ``max_log`` entries or more.
+
+        The base is rewritten only when the log holds ``ratio`` of its size;
+        until then recent entries are folded together, an older one joining in
+        when it is not much larger than those after it. So an entry takes part
+        in few foldings, and the cost of a batch does not grow with the base.
+        """
+        manifest = self.manifest()
+        if manifest is None or len(manifest.log) < max_log:
+            return
+        sizes = [entry.size for entry in manifest.log]
+        if sum(sizes) >= ratio * manifest.base_size:
+            self.compact()
+            return
+        start = max(len(sizes) - max(2, max_log // 2), 0)
+        while start > 0 and sizes[start - 1] <= 2 * sum(sizes[start:]):
+            start -= 1
+        # One entry has one document type.
+        while start < len(sizes) and any(e.schemas != manifest.log[-1].schemas for e in manifest.log[start:]):
+            start += 1
+        self.fold_log(len(sizes) - start)
+
+    def fold_log(self, entries: int) -> None:
+        """Fold the last ``entries`` of the log, all of one type, into one."""
+        manifest = self.manifest()
+        if manifest is None or entries < 2:
+            return
+        recent = manifest.log[-entries:]
+        if any(e.schemas != recent[-1].schemas for e in recent):
+            raise ValueError("log entries of different document types cannot be folded")
+        entry = self._log_entry(manifest.version + 1, self._log_effects(recent), recent[-1].doc_schema)
+        self._commit(replace(manifest, version=entry.version, log=[*manifest.log[:-entries], entry]))
+
     def compact(self) -> None:
         """Store the folded documents as the new base."""
         manifest = self.manifest()
@@ -140,32 +178,48 @@ class Collection:
         # Batches with the same document type are folded together; a change of
         # type starts a new fold, because an attribute a document does not have
         # is not the same as one that is null.
-        for (doc_schema, effect_schema), run in groupby(
-            manifest.log, key=lambda e: (e.doc_schema, e.effect_schema)
-        ):
-            doc_type = T.StructType.fromJson(json.loads(doc_schema))
-            paths = [self._log_path(e.version) for e in run]
-            schema = T.StructType.fromJson(json.loads(effect_schema)).add("commit", "long")
-            effects = self.spark.read.schema(schema).option("basePath", f"{self.path}/log").parquet(*paths)
-            if len(paths) > 1:
-                effects = fold_effects(effects, ("_key",), "commit", doc_type)
+        for (doc_schema, _), entries in groupby(manifest.log, key=lambda e: e.schemas):
+            run = list(entries)
             documents = apply_effects(
-                documents, effects.drop("commit"), doc_type, small_effects=self._broadcastable(paths)
+                documents,
+                self._log_effects(run),
+                T.StructType.fromJson(json.loads(doc_schema)),
+                small_effects=self._broadcastable(run),
             )
         if documents is None:
             return self.spark.createDataFrame([], "_key string")
         return documents
 
+    def _log_effects(self, run: list[LogEntry]) -> DataFrame:
+        """One effect per key for consecutive entries of one type."""
+        schema = T.StructType.fromJson(json.loads(run[0].effect_schema)).add("commit", "long")
+        paths = [self._log_path(e.version) for e in run]
+        effects = self.spark.read.schema(schema).option("basePath", f"{self.path}/log").parquet(*paths)
+        if len(run) > 1:
+            effects = fold_effects(effects, ("_key",), "commit", T.StructType.fromJson(json.loads(run[0].doc_schema)))
+        return effects.select("_key", *EFFECT_COLUMNS)
+
+    def _log_entry(self, version: int, effects: DataFrame, doc_schema: str) -> LogEntry:
+        path = self._log_path(version)
+        effects.write.mode("overwrite").parquet(path)
+        return LogEntry(version, doc_schema, effects.schema.json(), self._files.size(path))
+
     def _with_base(self, manifest: Manifest, documents: DataFrame) -> Manifest:
         version = manifest.version + 1
-        documents.write.mode("overwrite").parquet(self._base_path(version))
+        path = self._base_path(version)
+        documents.write.mode("overwrite").parquet(path)
         return replace(
-            manifest, version=version, base_version=version, base_schema=documents.schema.json(), log=[]
+            manifest,
+            version=version,
+            base_version=version,
+            base_schema=documents.schema.json(),
+            base_size=self._files.size(path),
+            log=[],
         )
 
-    def _broadcastable(self, paths: list[str]) -> bool:
+    def _broadcastable(self, run: list[LogEntry]) -> bool:
         limit = self._files.broadcast_limit()
-        return limit > 0 and sum(self._files.size(p) for p in paths) * EXPANSION <= limit
+        return limit > 0 and sum(e.size for e in run) * EXPANSION <= limit
 
     def _commit(self, manifest: Manifest) -> None:
         self._files.write(self._manifest_path(manifest.version), json.dumps(asdict(manifest)))

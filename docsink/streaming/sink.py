@@ -49,7 +49,7 @@ class DocumentSink:
         if "bulk_id" in changes.columns:
             return fold_bulks(changes), doc_type
         lanes = changes.withColumn("writer", hash_writer(self.options.writers))
-        rolled = roll_bulks(lanes, self.options.flush_size)
+        rolled = roll_bulks(lanes, self.options.flush_size, seq_chunk=self.options.seq_chunk)
         # A segment of bulks holds at most this many changes of one key.
         bounded = self.options.flush_size * SEGMENT_BULKS <= MAX_SEGMENT_CHANGES
         return fold_bulks(rolled, bounded_bulks=bounded), doc_type
@@ -60,8 +60,7 @@ class DocumentSink:
             return False
         effects, doc_type = self.effects(rows)
         applied = self.collection.append(effects, doc_type, source=source, batch_id=batch_id)
-        if len(self.collection.manifest().log) >= self.options.compact_every:
-            self.collection.compact()
+        self.collection.tidy(self.options.max_log, self.options.compact_ratio)
         return applied
 
     def start(

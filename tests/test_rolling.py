@@ -29,7 +29,7 @@ def changes(skewed):
     return [(0 if skewed and s % 3 else rng.randrange(5), s, 1000 * (s + 5000)) for s in seqs]
 
 
-@pytest.mark.parametrize("chunk", [1, 37, 1 << 20])
+@pytest.mark.parametrize("chunk", [1, 37, 1 << 20, None])
 @pytest.mark.parametrize("skewed", [False, True])
 def test_size(spark, chunk, skewed):
     rows = changes(skewed)
@@ -59,6 +59,13 @@ def test_large_sequence_numbers_stay_exact(spark):
     assert got == [i // 10 for i in range(100)]
 
 
+def test_sparse_sequence_numbers(spark):
+    step = (1 << 63) // 50
+    df = spark.range(-50, 50).select((F.col("id") * step).alias("seq"), F.lit(0).alias("writer"))
+    got = [r["bulk_id"] for r in roll_bulks(df, 10, seq_chunk=None).orderBy("seq").collect()]
+    assert got == [i // 10 for i in range(100)]
+
+
 def test_no_bulk_exceeds_the_size(spark):
     df = spark.range(10_000).select(F.col("id").alias("seq"), (F.col("id") % 97).cast("string").alias("_key"))
     rolled = roll_bulks(df.withColumn("writer", hash_writer(4)), 100, seq_chunk=64)

@@ -60,7 +60,7 @@ def test_rejected_table_options(given, message):
         SinkOptions.from_table(given, key="id")
 
 
-@pytest.mark.parametrize("more", [{"mode": "other"}, {"writers": 0}, {"compact_every": 0}, {"flush_size": -1}])
+@pytest.mark.parametrize("more", [{"mode": "other"}, {"writers": 0}, {"max_log": 0}, {"flush_size": -1}])
 def test_rejected_options(more):
     with pytest.raises(ValueError):
         options(**more)
@@ -77,8 +77,8 @@ def rows(spark, data):
     return spark.createDataFrame(data, "id int, seq long, op string, v double")
 
 
-def by_hand(batches, size):
-    collection = {}
+def by_hand(batches, size, start=None):
+    collection = dict(start or {})
     for data in batches:
         bulks = [(str(k), i // size, s, op, {"id": k, "v": v}) for i, (k, s, op, v) in enumerate(data)]
         collection = model.apply_bulks(collection, bulks)
@@ -89,19 +89,48 @@ def held(df):
     return {r["_key"]: (r["id"], r["v"]) for r in df.collect()}
 
 
-@pytest.mark.parametrize("compact_every", [1, 3, 20])
-def test_batches_in_order(spark, tmp_path, compact_every):
-    sink = DocumentSink(spark, str(tmp_path), options(flush_size=13, compact_every=compact_every))
+@pytest.mark.parametrize("max_log,ratio", [(1, 0), (2, 1e9), (20, 0.25)])
+def test_batches_in_order(spark, tmp_path, max_log, ratio):
+    sink = DocumentSink(spark, str(tmp_path), options(flush_size=13, max_log=max_log, compact_ratio=ratio))
+    sink.collection.create(spark.sql("select '-1' as _key, -1 as id, 0D as v"))
+    start = {"-1": {"id": -1, "v": 0.0}}
     data = changelog(500)
     batches = [data[i : i + 120] for i in range(0, 500, 120)]
     for n, batch in enumerate(batches):
         assert sink.write(rows(spark, batch), source="s", batch_id=n)
-        assert held(sink.read()) == by_hand(batches[: n + 1], 13)
+        assert held(sink.read()) == by_hand(batches[: n + 1], 13, start)
+    if ratio == 1e9:
+        assert sink.collection.manifest().base_version == 1 and len(sink.collection.manifest().log) == 1
     assert not sink.write(rows(spark, batches[0]), source="s", batch_id=0)
     assert not sink.write(rows(spark, batches[-1]), source="s", batch_id=len(batches) - 1)
-    assert held(sink.read()) == by_hand(batches, 13)
+    assert held(sink.read()) == by_hand(batches, 13, start)
     assert sink.write(rows(spark, batches[0]), source="another", batch_id=0)
-    assert held(sink.read()) == by_hand([*batches, batches[0]], 13)
+    assert held(sink.read()) == by_hand([*batches, batches[0]], 13, start)
+
+
+def test_log_is_folded_in_tiers(spark, tmp_path):
+    """With a huge base no batch rewrites it, and the log stays short."""
+    sink = DocumentSink(spark, str(tmp_path), options(flush_size=10, max_log=4, compact_ratio=1e9))
+    sink.collection.create(spark.sql("select '-1' as _key, -1 as id, 0D as v"))
+    data = changelog(270)
+    batches = [data[i : i + 30] for i in range(0, 270, 30)]
+    for batch in batches:
+        sink.write(rows(spark, batch))
+        assert len(sink.collection.manifest().log) < 4
+    assert sink.collection.manifest().base_version == 1
+    assert held(sink.read()) == by_hand(batches, 10, {"-1": {"id": -1, "v": 0.0}})
+
+
+def test_log_of_several_document_types(spark, tmp_path):
+    sink = DocumentSink(spark, str(tmp_path), options(max_log=3, compact_ratio=1e9))
+    sink.collection.create(spark.sql("select '9' as _key, 9 as id"))
+    for n in range(3):
+        sink.write(spark.sql(f"select 1 as id, {n}L as seq, '+I' as op, {n} as a"))
+        sink.write(spark.sql(f"select 2 as id, {n}L as seq, '+I' as op, 'x' as b"))
+    with pytest.raises(ValueError, match="different document types"):
+        sink.collection.fold_log(2)
+    got = {r["_key"]: (r["a"], r["b"]) for r in sink.read().collect()}
+    assert got == {"9": (None, None), "1": (0, None), "2": (None, "x")}
 
 
 def test_reading_without_broadcast_gives_the_same(spark, tmp_path):
@@ -184,7 +213,7 @@ def test_collection_life(spark, tmp_path):
 
 
 def test_vacuum_keeps_what_is_in_use(spark, tmp_path):
-    sink = DocumentSink(spark, str(tmp_path), options(compact_every=2))
+    sink = DocumentSink(spark, str(tmp_path), options(max_log=2))
     data = changelog(200)
     for n in range(5):
         sink.write(rows(spark, data[n * 40 : n * 40 + 40]))
@@ -217,7 +246,7 @@ def test_own_encoder(spark, tmp_path):
 def test_stream_equals_batch(spark, tmp_path):
     data = [(k, s, op, v, s // 25) for k, s, op, v in changelog(400, seed=5)]
     schema = "id int, seq long, op string, v double, bulk_id long"
-    sink = DocumentSink(spark, str(tmp_path / "root"), options(compact_every=3))
+    sink = DocumentSink(spark, str(tmp_path / "root"), options(max_log=3))
     source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
     for n in range(4):
         spark.createDataFrame(data[n * 100 : n * 100 + 100], schema).write.mode("append").parquet(source)

@@ -30,17 +30,9 @@ def hash_writer(writers: int, key: str = "_key") -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(writers)).cast("int")
 
 
-def interval_bucket(ts: Column, interval_ms: int) -> Column:
-    """Number of the timer tick that follows ``ts``."""
-    if interval_ms <= 0:
-        raise ValueError("interval must be greater than 0")
-    micros, width = F.unix_micros(ts.cast("timestamp")), F.lit(interval_ms * 1000)
-    return _div(micros - F.pmod(micros, width), width)
-
-
 def roll_by_interval(changes: DataFrame, interval_ms: int, ts: str = "ts") -> DataFrame:
     """Add ``bulk_id`` from the arrival time alone; a projection, no shuffle."""
-    return changes.withColumn("bulk_id", interval_bucket(F.col(ts), interval_ms))
+    return changes.withColumn("bulk_id", _tick(changes, interval_ms, ts))
 
 
 def roll_bulks(
@@ -68,7 +60,7 @@ def roll_bulks(
     if not isinstance(changes.schema[seq].dataType, _INTEGRAL):
         raise TypeError(f"sequence column {seq!r} must be an integer")
 
-    tick = F.lit(0).cast("bigint") if interval_ms is None else interval_bucket(F.col(ts), interval_ms)
+    tick = F.lit(0).cast("bigint") if interval_ms is None else _tick(changes, interval_ms, ts)
     width = _fitted_width(changes, seq) if seq_chunk is None else F.lit(seq_chunk)
     lanes = changes.withColumns({"_lane": F.col(writer), "_tick": tick, "_chunk": _div(F.col(seq), width)})
 
@@ -97,6 +89,21 @@ def roll_bulks(
     )
 
 
+def _tick(changes: DataFrame, interval_ms: int, ts: str) -> Column:
+    """Number of timer ticks up to the arrival time ``ts``, counted from the epoch."""
+    if interval_ms <= 0:
+        raise ValueError("interval must be greater than 0")
+    time = F.col(quote(ts))
+    if isinstance(changes.schema[ts].dataType, T.TimestampNTZType):
+        # A wall clock: subtracting keeps the session time zone out of it.
+        since = time - F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+        micros = (since.cast(T.DayTimeIntervalType(3, 3)).cast("decimal(20,6)") * 1_000_000).cast("bigint")
+    else:
+        micros = F.unix_micros(time.cast("timestamp"))
+    width = F.lit(interval_ms * 1000)
+    return _div(micros - F.pmod(micros, width), width)
+
+
 def _fitted_width(changes: DataFrame, seq: str) -> Column:
     """Chunk width for the range of ``seq``, as a scalar subquery."""
     n = quote(seq)

@@ -100,7 +100,7 @@ def test_actions_partition_the_groups(spark):
     assert sum(counts.values()) == groups.count()
 
 
-@pytest.mark.parametrize("size", [1, 7, 100, 1000, 10000])
+@pytest.mark.parametrize("size", [1, 100, 10000])
 def test_well_formed_changelog_is_last_write_wins(spark, size):
     events = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     events.createOrReplaceTempView("events")

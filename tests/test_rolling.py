@@ -52,6 +52,15 @@ def test_interval_before_the_epoch(spark):
     assert sorted(r["bulk_id"] for r in roll_by_interval(df, 1000).collect()) == [-1, 0]
 
 
+def test_wall_clock_arrival_ignores_the_session_zone(spark):
+    df = spark.sql("select timestamp_ntz'1970-01-02 00:00:00.000001' as ts")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert roll_by_interval(df, 3_600_000).first()["bulk_id"] == 24
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_large_sequence_numbers_stay_exact(spark):
     start = (1 << 62) + 1
     df = spark.range(start, start + 100).withColumnRenamed("id", "seq").withColumn("writer", F.lit(0))

@@ -94,8 +94,8 @@ def test_batches_in_order(spark, tmp_path, max_log, ratio):
     sink = DocumentSink(spark, str(tmp_path), options(flush_size=13, max_log=max_log, compact_ratio=ratio))
     sink.collection.create(spark.sql("select '-1' as _key, -1 as id, 0D as v"))
     start = {"-1": {"id": -1, "v": 0.0}}
-    data = changelog(500)
-    batches = [data[i : i + 120] for i in range(0, 500, 120)]
+    data = changelog(360)
+    batches = [data[i : i + 120] for i in range(0, 360, 120)]
     for n, batch in enumerate(batches):
         assert sink.write(rows(spark, batch), source="s", batch_id=n)
         assert held(sink.read()) == by_hand(batches[: n + 1], 13, start)
@@ -112,8 +112,8 @@ def test_log_is_folded_in_tiers(spark, tmp_path):
     """With a huge base no batch rewrites it, and the log stays short."""
     sink = DocumentSink(spark, str(tmp_path), options(flush_size=10, max_log=4, compact_ratio=1e9))
     sink.collection.create(spark.sql("select '-1' as _key, -1 as id, 0D as v"))
-    data = changelog(270)
-    batches = [data[i : i + 30] for i in range(0, 270, 30)]
+    data = changelog(180)
+    batches = [data[i : i + 30] for i in range(0, 180, 30)]
     for batch in batches:
         sink.write(rows(spark, batch))
         assert len(sink.collection.manifest().log) < 4
@@ -243,13 +243,28 @@ def test_own_encoder(spark, tmp_path):
     assert [r.asDict() for r in sink.read().collect()] == [{"_key": "a", "n": 3}]
 
 
+def test_encoder_in_python_runs_on_arrow_batches(spark, tmp_path):
+    def parse(batches):
+        for rows in batches:
+            parts = rows["line"].str.split(";", expand=True)
+            yield rows[["seq"]].assign(_key=parts[0], op=parts[1], n=parts[2].astype("int32"))
+
+    def encoder(lines):
+        parsed = lines.mapInPandas(parse, "seq long, _key string, op string, n int")
+        return parsed.select("_key", "op", "seq", F.struct("n").alias("doc"))
+
+    sink = DocumentSink(spark, str(tmp_path), options(), encoder=encoder)
+    sink.write(spark.createDataFrame([(0, "a;+I;1"), (1, "b;+I;2"), (2, "a;+U;3")], "seq long, line string"))
+    assert {r["_key"]: r["n"] for r in sink.read().collect()} == {"a": 3, "b": 2}
+
+
 def test_stream_equals_batch(spark, tmp_path):
     data = [(k, s, op, v, s // 25) for k, s, op, v in changelog(400, seed=5)]
     schema = "id int, seq long, op string, v double, bulk_id long"
     sink = DocumentSink(spark, str(tmp_path / "root"), options(max_log=3))
     source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
-    for n in range(4):
-        spark.createDataFrame(data[n * 100 : n * 100 + 100], schema).write.mode("append").parquet(source)
+    for n in range(2):
+        spark.createDataFrame(data[n * 200 : n * 200 + 200], schema).write.mode("append").parquet(source)
         query = sink.start(spark.readStream.schema(schema).parquet(source), checkpoint, available_now=True)
         query.awaitTermination()
     everything = spark.createDataFrame(data, schema)

@@ -47,7 +47,7 @@ def encode_scalars(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "encode_nulls",
     """
-    select _key, n, s, k, to_json({'o_orderkey': o_orderkey, 'n': n, 's': s, 'k': k}) as json
+    select _key, n, s, k, cast(to_json({'o_orderkey': o_orderkey, 'n': n, 's': s, 'k': k}) as varchar) as json
     from (select cast(o_orderkey as varchar) as _key, o_orderkey, cast(null as varchar) as n,
                  nullif(o_orderstatus, 'P') as s, nullif(o_custkey, 1) as k from orders)""",
 )

@@ -13,12 +13,14 @@ There is one writing job per collection at a time.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import asdict, dataclass, field, replace
 from itertools import groupby
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from docsink.functions.names import literal
 from docsink.operators.applying import apply_effects
 from docsink.operators.effects import EFFECT_COLUMNS, fold_effects
 
@@ -47,14 +49,25 @@ class Manifest:
     base_version: int | None = None
     base_schema: str | None = None
     base_size: int = 0
+    base_buckets: int | None = None
     log: list[LogEntry] = field(default_factory=list)
     batches: dict[str, int] = field(default_factory=dict)
 
 
 class Collection:
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    """Documents under ``path``.
+
+    With ``buckets`` the base is kept as Spark bucketed files by ``_key``: a log
+    of any size is then joined to it without shuffling the base. Choose about
+    one bucket per gigabyte; a compaction applies a changed number.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
+        if buckets is not None and buckets < 1:
+            raise ValueError("buckets must be at least 1")
         self.spark = spark
         self.path = path.rstrip("/")
+        self.buckets = buckets
         self._files = _Files(spark)
 
     def manifest(self) -> Manifest | None:
@@ -173,28 +186,49 @@ class Collection:
     def _read(self, manifest: Manifest) -> DataFrame:
         documents = None
         if manifest.base_version is not None:
-            schema = T.StructType.fromJson(json.loads(manifest.base_schema))
-            documents = self.spark.read.schema(schema).parquet(self._base_path(manifest.base_version))
+            documents = self._base(manifest)
         # Batches with the same document type are folded together; a change of
         # type starts a new fold, because an attribute a document does not have
         # is not the same as one that is null.
         for (doc_schema, _), entries in groupby(manifest.log, key=lambda e: e.schemas):
             run = list(entries)
+            small = self._broadcastable(run)
             documents = apply_effects(
                 documents,
-                self._log_effects(run),
+                self._log_effects(run, None if small else manifest.base_buckets),
                 T.StructType.fromJson(json.loads(doc_schema)),
-                small_effects=self._broadcastable(run),
+                small_effects=small,
             )
         if documents is None:
             return self.spark.createDataFrame([], "_key string")
         return documents
 
-    def _log_effects(self, run: list[LogEntry]) -> DataFrame:
-        """One effect per key for consecutive entries of one type."""
+    def _base(self, manifest: Manifest) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(manifest.base_schema))
+        path = self._base_path(manifest.base_version)
+        if manifest.base_buckets is None:
+            return self.spark.read.schema(schema).parquet(path)
+        # Only a table can tell Spark about buckets. It is an external one and
+        # needed just long enough to be resolved.
+        name = f"docsink_{uuid.uuid4().hex}"
+        self.spark.sql(
+            f"create table {name} ({schema.toDDL()}) using parquet "
+            f"clustered by (_key) into {manifest.base_buckets} buckets location {literal(path)}"
+        )
+        try:
+            documents = self.spark.table(name)
+            documents.schema  # noqa: B018  resolves the table
+            return documents
+        finally:
+            self.spark.sql(f"drop table {name}")
+
+    def _log_effects(self, run: list[LogEntry], buckets: int | None = None) -> DataFrame:
+        """One effect per key for consecutive entries of one type, placed like the base if it has buckets."""
         schema = T.StructType.fromJson(json.loads(run[0].effect_schema)).add("commit", "long")
         paths = [self._log_path(e.version) for e in run]
         effects = self.spark.read.schema(schema).option("basePath", f"{self.path}/log").parquet(*paths)
+        if buckets is not None:
+            effects = effects.repartition(buckets, "_key")
         if len(run) > 1:
             effects = fold_effects(effects, ("_key",), "commit", T.StructType.fromJson(json.loads(run[0].doc_schema)))
         return effects.select("_key", *EFFECT_COLUMNS)
@@ -207,16 +241,29 @@ class Collection:
     def _with_base(self, manifest: Manifest, documents: DataFrame) -> Manifest:
         version = manifest.version + 1
         path = self._base_path(version)
-        documents.write.mode("overwrite").parquet(path)
+        if self.buckets is None:
+            documents.write.mode("overwrite").parquet(path)
+        else:
+            self._write_buckets(documents, path, aligned=manifest.base_buckets == self.buckets)
         return replace(
             manifest,
             version=version,
             base_version=version,
             base_schema=documents.schema.json(),
             base_size=self._files.size(path),
+            base_buckets=self.buckets,
             log=[],
         )
 
+    def _write_buckets(self, documents: DataFrame, path: str, aligned: bool) -> None:
+        # Documents folded over a base of as many buckets already lie in them.
+        if not aligned:
+            documents = documents.repartition(self.buckets, "_key")
+        name = f"docsink_{uuid.uuid4().hex}"
+        self._files.delete(path)
+        documents.write.bucketBy(self.buckets, "_key").option("path", path).saveAsTable(name, format="parquet")
+        self.spark.sql(f"drop table {name}")
+
     def _broadcastable(self, run: list[LogEntry]) -> bool:
         limit = self._files.broadcast_limit()
         return limit > 0 and sum(e.size for e in run) * EXPANSION <= limit

@@ -38,7 +38,8 @@ class DocumentSink:
     ) -> None:
         self.options = options
         self.encoder = encoder or self._encode
-        self.collection = Collection(spark, f"{root.rstrip('/')}/{options.database}/{options.collection}")
+        path = f"{root.rstrip('/')}/{options.database}/{options.collection}"
+        self.collection = Collection(spark, path, options.buckets)
 
     def effects(self, rows: DataFrame) -> tuple[DataFrame, T.StructType]:
         """One effect per key for a finite set of rows."""

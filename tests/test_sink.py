@@ -197,6 +197,44 @@ def test_documents_with_maps_through_the_log(spark, tmp_path):
     assert sink.read().first()["m"] == {"z": 9}
 
 
+def test_bucketed_base_is_never_shuffled(spark, tmp_path):
+    sink = DocumentSink(spark, str(tmp_path), options(flush_size=13, buckets=6, max_log=3, compact_ratio=1e9))
+    start = {str(-k): {"id": -k, "v": 0.5} for k in range(1, 200)}
+    sink.collection.create(
+        spark.createDataFrame([(k, d["id"], d["v"]) for k, d in start.items()], "_key string, id int, v double")
+    )
+    data = changelog(360)
+    batches = [data[i : i + 120] for i in range(0, 360, 120)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n, batch in enumerate(batches):
+            sink.write(rows(spark, batch))
+            plan = sink.read()._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange ") == 1 and "Bucketed: true" in plan
+            assert held(sink.read()) == by_hand(batches[: n + 1], 13, start)
+        sink.collection.compact()
+        assert held(sink.read()) == by_hand(batches, 13, start)
+        base = tmp_path / "db" / "docs" / "base" / f"version={sink.collection.manifest().base_version}"
+        assert len([f for f in os.listdir(base) if f.startswith("part-")]) == 6
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    sink.write(rows(spark, batches[0]))
+    assert held(sink.read()) == by_hand([*batches, batches[0]], 13, start)
+    sink.collection.compact()
+    assert held(sink.read()) == by_hand([*batches, batches[0]], 13, start)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("docsink_")]
+
+
+def test_buckets_keep_odd_names(spark, tmp_path):
+    collection = Collection(spark, str(tmp_path / "it's"), buckets=2)
+    docs = spark.sql("select 'x' as _key, named_struct('$binary', 'b', 'a.b', map('k', 1)) as `s.t`, 1.50BD as `q``q`")
+    collection.create(docs)
+    assert collection.read().collect() == docs.collect()
+    with pytest.raises(ValueError):
+        Collection(spark, "x", buckets=0)
+
+
 def test_collection_life(spark, tmp_path):
     collection = Collection(spark, str(tmp_path / "c"))
     assert not collection.exists()

@@ -86,13 +86,9 @@ def effects_of_last_writes(changes: DataFrame) -> DataFrame:
 
 def fold_effects(effects: DataFrame, keys: Sequence[str], order: str, doc_type: T.StructType) -> DataFrame:
     """Combine the effects of each group, in ``order``, into one."""
-    # Nothing before the last reset matters.
-    live = effects.selectExpr(
-        "*", f"max(if(reset, {order}, null)) over (partition by {', '.join(keys)}) as _cut"
-    ).where(f"_cut is null or {order} >= _cut")
     if merging_fields(doc_type):
-        return _fold_merging(live, keys, order, doc_type)
-    return _fold_plain(live, keys, order)
+        return _fold_merging(effects, keys, order, doc_type)
+    return _fold_plain(effects, keys, order)
 
 
 def fold_bulks(
@@ -123,46 +119,56 @@ def fold_bulks(
     return fold_effects(segments, ("_key",), "_segment", doc_type)
 
 
-def _fold_plain(live: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """The first row that makes the key exist and the last that writes decide.
+def _fold_plain(effects: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """The last birth and the last write of a group decide.
 
-    Window functions over the placement and sorting ``fold_effects`` already
-    has; the group's last row carries the result. Aggregating instead would run
-    a partial and a final aggregation over the same sorted rows.
+    A birth is a row that makes the key exist when it did not; only one can come
+    after the last reset. All functions share one window, hence one pass over
+    rows that are already placed and sorted, and one row of the group carries
+    the result: the birth, or the last row if the key does not exist afterwards.
     """
-    over = f"over (partition by {', '.join(keys)})"
-    born = f"if(present, {order}, null)"
+    window = f"partition by {', '.join(keys)} order by {order}"
+    group = f"over ({window} rows between unbounded preceding and unbounded following)"
+    before = f"over ({window} rows between unbounded preceding and 1 preceding)"
+    state = "if(reset or present, present, null)"
     wrote = f"if(put is not null, {order}, null)"
-    folded = live.selectExpr(
+    rows = effects.selectExpr(
         *keys,
         order,
-        f"max({order}) {over} as _end",
-        f"bool_or(reset) {over} as reset",
-        f"min({born}) {over} as _born",
-        f"min_by(add, {born}) {over} as _add",
-        f"max({wrote}) {over} as _wrote",
-        f"max_by(put, {wrote}) {over} as _put",
-        f"bool_or(replaced) {over} as replaced",
-    ).where(f"{order} = _end")
+        "add",
+        f"present and (reset or not coalesce(last_value({state}) ignore nulls {before}, false)) as _birth",
+        f"max(if(reset, {order}, null)) {group} as _cut",
+        f"coalesce(last_value({state}) ignore nulls {group}, false) as present",
+        f"max({order}) {group} as _end",
+        f"max({wrote}) {group} as _wrote",
+        f"max_by(put, {wrote}) {group} as _put",
+        f"bool_or(replaced) {group} as replaced",
+    )
     # A later write hides the birth document; a row that does both (an upsert)
     # leaves ``add`` empty, unless its ``add`` came after its ``put``.
-    hidden = "coalesce(_wrote > _born or (_wrote = _born and _add is null), false)"
-    return folded.selectExpr(
+    hidden = f"coalesce(_wrote > {order} or (_wrote = {order} and add is null), false)"
+    return rows.where(
+        f"if(present, _birth and coalesce({order} >= _cut, true), {order} = _end)"
+    ).selectExpr(
         *keys,
-        "reset",
-        "_born is not null as present",
-        f"case when _born is null then null when not {hidden} then _add when reset then _put end as add",
-        "if(reset, null, _put) as put",
+        "_cut is not null as reset",
+        "present",
+        f"case when not present then null when not {hidden} then add when _cut is not null then _put end as add",
+        "if(_cut is not null, null, _put) as put",
         "replaced",
     )
 
 
-def _fold_merging(live: DataFrame, keys: Sequence[str], order: str, doc_type: T.StructType) -> DataFrame:
+def _fold_merging(effects: DataFrame, keys: Sequence[str], order: str, doc_type: T.StructType) -> DataFrame:
     """Ordered fold, for documents whose maps are merged.
 
     The collected list is short: one row per bulk of a segment, per segment of a
     group or per batch of a log, and only from the last delete on.
     """
+    # Nothing before the last reset matters.
+    live = effects.selectExpr(
+        "*", f"max(if(reset, {order}, null)) over (partition by {', '.join(keys)}) as _cut"
+    ).where(f"_cut is null or {order} >= _cut")
     by_order = f"(l, r) -> case when l.{order} < r.{order} then -1 when l.{order} > r.{order} then 1 else 0 end"
     listed = live.groupBy(*keys).agg(
         F.expr(f"array_sort(collect_list(struct({order}, {', '.join(EFFECT_COLUMNS)})), {by_order}) as _run")
@@ -176,7 +182,7 @@ def _fold_merging(live: DataFrame, keys: Sequence[str], order: str, doc_type: T.
 
 
 def _combined(x: str, y: str, doc_type: T.StructType) -> str:
-    """Effect of run ``x`` followed by run ``y``, which holds no reset (see ``fold_effects``)."""
+    """Effect of run ``x`` followed by run ``y``, which holds no reset (see ``_fold_merging``)."""
     over_add = merge_fields(f"{x}.add", f"{y}.put", doc_type)
     over_put = merge_fields(f"{x}.put", f"{y}.put", doc_type)
     return f"""struct(

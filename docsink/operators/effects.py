@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsink.functions.merging import lift_fields, merge_fields, mergeable
+from docsink.functions.names import literal
 from docsink.operators.bulks import (
     NET_DELETE,
     NET_INSERT,
@@ -33,7 +34,7 @@ from docsink.operators.bulks import (
     bulk_groups,
     net_actions,
 )
-from docsink.operators.changelog import DELETE
+from docsink.operators.changelog import ACCEPTED, DELETE
 
 EFFECT_COLUMNS = ("reset", "present", "add", "put", "replaced")
 
@@ -70,9 +71,13 @@ def effects_of_actions(net: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 
 
 def effects_of_last_writes(changes: DataFrame) -> DataFrame:
-    """Last write wins as effects: the last change of a key decides alone."""
+    """Last write wins as effects: the last change of a key decides alone.
+
+    Rows of other kinds than insert, update and delete say nothing here.
+    """
     doc_type = changes.schema["doc"].dataType
-    last = changes.groupBy("_key").agg(F.expr("max_by(struct(op, doc), seq) as _last"))
+    kinds = ", ".join(literal(op) for op in ACCEPTED)
+    last = changes.where(f"op in ({kinds})").groupBy("_key").agg(F.expr("max_by(struct(op, doc), seq) as _last"))
     doc = lift_fields("_last.doc", doc_type, cut="true") if merging_fields(doc_type) else "_last.doc"
     return last.selectExpr(
         "_key",

@@ -28,6 +28,9 @@ from docsink.operators.effects import EFFECT_COLUMNS, fold_effects
 # times larger when checking whether a log may be broadcast.
 EXPANSION = 8
 
+# Manifests kept at most, so that finding the latest stays a short listing.
+MAX_MANIFESTS = 100
+
 
 @dataclass(frozen=True)
 class LogEntry:
@@ -72,8 +75,7 @@ class Collection:
 
     def manifest(self) -> Manifest | None:
         """The latest version, or None when the collection does not exist yet."""
-        names = self._files.names(f"{self.path}/_versions")
-        numbers = [int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith((".", "_"))]
+        numbers = self._version_numbers()
         if not numbers:
             return None
         raw = json.loads(self._files.read(self._manifest_path(max(numbers))))
@@ -168,11 +170,7 @@ class Collection:
         """Delete manifests older than the last ``keep`` and data none of the kept ones uses."""
         if keep < 1:
             raise ValueError("keep must be at least 1")
-        numbers = sorted(
-            int(n.removesuffix(".json"))
-            for n in self._files.names(f"{self.path}/_versions")
-            if n.endswith(".json") and not n.startswith((".", "_"))
-        )
+        numbers = sorted(self._version_numbers())
         kept = [json.loads(self._files.read(self._manifest_path(n))) for n in numbers[-keep:]]
         used = {f"version={m['base_version']}" for m in kept}
         used_log = {f"commit={e['version']}" for m in kept for e in m["log"]}
@@ -270,6 +268,12 @@ class Collection:
 
     def _commit(self, manifest: Manifest) -> None:
         self._files.write(self._manifest_path(manifest.version), json.dumps(asdict(manifest)))
+        if manifest.version >= MAX_MANIFESTS:
+            self._files.delete(self._manifest_path(manifest.version - MAX_MANIFESTS))
+
+    def _version_numbers(self) -> list[int]:
+        names = self._files.names(f"{self.path}/_versions")
+        return [int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith(".")]
 
     def _manifest_path(self, version: int) -> str:
         return f"{self.path}/_versions/{version:020d}.json"

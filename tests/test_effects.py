@@ -118,6 +118,15 @@ def test_well_formed_changelog_is_last_write_wins(spark, size):
     assert exact.exceptAll(last).isEmpty() and last.exceptAll(exact).isEmpty()
 
 
+def test_last_write_ignores_other_kinds(spark):
+    rows = [("a", 0, "+I", 1), ("a", 1, "-U", 2), ("a", 2, None, 3), ("b", 0, "-U", 4)]
+    df = spark.createDataFrame(rows, "_key string, seq long, op string, v int")
+    df = df.select("_key", "seq", "op", F.struct("v").alias("doc"))
+    base = spark.createDataFrame([("b", 9)], "_key string, v int")
+    got = {r["_key"]: r["v"] for r in applying.apply_last_writes(base, df).collect()}
+    assert got == {"a": 1, "b": 9}
+
+
 DEEP = "doc struct<n:int, tags:map<string,int>, deep:map<string,map<string,int>>, s:struct<a:int, m:map<string,int>>>"
 
 

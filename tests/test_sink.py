@@ -191,7 +191,8 @@ def test_new_attributes_and_surviving_ones(spark, tmp_path):
 def test_documents_with_maps_through_the_log(spark, tmp_path):
     sink = DocumentSink(spark, str(tmp_path), options())
     sink.write(spark.sql("select 1 as id, 0L as seq, '+I' as op, map('a', 1, 'b', 2) as m"))
-    sink.write(spark.sql("select 1 as id, 1L as seq, '+U' as op, map('b', 0) as m union all select 1, 2L, '+U', map('c', 3)"))
+    twice = "select 1 as id, 1L as seq, '+U' as op, map('b', 0) as m union all select 1, 2L, '+U', map('c', 3)"
+    sink.write(spark.sql(twice))
     assert sink.read().first()["m"] == {"a": 1, "b": 2, "c": 3}
     sink.write(spark.sql("select 1 as id, 3L as seq, '+U' as op, map('z', 9) as m"))
     assert sink.read().first()["m"] == {"z": 9}
@@ -265,6 +266,15 @@ def test_vacuum_keeps_what_is_in_use(spark, tmp_path):
         sink.collection.vacuum(keep=0)
 
 
+def test_old_manifests_go_away(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("docsink.sources.collection.MAX_MANIFESTS", 3)
+    sink = DocumentSink(spark, str(tmp_path), options(mode="lww", max_log=100))
+    for n in range(5):
+        sink.write(spark.sql(f"select {n} as id, 0L as seq, '+I' as op, 0D as v"))
+    assert len(sink.collection._version_numbers()) == 3
+    assert sink.read().count() == 5
+
+
 def test_own_encoder(spark, tmp_path):
     def encoder(lines):
         parsed = F.from_json("value", "id string, n int, gone boolean")
@@ -329,7 +339,8 @@ def test_failing_stream_reports_and_recovers(spark, tmp_path):
     sink = DocumentSink(spark, str(tmp_path / "root"), options(flush_size=10))
 
     def broken(df):
-        return df.select(F.col("id").cast("string").alias("_key"), F.raise_error(F.lit("boom")).cast("string").alias("op"), "seq", F.struct("id").alias("doc"))
+        op = F.raise_error(F.lit("boom")).cast("string").alias("op")
+        return df.select(F.col("id").cast("string").alias("_key"), op, "seq", F.struct("id").alias("doc"))
 
     failing = DocumentSink(spark, str(tmp_path / "root"), options(flush_size=10), encoder=broken)
     query = failing.start(spark.readStream.schema(schema).parquet(source), checkpoint, available_now=True)

@@ -28,6 +28,9 @@ from docsink.operators.effects import EFFECT_COLUMNS, fold_effects
 # times larger when checking whether a log may be broadcast.
 EXPANSION = 8
 
+# A log this many times longer than wanted is compacted, whatever its size.
+MIXED_LOG = 4
+
 # Manifests kept at most, so that finding the latest stays a short listing.
 MAX_MANIFESTS = 100
 
@@ -132,12 +135,14 @@ class Collection:
         until then recent entries are folded together, an older one joining in
         when it is not much larger than those after it. So an entry takes part
         in few foldings, and the cost of a batch does not grow with the base.
+        Entries of different document types cannot be folded together; a log
+        that stays long because of them is compacted after all.
         """
         manifest = self.manifest()
         if manifest is None or len(manifest.log) < max_log:
             return
         sizes = [entry.size for entry in manifest.log]
-        if sum(sizes) >= ratio * manifest.base_size:
+        if sum(sizes) >= ratio * manifest.base_size or len(sizes) >= MIXED_LOG * max_log:
             self.compact()
             return
         start = max(len(sizes) - max(2, max_log // 2), 0)

@@ -131,6 +131,11 @@ def test_log_of_several_document_types(spark, tmp_path):
         sink.collection.fold_log(2)
     got = {r["_key"]: (r["a"], r["b"]) for r in sink.read().collect()}
     assert got == {"9": (None, None), "1": (0, None), "2": (None, "x")}
+    sink.collection.tidy(2, 1e9)
+    assert len(sink.collection.manifest().log) == 6
+    sink.collection.tidy(1, 1e9)
+    assert sink.collection.manifest().log == []
+    assert {r["_key"]: (r["a"], r["b"]) for r in sink.read().collect()} == got
 
 
 def test_reading_without_broadcast_gives_the_same(spark, tmp_path):

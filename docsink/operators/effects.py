@@ -13,7 +13,7 @@ run of consecutive actions on a key can be summed up in one row, its *effect*:
 Effects of adjoining runs combine into the effect of the joined run, so a key
 can be folded in segments of bulks first and over its segments afterwards. A
 key that holds a third of all changes is spread over as many tasks as it has
-segments and no task ever sees all of it.
+segments; the task that joins the segments sees one row for each.
 """
 
 from __future__ import annotations

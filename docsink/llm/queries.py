@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docsink.llm.exact_dedup import exact_dedup_report
+from docsink.llm.toxicity import toxicity_scores, train
 from docsink.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +39,9 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
 )
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup_report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_scores(docs, train(docs, table(spark, sf_dir, "labels")))

@@ -63,8 +63,8 @@ class _Rows:
     def __init__(self, rows: list[np.ndarray]) -> None:
         sizes = np.array([len(r) for r in rows])
         self.n = len(rows)
-        self.column = np.concatenate(rows) if self.n else np.zeros(0, np.int64)
-        self.row = np.repeat(np.arange(self.n), sizes)
+        self.column = np.concatenate(rows).astype(np.int32) if self.n else np.zeros(0, np.int32)
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
         self.value = np.repeat(SCALE / np.sqrt(np.maximum(sizes, 1)), sizes)
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
@@ -151,17 +151,22 @@ def train(
     number = {row.word: i for i, row in enumerate(known.collect())}
     vocabulary = list(number)
 
+    def numbers(words: pd.Series) -> pd.Series:
+        return words.map(lambda ws: np.array([number[w] for w in ws if w in number], np.int32))
+
     def member(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "positive"])
-        columns = [np.array([number[w] for w in ws if w in number], np.int64) for ws in rows["words"]]
-        positive = [c for c, p in zip(columns, rows["positive"], strict=True) if p]
-        unlabelled = [c for c, p in zip(columns, rows["positive"], strict=True) if not p]
+        positive = rows.loc[rows["positive"], "known"].tolist()
+        unlabelled = rows.loc[~rows["positive"], "known"].tolist()
         if not positive or not unlabelled:
             return pd.DataFrame({"word": [], "weight": []})
         weights, constant = fit(positive, unlabelled, prior, len(vocabulary))
         return pd.DataFrame({"word": [*vocabulary, BIAS], "weight": [*weights, constant]})
 
-    fitted = sample.groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(MEMBERS)).alias("member")).applyInPandas(
+    # Numbers instead of words, so that a member's share of the sample is small.
+    known = F.pandas_udf(numbers, "array<int>")("words").alias("known")
+    member_of = F.pmod(F.xxhash64("doc_id"), F.lit(MEMBERS)).alias("member")
+    fitted = sample.select(member_of, "doc_id", "positive", known).groupBy("member").applyInPandas(
         member, "word string, weight double"
     )
     averaged = fitted.groupBy("word").agg(F.avg("weight").alias("weight")).collect()

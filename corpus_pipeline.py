@@ -6,21 +6,50 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docsink.llm.decontamination import drop_contaminated
 from docsink.llm.exact_dedup import exact_dedup
+from docsink.llm.minhash import drop_near_duplicates
+from docsink.llm.packing import pack
+from docsink.llm.toxicity import drop_toxic, train
 from docsink.plans.tables import table, work_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the row with the largest doc_id stays."""
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic."""
+    return drop_toxic(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest doc_id."""
     return exact_dedup(docs)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class."""
+    return drop_near_duplicates(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Length buckets and batches of what is left."""
+    return pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("exact dedup", drop_copies),
+    ("toxicity", clean),
+    ("exact dedup", without_copies),
+    ("near duplicates", without_near_copies),
+    ("decontamination", without_benchmark),
+    ("packing", packed),
 ]
 
+# Training a classifier and minwise hashing are beyond SQL.
 ORACLE_SQL: str | None = None
 
 

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docsink.llm.decontamination import contamination_report
 from docsink.llm.exact_dedup import exact_dedup_report
 from docsink.llm.minhash import near_duplicate_report
+from docsink.llm.packing import pack
 from docsink.llm.toxicity import toxicity_scores, train
 from docsink.plans.tables import table
 
@@ -42,11 +44,21 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup_report(table(spark, sf_dir, "documents"))
 
 
+@query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 @query("op7_minhash")
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+@query("op8_decontamination")
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -10,6 +10,8 @@ from docsink.llm.decontamination import contamination_report
 from docsink.llm.exact_dedup import exact_dedup_report
 from docsink.llm.minhash import near_duplicate_report
 from docsink.llm.packing import pack
+from docsink.llm.token_counts import token_counts
+from docsink.llm.token_files import token_file_report
 from docsink.llm.toxicity import toxicity_scores, train
 from docsink.plans.tables import table
 
@@ -44,6 +46,16 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup_report(table(spark, sf_dir, "documents"))
 
 
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op5_token_files")
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_report(spark, table(spark, sf_dir, "documents"))
+
+
 @query("op6_packing")
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))

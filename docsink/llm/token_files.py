@@ -19,10 +19,10 @@ its own per task attempt, and only names in the index table count: an attempt
 that was lost leaves nothing that is read. The folder is the shared one, by any
 scheme that ``pyarrow.fs`` knows.
 
-Ids come from the tokenizers library. Text between single spaces is encoded once
-and remembered: such a space always begins a pre-token, so the parts' ids in a
-row are the text's. Texts with runs of white space are cut into pre-tokens, and
-texts with special strings go through the library whole.
+Ids come from the tokenizers library, which merges each pre-token on its own: it
+encodes a pre-token once, and its ids are remembered. So are those of what
+stands between single spaces, as such a space always begins a pre-token. Texts
+with special strings go through the library whole.
 
 Defined results: null and empty texts are just the end id. Documents of equal
 ``doc_id`` follow in the order of a hash of their text; a null ``doc_id`` comes
@@ -35,6 +35,7 @@ import io
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -56,8 +57,7 @@ MAGIC = b"PLN1"
 BLOCK = 1 << 15
 END_ID = 0
 LEVEL = 3
-MAX_REMEMBERED = 300_000
-LONG = 64
+MAX_REMEMBERED = 400_000  # of either kind, in a Python worker
 CHUNK_CHARS = 2_000_000
 
 _PACK = struct.Struct("<6Q")
@@ -65,28 +65,6 @@ _PACK = struct.Struct("<6Q")
 _RUN = regex.compile(r"\p{White_Space} | \p{White_Space}|^ | $")
 
 
-class _Remembered(dict):
-    """Ids, as bytes, of pieces that ``encode`` turns into ids."""
-
-    def __init__(self, model: Tokenizer, lead: str) -> None:
-        super().__init__()
-        self.model, self.lead = model, lead
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.model.encode(self.lead + piece, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(piece) <= LONG:
-            self[piece] = ids
-        return ids
-
-    def learn(self, pieces: set[str]) -> None:
-        """Encode what is new among ``pieces`` in one go."""
-        if len(self) > MAX_REMEMBERED:
-            self.clear()
-        new = [p for p in pieces if p not in self and len(p) <= LONG]
-        for piece, found in zip(new, self.model.encode_batch_fast([self.lead + p for p in new], add_special_tokens=False), strict=True):
-            self[piece] = np.array(found.ids, "<u4").tobytes()
-
-
 class IdEncoder:
     """The library's ids of whole texts, as little-endian bytes."""
 
@@ -94,10 +72,11 @@ class IdEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         spec = read_vocabulary(path)
         self.whole = Tokenizer.from_file(path)
-        self.spaced = _Remembered(self.whole, " ")
-        self.pieces = _Remembered(merger(spec), "")
+        self.merger = merger(spec)
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.cut = regex.compile(PRE_TOKEN).findall
+        self.pieces: dict[str, bytes] = {}  # ids of pre-tokens
+        self.words: dict[str, bytes] = {}  # ids of what stands between two spaces, the first space included
 
     def encode(self, texts: list[str]) -> list[bytes]:
         plain: dict[int, list[str]] = {}
@@ -109,17 +88,33 @@ class IdEncoder:
                 runs[i] = self.cut(text)
             elif text:
                 plain[i] = text.split(" ")
-        self.spaced.learn({p for parts in plain.values() for p in parts[1:]})
-        self.pieces.learn({p for parts in runs.values() for p in parts})
-        return [self._ids(text, plain.get(i), runs.get(i)) for i, text in enumerate(texts)]
-
-    def _ids(self, text: str, plain: list[str] | None, run: list[str] | None) -> bytes:
-        if plain is not None:
-            first = np.array(self.whole.encode(plain[0], add_special_tokens=False).ids, "<u4").tobytes()
-            return first + b"".join(map(self.spaced.__getitem__, plain[1:]))
-        if run is not None:
-            return b"".join(map(self.pieces.__getitem__, run))
-        return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        for known in (self.pieces, self.words):
+            if len(known) > MAX_REMEMBERED:
+                known.clear()
+        new = {w: self.cut(" " + w) for parts in plain.values() for w in parts[1:] if w not in self.words}
+        firsts = {i: self.cut(parts[0]) for i, parts in plain.items()}
+        self._learn({p for cut in (new, firsts, runs) for parts in cut.values() for p in parts})
+        piece, word = self.pieces.__getitem__, self.words.__getitem__
+        self.words.update((w, b"".join(map(piece, parts))) for w, parts in new.items())
+        out = []
+        for i, text in enumerate(texts):
+            if i in plain:
+                out.append(b"".join([*map(piece, firsts[i]), *map(word, plain[i][1:])]))
+            elif i in runs:
+                out.append(b"".join(map(piece, runs[i])))
+            else:
+                out.append(_bytes(self.whole.encode(text, add_special_tokens=False).ids))
+        return out
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Encode pre-tokens that were not met before, all in one go."""
+        new = [p for p in pieces if p not in self.pieces]
+        found = self.merger.encode_batch_fast(new, add_special_tokens=False)
+        self.pieces.update((p, _bytes(f.ids)) for p, f in zip(new, found, strict=True))
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
 
 
 @lru_cache(maxsize=1)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docsink.llm.chat import conversation_digests, format_windows
 from docsink.llm.decontamination import contamination_report
 from docsink.llm.exact_dedup import exact_dedup_report
 from docsink.llm.minhash import near_duplicate_report
@@ -46,6 +47,66 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup_report(table(spark, sf_dir, "documents"))
 
 
+_CONTROL_CASE = """
+select * from values
+  (cast(-7 as bigint), cast(0 as bigint), 'user', '</s>[INST] ok [/INST]'),
+  (cast(-7 as bigint), cast(1 as bigint), 'assistant', '</s>[INST] ok [/INST]') as t(conv_id, turn, role, text)"""
+
+
+# The spans are a function of prefix sums, which SQL has as window functions.
+@query(
+    "op3_chat_windows",
+    r"""
+    with src as (
+      select conv_id, turn, role, text from conversations
+      union all
+      select -7, i, case i when 0 then 'user' else 'assistant' end, '</s>[INST] ok [/INST]' from range(2) r(i)),
+    t as (
+      select conv_id as c, turn, coalesce(role, '') as role, coalesce(text, '') as text,
+             len(regexp_extract_all(coalesce(text, ''), '\S+')) + 4 as tokens
+      from src),
+    s as (
+      select *, first_value(case when role = 'system' then tokens end ignore nulls) over (
+          partition by c order by turn, role, text rows between unbounded preceding and unbounded following) as st,
+        coalesce(sum(tokens) over (
+          partition by c order by turn, role, text rows between unbounded preceding and 1 preceding), 0) as p
+      from t),
+    g as (
+      select *, greatest((1024 - 128 - coalesce(st, 0)) // 2, 128) as g,
+             min(case when role = 'system' then p end) over (partition by c) as q
+      from s),
+    cells as (select *, p // g as cell, case when tokens > g then 1 else 0 end as long_turn from g),
+    parts as (
+      select *, 2 * coalesce(sum(long_turn) over (
+          partition by c, cell order by p rows between unbounded preceding and 1 preceding), 0) + long_turn as part
+      from cells),
+    placed as (
+      select *, min(p) over (partition by c, cell, part) as span,
+        length(replace(replace(replace(replace(replace(replace(replace(replace(replace(text, '', '\'), '<|', '<\|'),
+          '|>', '|\>'), '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]'),
+          '<<SYS>>', '<\<SYS>>'), '<</SYS>>', '<\</SYS>>')) + length(role) + 14 as chars
+      from parts),
+    spans as (select distinct c, span from placed),
+    shown as (
+      select c, chars from placed
+      union all
+      select d.c, d.chars from placed d join spans s on d.c = s.c and s.span > d.p
+      where s.span - d.p <= 128 and d.p is distinct from d.q or d.p = d.q),
+    formatted as (select c, cast(sum(chars) as bigint) as formatted_chars from shown group by c),
+    said as (
+      select c, count(*) as n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' order by p)) as turns_sha256,
+        coalesce(string_agg(case when role = 'assistant' then text end, '' order by p), '') as learnt
+      from placed group by c)
+    select c as conv_id, n_turns, turns_sha256, cast(length(learnt) as bigint) as loss_chars,
+           sha256(learnt) as loss_sha256, formatted_chars
+    from said join formatted using (c)""",
+)
+def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_digests(format_windows(turns.unionByName(spark.sql(_CONTROL_CASE))))
+
+
 @query("op4_token_counts")
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from docsink.llm.chat import conversation_digests, format_windows
 from docsink.llm.decontamination import contamination_report
 from docsink.llm.exact_dedup import exact_dedup_report
+from docsink.llm.html_text import main_text
 from docsink.llm.minhash import near_duplicate_report
 from docsink.llm.packing import pack
 from docsink.llm.token_counts import token_counts
@@ -132,6 +133,11 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op9_html_text")
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 @query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")

@@ -11,10 +11,12 @@ darts lie, whatever its length; each dart names one of ``k`` coordinates, and
 the earliest dart per coordinate is the signature.
 
 Signatures are banded. Every document of a bucket is compared with the bucket's
-smallest document; documents that end up in different classes though they share
-a bucket are then compared with one another, so no link that shares a bucket is
-lost and a bucket of one class costs one comparison per document. All links are
-verified exactly on the shingles. Copies of a text are compared once.
+smallest document. Buckets whose documents end up in more than one class are cut
+into blocks of bounded size, and blocks are compared with one another inside
+tasks, but for blocks of one and the same class; so no link that shares a bucket
+is lost, no pairs are written down but links, and a bucket of one class costs
+one comparison per document. All links are verified exactly on the shingles.
+Copies of a text are compared once.
 
 Defined results: a null text counts as empty; equal texts always share a class,
 other texts without words are alone. A text of fewer than five words is one
@@ -28,9 +30,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsink.llm.common import join_groups, mix64, text_of, written
@@ -43,6 +46,9 @@ ROWS = 5
 FIRST = -7  # ranks below 2**FIRST are the first interval
 CHUNK_DOCS = 512
 CHUNK_SHINGLES = 400_000
+BLOCK_CELLS = 400_000  # of a block of a bucket; a longer document is a block of its own
+DOC_WEIGHT = 800  # cells a document counts for besides its own, so that blocks of short ones stay small
+COLUMNS = 4096  # of the tables compared at once
 MAX_WORDS = 500_000  # remembered word hashes of a Python worker
 
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -206,6 +212,57 @@ def _similar_sizes() -> Column:
     return F.least("n", "m") >= SIMILARITY * F.greatest("n", "m")
 
 
+def _shared(rows: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """Numbers of common cells of every row and every other."""
+    common, place = np.unique(np.concatenate(rows + others), return_inverse=True)
+    owner = np.repeat(np.arange(len(rows) + len(others)), [len(r) for r in rows + others])
+    frequent = np.bincount(place, minlength=len(common)) > 1
+    number = np.cumsum(frequent) - 1
+    keep = frequent[place]
+    place, owner = number[place[keep]], owner[keep]
+    order = np.argsort(place, kind="stable")
+    place, owner = place[order], owner[order]
+    shared = np.zeros((len(rows), len(others)), np.float32)
+    for first in range(0, int(frequent.sum()), COLUMNS):
+        a, b = np.searchsorted(place, [first, first + COLUMNS])
+        table = np.zeros((len(rows) + len(others), COLUMNS), np.float32)
+        table[owner[a:b], place[a:b] - first] = 1
+        shared += table[: len(rows)] @ table[len(rows) :].T
+    return shared
+
+
+def _compare_blocks(group: pd.DataFrame) -> pd.DataFrame:
+    """Links between documents of different classes, of two blocks or inside one."""
+    one = group[group["side"] == 0]
+    two = group[group["side"] == 1]
+    two = two if len(two) else one
+    ids, others = one["id"].to_numpy(), two["id"].to_numpy()
+    rows, columns = one["cells"].tolist(), two["cells"].tolist()
+    shared = _shared(rows, columns)
+    sizes = np.array([len(r) for r in rows])[:, None] + np.array([len(r) for r in columns])[None, :]
+    linked = shared >= SIMILARITY * (sizes - shared) * (1 - 1e-9)
+    linked &= one["root"].to_numpy()[:, None] != two["root"].to_numpy()[None, :]
+    i, j = np.nonzero(linked)
+    return pd.DataFrame({"lo": np.minimum(ids[i], others[j]), "hi": np.maximum(ids[i], others[j])}).drop_duplicates()
+
+
+def _links_across(placed: DataFrame, cells: DataFrame) -> DataFrame:
+    """Links between classes that share a bucket: ``placed`` is ``band, id, n, root``."""
+    before = Window.partitionBy("band").orderBy("root", "id")
+    weight = F.sum(F.col("n") + DOC_WEIGHT).over(before)
+    placed = written(placed.withColumn("block", F.call_function("div", weight, F.lit(BLOCK_CELLS))), "blocks")
+    blocks = placed.groupBy("band", "block").agg(F.min("root").alias("first"), F.max("root").alias("last"))
+    other = blocks.select("band", F.col("block").alias("j"), F.col("first").alias("first2"), F.col("last").alias("last2"))
+    same = (F.col("first") == F.col("last")) & (F.col("first") == F.col("first2")) & (F.col("last") == F.col("last2"))
+    meetings = blocks.withColumnRenamed("block", "i").join(other, "band").where((F.col("i") <= F.col("j")) & ~same)
+    meetings = meetings.select("band", "i", "j")
+    left = placed.join(meetings.withColumn("block", F.col("i")), ["band", "block"]).withColumn("side", F.lit(0))
+    right = meetings.where("i < j").withColumn("block", F.col("j"))
+    right = placed.join(right, ["band", "block"]).withColumn("side", F.lit(1))
+    rows = left.unionByName(right).select("band", "i", "j", "side", "id", "root").join(cells, "id")
+    return rows.groupBy("band", "i", "j").applyInPandas(_compare_blocks, "lo long, hi long").distinct()
+
+
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     """``(id, class_id, class_size)`` for every row; ``id`` is ``doc_id`` where there is one."""
     rows = docs.select(_id(docs, text_of()).alias("id"), F.md5(text_of()).alias("copy"), text_of().alias("text"))
@@ -226,16 +283,12 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     links = written(_verified(to_leader, cells), "links")
     roots = connected_components(links)
 
-    # Buckets that still hold more than one class: the classes are compared with one another.
+    # Buckets that still hold more than one class.
     placed = buckets.join(roots.withColumnRenamed("node", "id"), "id", "left")
     placed = placed.select("band", "id", "n", F.coalesce("root", "id").alias("root"))
     mixed = placed.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("band")
-    placed = written(placed.join(mixed, "band", "left_semi"), "mixed")
-    other = placed.select("band", F.col("id").alias("hi"), F.col("n").alias("m"), F.col("root").alias("other"))
-    across = placed.withColumnRenamed("id", "lo").join(other, "band").where(F.col("root") < F.col("other"))
-    across = across.where(_similar_sizes()).select(F.least("lo", "hi").alias("lo"), F.greatest("lo", "hi").alias("hi"))
-    across = across.distinct().join(to_leader, ["lo", "hi"], "left_anti")
-    links = links.unionAll(_verified(across, cells))
+    placed = placed.join(mixed, "band", "left_semi")
+    links = links.unionAll(written(_links_across(placed, cells), "across"))
     # Copies of one text are linked to their first document; repeated ids are one node anyway.
     roots = connected_components(links)
 

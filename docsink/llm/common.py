@@ -16,10 +16,10 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def written(frame: DataFrame, purpose: str) -> DataFrame:
+def written(frame: DataFrame, purpose: str, *by: str) -> DataFrame:
     """Write to the shared folder and read again: lost executors cost no recomputation."""
     path = f"{work_dir(frame.sparkSession, purpose)}/{purpose}"
-    frame.write.parquet(path)
+    frame.write.partitionBy(*by).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -10,6 +10,7 @@ from docsink.llm.chat import conversation_digests, format_windows
 from docsink.llm.decontamination import contamination_report
 from docsink.llm.exact_dedup import exact_dedup_report
 from docsink.llm.html_text import main_text
+from docsink.llm.lm_scoring import lm_scores
 from docsink.llm.minhash import near_duplicate_report
 from docsink.llm.packing import pack
 from docsink.llm.token_counts import token_counts
@@ -48,6 +49,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup_report(table(spark, sf_dir, "documents"))
 
 
+@query("op2_lm_scoring")
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 _CONTROL_CASE = """
 select * from values
   (cast(-7 as bigint), cast(0 as bigint), 'user', '</s>[INST] ok [/INST]'),

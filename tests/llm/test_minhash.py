@@ -1,0 +1,120 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from docsink.llm.components import connected_components
+from docsink.llm.minhash import dart_signatures, drop_near_duplicates, near_duplicate_report, shingle_elements
+from tests.llm.conftest import prose
+
+
+def shingles(text):
+    words = (text or "").split()
+    if len(words) < 5:
+        return Counter([tuple(words)] if words else [])
+    return Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+
+def similarity(a, b):
+    both = sum((a & b).values())
+    whole = sum((a | b).values())
+    return both / whole if whole else 0.0
+
+
+def classes(rows):
+    parent = {i: i for i, _ in rows}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    sets = {i: shingles(t) for i, t in rows}
+    texts = {i: t or "" for i, t in rows}
+    for i in parent:
+        for j in parent:
+            if i < j and (texts[i] == texts[j] or similarity(sets[i], sets[j]) >= 0.8):
+                a, b = root(i), root(j)
+                parent[max(a, b)] = min(a, b)
+    return {i: root(i) for i in parent}
+
+
+def changed(text, seed, times):
+    rng, words = random.Random(seed), text.split()
+    for _ in range(times):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(1000)}"
+    return " ".join(words)
+
+
+@pytest.fixture
+def rows():
+    rows = [(i, prose(i, 120)) for i in range(30)]
+    rows += [(100 + i, changed(prose(i % 6, 120), i, i % 4)) for i in range(60)]
+    chain = prose(77, 200)
+    for i in range(8):
+        rows.append((300 + i, chain))
+        chain = changed(chain, i, 3)
+    rows += [(400, None), (401, ""), (402, "  "), (403, "one two"), (404, "one two"), (405, "one two three")]
+    rows += [(406, "again and again it says the same thing\n" * 30), (407, "again and again it says the same thing\n" * 26)]
+    rows += [(408, "again and again it says the same thing\n" * 5), (409, prose(5, 30_000)), (410, changed(prose(5, 30_000), 1, 40))]
+    return rows
+
+
+def test_classes_equal_brute_force(documents, rows):
+    got = near_duplicate_report(documents(rows, class_id="x")).collect()
+    want = classes(rows)
+    assert {r.doc_id: r.class_id for r in got} == want
+    sizes = Counter(want.values())
+    assert all(r.class_size == sizes[r.class_id] for r in got)
+    assert {r.doc_id for r in got if r.kept} == set(want.values())
+
+
+def test_blocks_of_a_bucket_lose_no_link(documents, monkeypatch):
+    """Many copies, each changed in its own way: the smallest is linked to few of them."""
+    monkeypatch.setattr("docsink.llm.minhash.BLOCK_CELLS", 4000)
+    base = prose(1, 200)
+    rows = [(i, changed(base, i, i % 12)) for i in range(80)]
+    got = near_duplicate_report(documents(rows)).collect()
+    assert {r.doc_id: r.class_id for r in got} == classes(rows)
+
+
+def test_one_document_of_each_class_stays(documents, rows):
+    docs = documents([*rows, (None, prose(900, 50)), (None, prose(901, 50))], _row="x", _id="y")
+    got = drop_near_duplicates(docs)
+    assert got.columns == docs.columns
+    ids = [r.doc_id for r in got.collect()]
+    assert ids.count(None) == 2
+    assert {i for i in ids if i is not None} == set(classes(rows).values())
+
+
+def test_empty_table(documents):
+    assert near_duplicate_report(documents([])).collect() == []
+
+
+@pytest.mark.parametrize("size", [1, 40, 3000])
+def test_coordinates_agree_as_often_as_sets(size):
+    a = prose(1, size)
+    b = changed(a, 2, size // 60) if size > 60 else a
+    cells, counts = shingle_elements([a, b])
+    k = 1500
+    one, two = dart_signatures(cells, counts, k)
+    want = similarity(shingles(a), shingles(b))
+    assert abs((one == two).mean() - want) <= 4 * (want * (1 - want) / k) ** 0.5 + 1e-9
+
+
+def test_weights_count():
+    """Repeating a line changes the weighted similarity."""
+    a, b = "x y z u v w " * 40, "x y z u v w " * 20
+    cells, counts = shingle_elements([a, b])
+    one, two = dart_signatures(cells, counts, 1500)
+    want = similarity(shingles(a), shingles(b))
+    assert 0.4 < want < 0.6 and abs((one == two).mean() - want) < 0.06
+    assert counts.tolist() == [236, 116] and len(np.unique(cells[:236])) == 236
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 140)] + [(200, 201), (201, 200), (300, 300)]
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "lo long, hi long")).collect()}
+    want = {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)} | {200: 200, 201: 200}
+    assert got == want

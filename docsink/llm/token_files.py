@@ -19,10 +19,10 @@ its own per task attempt, and only names in the index table count: an attempt
 that was lost leaves nothing that is read. The folder is the shared one, by any
 scheme that ``pyarrow.fs`` knows.
 
-Ids come from the tokenizers library, which merges each pre-token on its own: it
-encodes a pre-token once, and its ids are remembered. So are those of what
-stands between single spaces, as such a space always begins a pre-token. Texts
-with special strings go through the library whole.
+Ids come from the tokenizers library. What stands between single spaces is
+encoded once and remembered, as such a space always begins a pre-token. Texts
+with special strings or with runs of white space that hold a space go through
+the library whole.
 
 Defined results: null and empty texts are just the end id. Documents of equal
 ``doc_id`` follow in the order of a hash of their text; a null ``doc_id`` comes
@@ -41,7 +41,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
@@ -50,19 +49,18 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from docsink.llm.common import text_of, written
-from docsink.llm.token_counts import PRE_TOKEN, default_vocabulary, merger, read_vocabulary
+from docsink.llm.token_counts import byte_letters, default_vocabulary, read_vocabulary
 from docsink.plans.tables import work_dir
 
 MAGIC = b"PLN1"
 BLOCK = 1 << 15
 END_ID = 0
 LEVEL = 3
-MAX_REMEMBERED = 400_000  # of either kind, in a Python worker
+MAX_REMEMBERED = 600_000  # words, in a Python worker
+LEARN_WORDS = 4000
 CHUNK_CHARS = 2_000_000
 
 _PACK = struct.Struct("<6Q")
-# A space that white space precedes or follows, or that begins or ends the text.
-_RUN = regex.compile(r"\p{White_Space} | \p{White_Space}|^ | $")
 
 
 class IdEncoder:
@@ -72,45 +70,57 @@ class IdEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         spec = read_vocabulary(path)
         self.whole = Tokenizer.from_file(path)
-        self.merger = merger(spec)
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.cut = regex.compile(PRE_TOKEN).findall
-        self.pieces: dict[str, bytes] = {}  # ids of pre-tokens
-        self.words: dict[str, bytes] = {}  # ids of what stands between two spaces, the first space included
+        space = next(letter for letter, byte in byte_letters().items() if byte == ord(" "))
+        self.spaced = np.zeros(max(spec["model"]["vocab"].values()) + 1, bool)
+        self.spaced[[i for entry, i in spec["model"]["vocab"].items() if entry.startswith(space)]] = True
+        self.words: dict[str, bytes] = {}  # ids of a word with the space before it
+        self.tails = {c: _bytes(self.whole.encode(c, add_special_tokens=False).ids) for c in ",."}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain: dict[int, list[str]] = {}
-        runs: dict[int, list[str]] = {}
-        for i, text in enumerate(texts):
-            if any(s in text for s in self.special):
-                continue
-            if _RUN.search(text):
-                runs[i] = self.cut(text)
-            elif text:
-                plain[i] = text.split(" ")
-        for known in (self.pieces, self.words):
-            if len(known) > MAX_REMEMBERED:
-                known.clear()
-        new = {w: self.cut(" " + w) for parts in plain.values() for w in parts[1:] if w not in self.words}
-        firsts = {i: self.cut(parts[0]) for i, parts in plain.items()}
-        self._learn({p for cut in (new, firsts, runs) for parts in cut.values() for p in parts})
-        piece, word = self.pieces.__getitem__, self.words.__getitem__
-        self.words.update((w, b"".join(map(piece, parts))) for w, parts in new.items())
-        out = []
-        for i, text in enumerate(texts):
-            if i in plain:
-                out.append(b"".join([*map(piece, firsts[i]), *map(word, plain[i][1:])]))
-            elif i in runs:
-                out.append(b"".join(map(piece, runs[i])))
-            else:
-                out.append(_bytes(self.whole.encode(text, add_special_tokens=False).ids))
+        if len(self.words) > MAX_REMEMBERED:
+            self.words.clear()
+        split = [[] if any(s in t for s in self.special) else t.split(" ") for t in texts]
+        self._learn(set().union(*split).difference(self.words))
+        out, look = [], self.words.__getitem__
+        for text, words in zip(texts, split, strict=True):
+            ids = list(map(look, words))
+            # A special string, or a word that cannot be encoded apart.
+            if b"" in ids or not ids:
+                ids = [_bytes(self.whole.encode(text, add_special_tokens=False).ids)]
+            else:  # the first word has no space before it
+                ids[0] = _bytes(self.whole.encode(words[0], add_special_tokens=False).ids)
+            out.append(b"".join(ids))
         return out
 
-    def _learn(self, pieces: set[str]) -> None:
-        """Encode pre-tokens that were not met before, all in one go."""
-        new = [p for p in pieces if p not in self.pieces]
-        found = self.merger.encode_batch_fast(new, add_special_tokens=False)
-        self.pieces.update((p, _bytes(f.ids)) for p, f in zip(new, found, strict=True))
+    def _learn(self, new: set[str]) -> None:
+        """Encode words not met before, many in one text; ids that begin with the space tell where each begins.
+
+        What is empty or has white space at an end, so that a space beside it
+        is part of a run, cannot be encoded apart and gets no ids. A comma or
+        full stop after a letter is a pre-token of its own.
+        """
+        known = self.words
+        words, tails = [], []
+        for word in new:
+            if not word or word[0].isspace() or word[-1].isspace():
+                known[word] = b""
+            elif word[-1] in self.tails and word[-2:-1].isalpha():
+                tails.append(word)
+            else:
+                words.append(word)
+        words += {w[:-1] for w in tails if w[:-1] not in known and w[:-1] not in new}
+        for start in range(0, len(words), LEARN_WORDS):
+            some = words[start : start + LEARN_WORDS]
+            ids = np.array(self.whole.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(self.spaced[ids])
+            if len(at) != len(some):
+                raise ValueError("words and their ids do not agree")
+            raw, ends = ids.tobytes(), [*(4 * at[1:]).tolist(), 4 * len(ids)]
+            for word, begin, end in zip(some, (4 * at).tolist(), ends, strict=True):
+                known[word] = raw[begin:end]
+        for word in tails:
+            known[word] = known[word[:-1]] + self.tails[word[-1]]
 
 
 def _bytes(ids: list[int]) -> bytes:

@@ -167,7 +167,8 @@ class _Page(HTMLParser):
 
     def _pop(self, place: int) -> None:
         while len(self.stack) > place:
-            self._end_block()
+            if self.stack[-1].block:
+                self._end_block()
             element = self.stack.pop()
             if element.block and not element.noise:
                 branch = self.branches.setdefault(element.path, [xxhash.xxh64(), xxhash.xxh64(), 0, element.area])

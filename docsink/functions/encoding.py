@@ -50,8 +50,10 @@ def encode_column(col: Column, dtype: T.DataType, path: str) -> Column:
         return _binary(col)
     if isinstance(dtype, T.DateType):
         return F.unix_date(col)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampType):
         return F.date_format(col, TIMESTAMP_PATTERN)
+    if isinstance(dtype, T.TimestampNTZType):
+        return _wall_clock(col)
     if isinstance(dtype, T.DecimalType):
         return _decimal(col, dtype, path)
     if isinstance(dtype, T.ArrayType):
@@ -59,7 +61,7 @@ def encode_column(col: Column, dtype: T.DataType, path: str) -> Column:
     if isinstance(dtype, T.MapType):
         if not isinstance(dtype.keyType, _STRINGS):
             raise TypeError(
-                f"Fail to serialize at field: {path}. Map keys must be strings, got {dtype.simpleString()}"
+                f"cannot encode field {path}. Map keys must be strings, got {dtype.simpleString()}"
             )
         return F.transform_values(col, lambda _, v: encode_column(v, dtype.valueType, f"{path}{{}}"))
     if isinstance(dtype, T.StructType):
@@ -68,7 +70,7 @@ def encode_column(col: Column, dtype: T.DataType, path: str) -> Column:
             for f in dtype.fields
         ]
         return F.when(col.isNotNull(), F.struct(*fields))
-    raise TypeError(f"Fail to serialize at field: {path}. Unsupported type {dtype.simpleString()}")
+    raise TypeError(f"cannot encode field {path}. Unsupported type {dtype.simpleString()}")
 
 
 def encode_fields(schema: T.StructType, skip: Sequence[str] = ()) -> list[Column]:
@@ -161,6 +163,14 @@ def document_json(doc: Column, dtype: T.DataType) -> Column:
     return F.to_json(_json_ready(doc, dtype), {"ignoreNullFields": "false"})
 
 
+def _wall_clock(col: Column) -> Column:
+    """Text of a local timestamp; formatting it would go through the session time zone."""
+    text = col.cast("string")
+    fraction = F.when(F.contains(text, F.lit(".")), F.substring_index(text, ".", -1)).otherwise("")
+    seconds = F.replace(F.substring_index(text, ".", 1), F.lit(" "), F.lit("T"))
+    return F.concat(seconds, F.lit("."), F.rpad(F.substring(fraction, 1, 3), 3, "0"), F.lit("Z"))
+
+
 def _months(col: Column) -> Column:
     # A YEAR-only interval would cast to years.
     return col.cast(T.YearMonthIntervalType(0, 1)).cast(T.YearMonthIntervalType(1, 1)).cast("int")
@@ -190,7 +200,7 @@ def _decimal(col: Column, dtype: T.DecimalType, path: str) -> Column:
         digits = F.rtrim(F.ltrim(F.regexp_replace(_decimal_text(col), "[-.]", ""), F.lit("0")), F.lit("0"))
         text = F.when(
             F.length(digits) > MAX_DECIMAL_DIGITS,
-            F.raise_error(F.lit(f"Fail to serialize at field: {path}. More than 34 significant digits")),
+            F.raise_error(F.lit(f"cannot encode field {path}. More than 34 significant digits")),
         ).otherwise(text)
     return F.when(col.isNotNull(), F.struct(text.alias(DECIMAL_FIELD)))
 

@@ -23,8 +23,11 @@ from docsink.operators.effects import (
 
 
 def apply_deletes(base: DataFrame, keys: DataFrame) -> DataFrame:
-    """Remove documents by key; unknown keys are ignored (A1)."""
-    return base.join(keys.select("_key"), "_key", "left_anti")
+    """Remove documents by key; unknown keys are ignored (A1).
+
+    Equal keys are combined before they are shuffled.
+    """
+    return base.join(keys.select("_key").distinct(), "_key", "left_anti")
 
 
 def apply_inserts(base: DataFrame, docs: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsink.operators.changelog import DELETE, INSERT, UPDATE_AFTER
+from docsink.operators.changelog import DELETE, INSERT, UPDATE_AFTER, require_order
 
 # Net actions.
 NET_DELETE = "D"
@@ -41,6 +41,7 @@ def bulk_groups(changes: DataFrame, by: Sequence[str] = ("_key", "bulk_id")) ->
     ``max_by`` keeps one row per group on the map side, so a key with millions
     of changes in a bulk costs one row per map task in the shuffle.
     """
+    changes = require_order(changes, "seq", *[c for c in by if c == "bulk_id"])
     grouped = changes.groupBy(*by).agg(F.expr("count(1) as n"), F.expr("max_by(struct(op, doc), seq) as _last"))
     return grouped.selectExpr(*by, "n", "_last.op as op", "_last.doc as doc")
 

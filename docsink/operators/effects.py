@@ -34,7 +34,7 @@ from docsink.operators.bulks import (
     bulk_groups,
     net_actions,
 )
-from docsink.operators.changelog import ACCEPTED, DELETE
+from docsink.operators.changelog import ACCEPTED, DELETE, require_order
 
 EFFECT_COLUMNS = ("reset", "present", "add", "put", "replaced")
 
@@ -42,6 +42,9 @@ EFFECT_COLUMNS = ("reset", "present", "add", "put", "replaced")
 # changes of one key.
 SEGMENT_BULKS = 256
 
+# Where documents are merged, folding copies the grown document at every step.
+MERGING_BULKS = 32
+
 
 def merging_fields(doc: T.StructType) -> list[T.StructField]:
     """Attributes that an upsert merges key by key (A5)."""
@@ -77,7 +80,8 @@ def effects_of_last_writes(changes: DataFrame) -> DataFrame:
     """
     doc_type = changes.schema["doc"].dataType
     kinds = ", ".join(literal(op) for op in ACCEPTED)
-    last = changes.where(f"op in ({kinds})").groupBy("_key").agg(F.expr("max_by(struct(op, doc), seq) as _last"))
+    said = require_order(changes.where(f"op in ({kinds})"), "seq")
+    last = said.groupBy("_key").agg(F.expr("max_by(struct(op, doc), seq) as _last"))
     doc = lift_fields("_last.doc", doc_type, cut="true") if merging_fields(doc_type) else "_last.doc"
     return last.selectExpr(
         "_key",
@@ -97,7 +101,11 @@ def fold_effects(effects: DataFrame, keys: Sequence[str], order: str, doc_type:
 
 
 def fold_bulks(
-    changes: DataFrame, *, segment_bulks: int = SEGMENT_BULKS, bounded_bulks: bool = False
+    changes: DataFrame,
+    *,
+    segment_bulks: int = SEGMENT_BULKS,
+    bounded_bulks: bool = False,
+    levels: int | None = None,
 ) -> DataFrame:
     """Changelog with bulk ids to one effect per key.
 
@@ -106,22 +114,31 @@ def fold_bulks(
     and collapsing the bulks and folding the segments both happen in that one
     placement: two shuffles in all. Otherwise the changes of a key in a bulk are
     combined on the map side first, which costs a third shuffle of what is left.
+
+    ``levels`` says how often segments are folded in groups of ``segment_bulks``
+    before a key's rows meet in one task: that task sees one row per
+    ``segment_bulks ** (levels + 1)`` bulks. Every level is one more shuffle of
+    folded rows; without a number it is 1 where documents are merged, else 0.
     """
     doc_type = changes.schema["doc"].dataType
+    merging = bool(merging_fields(doc_type))
+    if merging:
+        segment_bulks = min(segment_bulks, MERGING_BULKS)
+    if levels is None:
+        levels = int(merging)
+    changes = require_order(changes, "seq", "bulk_id")
     by = ("_key", "_segment", "bulk_id")
     placed = changes.selectExpr("_key", f"bulk_id div {segment_bulks} as _segment", "bulk_id", "seq", "op", "doc")
     if bounded_bulks:
         placed = placed.repartition("_key", "_segment")
     net = net_actions(bulk_groups(placed, by=by))
     effects = effects_of_actions(net, ("_segment", "bulk_id"))
-    segments = fold_effects(effects, ("_key", "_segment"), "bulk_id", doc_type)
-    if merging_fields(doc_type):
-        # Merging collects the run of a group, so segments are folded in groups
-        # too: what is left for the last step is one row per segment_bulks ** 2.
-        grouped = segments.selectExpr("*", f"_segment div {segment_bulks} as _group")
+    folded = fold_effects(effects, ("_key", "_segment"), "bulk_id", doc_type)
+    for _ in range(levels):
+        grouped = folded.selectExpr("*", f"_segment div {segment_bulks} as _group")
         folded = fold_effects(grouped, ("_key", "_group"), "_segment", doc_type)
-        return fold_effects(folded, ("_key",), "_group", doc_type)
-    return fold_effects(segments, ("_key",), "_segment", doc_type)
+        folded = folded.withColumnRenamed("_group", "_segment")
+    return fold_effects(folded, ("_key",), "_segment", doc_type)
 
 
 def _fold_plain(effects: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

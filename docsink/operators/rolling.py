@@ -17,12 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsink.functions.names import quote
+from docsink.operators.changelog import INTEGRAL, require
 
 SEQ_CHUNK = 1 << 20
 
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-
-
 def hash_writer(writers: int, key: str = "_key") -> Column:
     """Writer lane by key hash."""
     if writers < 1:
@@ -32,7 +30,7 @@ def hash_writer(writers: int, key: str = "_key") -> Column:
 
 def roll_by_interval(changes: DataFrame, interval_ms: int, ts: str = "ts") -> DataFrame:
     """Add ``bulk_id`` from the arrival time alone; a projection, no shuffle."""
-    return changes.withColumn("bulk_id", _tick(changes, interval_ms, ts))
+    return require(changes, ts).withColumn("bulk_id", _tick(changes, interval_ms, ts))
 
 
 def roll_bulks(
@@ -57,12 +55,13 @@ def roll_bulks(
         raise ValueError("flush size must be greater than 0")
     if seq_chunk is not None and seq_chunk < 1:
         raise ValueError("seq_chunk must be at least 1")
-    if not isinstance(changes.schema[seq].dataType, _INTEGRAL):
+    if not isinstance(changes.schema[seq].dataType, INTEGRAL):
         raise TypeError(f"sequence column {seq!r} must be an integer")
 
     tick = F.lit(0).cast("bigint") if interval_ms is None else _tick(changes, interval_ms, ts)
     width = _fitted_width(changes, seq) if seq_chunk is None else F.lit(seq_chunk)
-    lanes = changes.withColumns({"_lane": F.col(writer), "_tick": tick, "_chunk": _div(F.col(seq), width)})
+    present = require(changes, seq, writer, *([] if interval_ms is None else [ts]))
+    lanes = present.withColumns({"_lane": F.col(writer), "_tick": tick, "_chunk": _div(F.col(seq), width)})
 
     place = ("_lane", "_tick", "_chunk")
     counts = lanes.groupBy(*place).agg(F.expr("count(1) as _rows"))

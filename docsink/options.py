@@ -53,11 +53,11 @@ class SinkOptions:
         if not self.key:
             raise ValueError("a primary key is required")
         if self.transaction_enable and not self.flush_on_checkpoint:
-            raise ValueError(f"`{FLUSH_ON_CHECKPOINT}` must be true when the transactional sink is enabled")
+            raise ValueError(f"`{TRANSACTION_ENABLE}` needs `{FLUSH_ON_CHECKPOINT}`")
         if self.flush_size <= 0:
-            raise ValueError(f"`{FLUSH_SIZE}` must be greater than 0")
+            raise ValueError(f"`{FLUSH_SIZE}` is {self.flush_size}, at least 1 is needed")
         if self.max_in_flight_flushes <= 0:
-            raise ValueError(f"`{MAX_IN_FLIGHT}` must be greater than 0")
+            raise ValueError(f"`{MAX_IN_FLIGHT}` is {self.max_in_flight_flushes}, at least 1 is needed")
         if self.mode not in ("bulk", "lww"):
             raise ValueError(f"unknown mode {self.mode!r}")
         if self.writers < 1 or self.max_log < 1:

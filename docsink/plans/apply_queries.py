@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docsink.operators import applying
 from docsink.operators.changelog import normalize_changelog
+from docsink.operators.effects import fold_bulks
 from docsink.options import SinkOptions
 from docsink.plans.catalog import query
 from docsink.plans.tables import (
@@ -52,6 +53,20 @@ def apply_changelog_large_bulks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "apply_changelog_many_bulks",
+    f"""
+    with {CHANGES_SQL.replace("// 100", "// 10")}, {GROUPS_SQL}, {NET_SQL}, {BASE_SQL}, {APPLY_SQL}
+    select * from result""",
+)
+def apply_changelog_many_bulks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulks of ten changes, so that a key's bulks lie in several segments and groups of them."""
+    effects = fold_bulks(event_changes(spark, sf_dir, bulk=10), segment_bulks=64, bounded_bulks=True, levels=1)
+    base = supplier_documents(spark, sf_dir)
+    doc_type = event_changes(spark, sf_dir).schema["doc"].dataType
+    return applying.apply_effects(base, effects, doc_type)
+
+
 @query(
     "apply_changelog_lww",
     f"""
@@ -153,9 +168,7 @@ def apply_one_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return applying.apply_one_bulk(base, singles.unionByName(event_changes(spark, sf_dir).drop("bulk_id")))
 
 
-@query(
-    "apply_upserts_map_merge",
-    f"""
+_MAP_MERGE_SQL = f"""
     with {CHANGES_SQL}, {GROUPS_SQL}, {NET_SQL},
     u as (
       select _key, bulk_id, event_type as name, value as v, a from net where a is not null
@@ -177,10 +190,22 @@ def apply_one_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     written as (
       select e._key, name, v, bulk_id from e join k using (_key)
       where bulk_id >= start and (a in ('U', 'B') or (a = 'R' and pre) or (a = 'I' and not pre)))
-    select _key, name, max_by(v, bulk_id) as v from written group by _key, name""",
-)
+    select _key, name, max_by(v, bulk_id) as v from written group by _key, name"""
+
+
+@query("apply_upserts_map_merge", _MAP_MERGE_SQL)
 def apply_upserts_map_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changes = event_changes(spark, sf_dir).withColumn(
+    return _map_merge(spark, sf_dir, 100)
+
+
+@query("apply_upserts_map_merge_many_bulks", _MAP_MERGE_SQL.replace("// 100", "// 10"))
+def apply_upserts_map_merge_many_bulks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merging over several segments and groups."""
+    return _map_merge(spark, sf_dir, 10)
+
+
+def _map_merge(spark: SparkSession, sf_dir: str, bulk: int) -> DataFrame:
+    changes = event_changes(spark, sf_dir, bulk).withColumn(
         "doc", F.struct(F.create_map("doc.event_type", "doc.value").alias("m"))
     )
     base = table(spark, sf_dir, "supplier").select(

@@ -12,7 +12,6 @@ from docsink.functions.encoding import (
     entries_to_map,
     multiset_by,
 )
-from docsink.operators.applying import apply_effects
 from docsink.options import SinkOptions
 from docsink.plans.catalog import query
 from docsink.plans.tables import event_kind, table, work_dir
@@ -263,8 +262,8 @@ def custom_encoder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     options = SinkOptions("chats", "latest", key="conv_id", mode="lww")
     sink = DocumentSink(spark, work_dir(spark, "custom"), options, encoder=encoder)
-    effects, doc_type = sink.effects(table(spark, sf_dir, "conversations"))
-    return apply_effects(None, effects, doc_type)
+    sink.write(table(spark, sf_dir, "conversations"))
+    return sink.read()
 
 
 @query(

@@ -55,14 +55,15 @@ def _sink(spark: SparkSession, root: str) -> DocumentSink:
 
 @query("stream_apply_changelog", _ORACLE)
 def stream_apply_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slices arrive in a folder one after another; each run of the stream picks up the new one."""
+    """Slices arrive in a folder two at a time; each run of the stream takes up the new ones, a micro-batch each."""
     root = work_dir(spark, "stream")
     sink = _sink(spark, root)
-    for part in _slices(spark, sf_dir):
-        part.write.mode("append").parquet(f"{root}/arriving")
-        stream = spark.readStream.schema(part.schema).parquet(f"{root}/arriving")
-        run = sink.start(stream, f"{root}/checkpoint", available_now=True)
-        run.awaitTermination()
+    for number, part in enumerate(_slices(spark, sf_dir)):
+        part.coalesce(1).write.mode("append").parquet(f"{root}/arriving")
+        if number % 2:
+            stream = spark.readStream.schema(part.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/arriving")
+            run = sink.start(stream, f"{root}/checkpoint", available_now=True)
+            run.awaitTermination()
     return sink.read()
 
 

@@ -17,16 +17,17 @@ import uuid
 from dataclasses import asdict, dataclass, field, replace
 from itertools import groupby
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsink.functions.names import literal
+from docsink.functions.names import literal, quote
 from docsink.operators.applying import apply_effects
 from docsink.operators.effects import EFFECT_COLUMNS, fold_effects
 
-# Parquet is compressed and columnar; rows in memory are taken to be this many
-# times larger when checking whether a log may be broadcast.
-EXPANSION = 8
+# Rows and bytes that Spark lets a broadcast have at most.
+BROADCAST_ROWS = 100_000_000
+ROW_BYTES = 64  # of a row in memory besides its values
 
 # A log this many times longer than wanted is compacted, whatever its size.
 MIXED_LOG = 4
@@ -37,10 +38,14 @@ MAX_MANIFESTS = 100
 
 @dataclass(frozen=True)
 class LogEntry:
+    """Effects of one batch; ``rows`` and ``memory`` were counted when it was written."""
+
     version: int
     doc_schema: str
     effect_schema: str
     size: int
+    rows: int | None = None
+    memory: int | None = None
 
     @property
     def schemas(self) -> tuple[str, str]:
@@ -238,8 +243,17 @@ class Collection:
 
     def _log_entry(self, version: int, effects: DataFrame, doc_schema: str) -> LogEntry:
         path = self._log_path(version)
-        effects.write.mode("overwrite").parquet(path)
-        return LogEntry(version, doc_schema, effects.schema.json(), self._files.size(path))
+        seen = Observation()
+        count, memory = F.count(F.lit(1)).alias("rows"), F.sum(bytes_in_memory(effects)).alias("memory")
+        effects.observe(seen, count, memory).write.mode("overwrite").parquet(path)
+        return LogEntry(
+            version,
+            doc_schema,
+            effects.schema.json(),
+            self._files.size(path),
+            seen.get["rows"],
+            seen.get["memory"] or 0,
+        )
 
     def _with_base(self, manifest: Manifest, documents: DataFrame) -> Manifest:
         version = manifest.version + 1
@@ -268,8 +282,11 @@ class Collection:
         self.spark.sql(f"drop table {name}")
 
     def _broadcastable(self, run: list[LogEntry]) -> bool:
-        limit = self._files.broadcast_limit()
-        return limit > 0 and sum(e.size for e in run) * EXPANSION <= limit
+        """Whether what the rows take in memory, not on disk, is within Spark's own limit."""
+        if any(e.rows is None for e in run):
+            return False
+        rows, memory = sum(e.rows for e in run), sum(e.memory for e in run)
+        return rows <= BROADCAST_ROWS and memory <= self._files.broadcast_limit()
 
     def _commit(self, manifest: Manifest) -> None:
         self._files.write(self._manifest_path(manifest.version), json.dumps(asdict(manifest)))
@@ -290,6 +307,27 @@ class Collection:
         return f"{self.path}/log/commit={version}"
 
 
+def bytes_in_memory(frame: DataFrame) -> Column:
+    """About what a row takes in memory: its strings and nested values in full."""
+    return sum((_bytes(F.col(quote(f.name)), f.dataType) for f in frame.schema.fields), F.lit(ROW_BYTES).cast("long"))
+
+
+def _bytes(value: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value)
+    elif isinstance(dtype, T.StructType):
+        size = sum((_bytes(value.getField(f.name), f.dataType) for f in dtype.fields), F.lit(8))
+    elif isinstance(dtype, T.ArrayType):
+        zero = F.lit(16).cast("long")
+        size = F.aggregate(value, zero, lambda total, x: total + _bytes(x, dtype.elementType))
+    elif isinstance(dtype, T.MapType):
+        keys = _bytes(F.map_keys(value), T.ArrayType(dtype.keyType))
+        size = keys + _bytes(F.map_values(value), T.ArrayType(dtype.valueType))
+    else:
+        return F.lit(16).cast("long")
+    return F.coalesce(size, F.lit(0)).cast("long") + 8
+
+
 class _Files:
     """The few file operations a manifest needs, on whatever file system the path names."""
 

@@ -69,14 +69,16 @@ class DocumentSink:
     ) -> StreamingQuery:
         """Run as a streaming query; every micro-batch is committed whole.
 
-        Batch numbers start at 0 for each checkpoint, so the checkpoint also
-        names the source in the replay guard.
+        Batch numbers belong to a checkpoint. Spark keeps the query's id in it,
+        so this id names the source in the replay guard: it is the same after a
+        restart and new for a new checkpoint, whose batches are all applied.
+        ``source`` is only a label in front of it.
         """
-        name = source or checkpoint
         self.collection.create()
 
         def apply_batch(rows: DataFrame, batch_id: int) -> None:
-            self.write(rows, source=name, batch_id=batch_id)
+            query = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            self.write(rows, source=f"{source}/{query}" if source else query, batch_id=batch_id)
 
         writer = stream.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint)
         if available_now:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from docsink.operators import bulks
 from docsink.operators.changelog import normalize_changelog
+from docsink.operators.effects import effects_of_last_writes, fold_bulks
 from docsink.operators.rolling import hash_writer, roll_bulks, roll_by_interval
 
 
@@ -118,3 +119,19 @@ def test_unknown_row_kind_fails(spark):
         df = spark.createDataFrame([("+I",), (bad,)], "op string")
         with pytest.raises(Exception, match="unknown row kind"):
             normalize_changelog(df).collect()
+
+
+@pytest.mark.parametrize("column", ["writer", "seq", "ts"])
+def test_rows_without_a_place_are_refused(spark, column):
+    df = spark.sql("select 0 as writer, 1L as seq, timestamp'1970-01-01 00:00:00' as ts")
+    empty = df.withColumn(column, F.lit(None).cast(df.schema[column].dataType))
+    with pytest.raises(Exception, match=f"null in column {column}"):
+        roll_bulks(df.unionAll(empty), 5, interval_ms=1000).collect()
+    if column == "ts":
+        with pytest.raises(Exception, match="null in column ts"):
+            roll_by_interval(df.unionAll(empty), 1000).collect()
+    if column == "seq":
+        changes = empty.selectExpr("'k' as _key", "seq", "0L as bulk_id", "'+U' as op", "struct(1 as v) as doc")
+        for operator in (bulks.bulk_groups, fold_bulks, effects_of_last_writes, normalize_changelog):
+            with pytest.raises(Exception, match="null in column seq"):
+                operator(changes).collect()

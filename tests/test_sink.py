@@ -156,6 +156,20 @@ def test_reading_without_broadcast_gives_the_same(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_well_compressing_log_is_not_broadcast(spark, tmp_path):
+    """What counts is memory, not the size of the files."""
+    sink = DocumentSink(spark, str(tmp_path), options(mode="lww"))
+    text = F.rpad(F.lit("x"), 12_000, "y")
+    sink.write(spark.range(2000).select("id", F.col("id").alias("seq"), F.lit("+I").alias("op"), text.alias("v")))
+    (entry,) = sink.collection.manifest().log
+    assert entry.rows == 2000 and entry.size < 200_000 < 20_000_000 < entry.memory
+    sink.collection.compact()
+    sink.write(spark.range(2000).select("id", F.col("id").alias("seq"), F.lit("+U").alias("op"), text.alias("v")))
+    assert "Broadcast" not in sink.read()._jdf.queryExecution().executedPlan().toString()
+    sink.write(spark.sql("select 1L as id, 0L as seq, '+U' as op, 'small' as v"))
+    assert sink.read().where("v = 'small'").count() == 1
+
+
 def test_last_write_mode(spark, tmp_path):
     sink = DocumentSink(spark, str(tmp_path), options(mode="lww"))
     sink.write(rows(spark, [(1, 0, "+I", 1.0), (1, 1, "+U", 2.0), (2, 2, "+I", 3.0)]))
@@ -326,15 +340,29 @@ def test_stream_equals_batch(spark, tmp_path):
     )
     want = held(apply_bulks(None, changes))
     assert held(sink.read()) == want
-    # A new checkpoint delivers everything again; as the same source it is recognised.
-    again = sink.start(
-        spark.readStream.schema(schema).parquet(source),
-        str(tmp_path / "other"),
-        available_now=True,
-        source=checkpoint,
+    # A new checkpoint starts again at batch 0: what it delivers is applied, new data above all.
+    spark.createDataFrame([(99, 1000, "+I", 1.0, 40)], schema).write.mode("append").parquet(source)
+    query = sink.start(
+        spark.readStream.schema(schema).parquet(source), str(tmp_path / "other"), available_now=True, source=checkpoint
     )
-    again.awaitTermination()
-    assert held(sink.read()) == want
+    query.awaitTermination()
+    got = held(sink.read())
+    assert got.pop("99") == (99, 1.0)
+    assert got == held(apply_bulks(apply_bulks(None, changes), changes))
+
+
+# Where the last write wins, bulks say nothing.
+@pytest.mark.parametrize("mode,column", [("bulk", "seq"), ("bulk", "bulk_id"), ("lww", "seq")])
+def test_changes_without_a_place_are_refused(spark, tmp_path, mode, column):
+    """A change that is nowhere in the order must not be lost or undo another."""
+    sink = DocumentSink(spark, str(tmp_path), options(mode=mode))
+    good = spark.sql("select 1 as id, 0L as seq, 0L as bulk_id, '+I' as op, 1D as v")
+    sink.write(good)
+    with pytest.raises(Exception, match=f"null in column {column}"):
+        sink.write(good.withColumn(column, F.lit(None).cast("long")))
+    with pytest.raises(TypeError, match="integer"):
+        sink.write(good.withColumn(column, F.lit("1")))
+    assert held(sink.read()) == {"1": (1, 1.0)}
 
 
 def test_failing_stream_reports_and_recovers(spark, tmp_path):

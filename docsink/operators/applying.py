@@ -2,7 +2,8 @@
 
 A collection is a DataFrame with ``_key`` and one column per attribute. A
 document with an attribute the collection lacks adds a column; attributes only
-the collection has survive an upsert and are lost in a replace.
+the collection has survive an upsert and are lost in a replace, and so do fields
+of a nested object. A wider number widens the attribute.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from docsink.functions.merging import lift, lower, merge, mergeable
 from docsink.functions.names import quote
+from docsink.functions.widening import common_type, fit, patched, same_type
 from docsink.operators.bulks import bulk_groups, net_actions
 from docsink.operators.effects import (
     SEGMENT_BULKS,
@@ -85,20 +87,18 @@ def apply_effects(
         return _new_documents(effects, attributes)
 
     stored = {f.name: f.dataType for f in base.schema.fields if f.name != "_key"}
-    for field in attributes:
-        if field.name in stored and not _same_type(stored[field.name], field.dataType):
-            raise TypeError(
-                f"attribute {field.name!r} is {stored[field.name].simpleString()} in the collection "
-                f"and {field.dataType.simpleString()} in the changes"
-            )
-
-    left = base.selectExpr(*[f"{quote(n)} as {_base(n)}" for n in ("_key", *stored)])
+    _check_names([*stored, *[f.name for f in attributes]])
+    wide = {f.name: _wide(f, stored[f.name]) for f in attributes if f.name in stored}
+    left = base.selectExpr(
+        f"`_key` as {_base('_key')}", *[f"{fit(quote(n), t, wide.get(n, t))} as {_base(n)}" for n, t in stored.items()]
+    )
+    stored = {n: wide.get(n, t) for n, t in stored.items()}
     if not small_effects:
         return _after(left.join(effects, F.expr(f"{_base('_key')} = _key"), "full_outer"), stored, attributes)
 
     kept = _after(left.join(F.broadcast(effects), F.expr(f"{_base('_key')} = _key"), "left"), stored, attributes)
     found = base.select("_key").join(F.broadcast(effects.select("_key")), "_key", "left_semi")
-    new = _new_documents(effects.join(found, "_key", "left_anti"), attributes)
+    new = _new_documents(effects.join(found, "_key", "left_anti"), attributes, stored)
     return kept.unionByName(new, allowMissingColumns=True)
 
 
@@ -116,8 +116,12 @@ def _after(joined: DataFrame, stored: dict[str, T.DataType], attributes: list[T.
     def attribute(field: T.StructField) -> str:
         name = field.name
         old = _base(name) if name in stored else "null"
-        new = lower(_merged(name) if field in merging else f"put.{quote(name)}", field.dataType)
-        return f"case when not {survives} then {_fresh(field)} when put is null then {old} else {new} end as {quote(name)}"
+        if name in stored and not same_type(stored[name], field.dataType):
+            keep = f"{survives} and not coalesce(replaced, false)"
+            new = patched(old, f"put.{quote(name)}", field.dataType, stored[name], keep)
+        else:
+            new = lower(_merged(name) if field in merging else f"put.{quote(name)}", field.dataType)
+        return f"case when not {survives} then {_fresh(field, stored.get(name))} when put is null then {old} else {new} end as {quote(name)}"
 
     only_in_base = [n for n in stored if n not in {f.name for f in attributes}]
     return joined.where(f"_key is null or {survives} or present").selectExpr(
@@ -127,13 +131,40 @@ def _after(joined: DataFrame, stored: dict[str, T.DataType], attributes: list[T.
     )
 
 
-def _new_documents(effects: DataFrame, attributes: list[T.StructField]) -> DataFrame:
-    return effects.where("present").selectExpr("_key", *[f"{_fresh(f)} as {quote(f.name)}" for f in attributes])
+def _new_documents(
+    effects: DataFrame, attributes: list[T.StructField], stored: dict[str, T.DataType] | None = None
+) -> DataFrame:
+    fresh = [f"{_fresh(f, (stored or {}).get(f.name))} as {quote(f.name)}" for f in attributes]
+    return effects.where("present").selectExpr("_key", *fresh)
 
 
-def _fresh(field: T.StructField) -> str:
+def _fresh(field: T.StructField, wide: T.DataType | None) -> str:
     """Attribute of the document that results when the key did not exist."""
-    return lower(f"coalesce(add, put).{quote(field.name)}", field.dataType)
+    value = f"coalesce(add, put).{quote(field.name)}"
+    if wide is None or same_type(wide, field.dataType):
+        return lower(value, field.dataType)
+    return fit(value, field.dataType, wide)
+
+
+def _wide(field: T.StructField, stored: T.DataType) -> T.DataType:
+    """Type of an attribute after the changes."""
+    wide = common_type(stored, field.dataType)
+    # Maps are merged entry by entry and carry marks for it, so their type is fixed.
+    if wide is None or (mergeable(field.dataType) and not same_type(stored, field.dataType)):
+        raise TypeError(
+            f"attribute {field.name!r} is {stored.simpleString()} in the collection "
+            f"and {field.dataType.simpleString()} in the changes"
+        )
+    return wide
+
+
+def _check_names(names: list[str]) -> None:
+    """Documents tell upper from lower case, columns do not: refuse what could be mixed up."""
+    seen: dict[str, str] = {}
+    for name in names:
+        other = seen.setdefault(name.lower(), name)
+        if other != name:
+            raise ValueError(f"attributes {other!r} and {name!r} differ only in case")
 
 
 def _base(name: str) -> str:
@@ -146,7 +177,3 @@ def _merged(name: str) -> str:
 
 def _effects(docs: DataFrame, action: str) -> DataFrame:
     return effects_of_actions(docs.select("_key", "doc", F.lit(action).alias("action")))
-
-
-def _same_type(left: T.DataType, right: T.DataType) -> bool:
-    return left.simpleString() == right.simpleString()

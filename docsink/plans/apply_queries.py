@@ -168,6 +168,24 @@ def apply_one_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return applying.apply_one_bulk(base, singles.unionByName(event_changes(spark, sf_dir).drop("bulk_id")))
 
 
+@query(
+    "apply_upserts_nested_merge",
+    f"""
+    select coalesce(c._key, s._key) as _key, case when c._key is null then s.value else c.value end as balance,
+           s.extra as name, c.segment as segment
+    from {_SUPPLIERS} s full join {_CUSTOMERS} c on s._key = c._key""",
+)
+def apply_upserts_nested_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A nested object with other fields on either side is merged field by field."""
+    base = supplier_documents(spark, sf_dir).select(
+        "_key", F.struct(F.col("value").alias("balance"), F.col("extra").alias("name")).alias("account")
+    )
+    docs = customer_documents(spark, sf_dir).select(
+        "_key", F.struct(F.struct(F.col("doc.value").alias("balance"), "doc.segment").alias("account")).alias("doc")
+    )
+    return applying.apply_upserts(base, docs).select("_key", "account.*")
+
+
 _MAP_MERGE_SQL = f"""
     with {CHANGES_SQL}, {GROUPS_SQL}, {NET_SQL},
     u as (

@@ -221,3 +221,39 @@ def test_base_is_not_shuffled_when_effects_are_small(spark, tmp_path):
         spark.read.parquet(str(tmp_path / "base")), effects, df.schema["doc"].dataType, small_effects=True
     )
     assert "Exchange hashpartitioning" not in plan_of(kept)
+
+
+def test_attributes_widen(spark):
+    base = spark.sql("select '1' as _key, 1 as n, float(0.5) as x, array(1) as a union all select '2', 2, float(1), null")
+    docs = spark.sql("select '1' as _key, struct(5000000000L as n, 0.25D as x, array(7L) as a) as doc")
+    got = {r["_key"]: (r["n"], r["x"], r["a"]) for r in applying.apply_upserts(base, docs).collect()}
+    assert got == {"1": (5_000_000_000, 0.25, [7]), "2": (2, 1.0, None)}
+    back = applying.apply_upserts(applying.apply_upserts(base, docs), spark.sql("select '1' as _key, struct(3 as n) as doc"))
+    assert {r["_key"]: r["n"] for r in back.collect()} == {"1": 3, "2": 2}
+
+
+def test_nested_objects_with_other_fields(spark):
+    base = spark.sql("select * from values ('1', named_struct('a', 1, 'b', named_struct('x', 1))), ('2', null) as t(_key, o)")
+    docs = "select * from values ('1', {0}), ('2', {0}), ('3', {0}) as t(_key, o)"
+    docs = spark.sql(docs.format("named_struct('b', named_struct('y', 2L), 'c', true)")).selectExpr("_key", "struct(o) as doc")
+
+    def held(df):
+        return {r["_key"]: r["o"] and r["o"].asDict(recursive=True) for r in df.collect()}
+
+    fresh = {"a": None, "b": {"x": None, "y": 2}, "c": True}
+    merged = {"a": 1, "b": {"x": 1, "y": 2}, "c": True}
+    assert held(applying.apply_upserts(base, docs)) == {"1": merged, "2": fresh, "3": fresh}
+    assert held(applying.apply_replaces(base, docs)) == {"1": fresh, "2": fresh}
+    small = applying.apply_effects(
+        base, applying._effects(docs, "U"), docs.schema["doc"].dataType, small_effects=True
+    )
+    assert held(small) == {"1": merged, "2": fresh, "3": fresh}
+
+
+def test_real_conflicts_are_refused(spark):
+    base = spark.sql("select '1' as _key, 1 as n, map('a', 1) as m")
+    for doc in ("struct('x' as n)", "struct(struct(1 as a) as n)", "struct(map('a', 1L) as m)"):
+        with pytest.raises(TypeError, match="in the collection"):
+            applying.apply_upserts(base, spark.sql(f"select '1' as _key, {doc} as doc"))
+    with pytest.raises(ValueError, match="differ only in case"):
+        applying.apply_upserts(base, spark.sql("select '1' as _key, struct(1 as N) as doc"))

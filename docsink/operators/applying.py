@@ -8,6 +8,8 @@ of a nested object. A wider number widens the attribute.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,7 @@ from docsink.functions.names import quote
 from docsink.functions.widening import common_type, fit, patched, same_type
 from docsink.operators.bulks import bulk_groups, net_actions
 from docsink.operators.effects import (
+    EFFECT_COLUMNS,
     SEGMENT_BULKS,
     effects_of_actions,
     effects_of_last_writes,
@@ -86,13 +89,7 @@ def apply_effects(
     if base is None:
         return _new_documents(effects, attributes)
 
-    stored = {f.name: f.dataType for f in base.schema.fields if f.name != "_key"}
-    _check_names([*stored, *[f.name for f in attributes]])
-    wide = {f.name: _wide(f, stored[f.name]) for f in attributes if f.name in stored}
-    left = base.selectExpr(
-        f"`_key` as {_base('_key')}", *[f"{fit(quote(n), t, wide.get(n, t))} as {_base(n)}" for n, t in stored.items()]
-    )
-    stored = {n: wide.get(n, t) for n, t in stored.items()}
+    left, stored = _stored(base, [attributes])
     if not small_effects:
         return _after(left.join(effects, F.expr(f"{_base('_key')} = _key"), "full_outer"), stored, attributes)
 
@@ -102,8 +99,96 @@ def apply_effects(
     return kept.unionByName(new, allowMissingColumns=True)
 
 
+def apply_effect_runs(
+    base: DataFrame,
+    runs: Sequence[tuple[DataFrame, T.StructType]],
+    *,
+    small_effects: bool = False,
+    buckets: int | None = None,
+) -> DataFrame:
+    """Apply several effects per key, one for each run of a document type, in order.
+
+    An attribute that a document does not have is not the same as one that is
+    null, so effects of different document types are not folded; but they are
+    gathered by key first, and ``base`` is joined once, however many there are.
+    ``buckets`` is the number of buckets by ``_key`` that ``base`` lies in.
+    """
+    if len(runs) == 1:
+        return apply_effects(base, *runs[0], small_effects=small_effects)
+    gathered = None
+    for i, (effects, _) in enumerate(runs):
+        part = effects.select("_key", F.struct(*EFFECT_COLUMNS).alias(_run(i)))
+        gathered = part if gathered is None else gathered.unionByName(part, allowMissingColumns=True)
+    names = [_run(i) for i in range(len(runs))]
+    wide = gathered.groupBy("_key").agg(*[F.first(quote(n), ignorenulls=True).alias(n) for n in names])
+    if buckets is not None and not small_effects:
+        wide = wide.repartition(buckets, "_key")
+
+    types = [[f for f in doc_type.fields if f.name != "_key"] for _, doc_type in runs]
+    left, stored = _stored(base, types)
+    on = F.expr(f"{_base('_key')} = _key")
+    if not small_effects:
+        return _in_order(left.join(wide, on, "full_outer"), stored, types)
+    kept = _in_order(left.join(F.broadcast(wide), on, "left"), stored, types)
+    found = base.select("_key").join(F.broadcast(wide.select("_key")), "_key", "left_semi")
+    absent = [f"cast(null as {t.simpleString()}) as {_base(n)}" for n, t in {"_key": T.StringType(), **stored}.items()]
+    new = wide.join(found, "_key", "left_anti").selectExpr(*absent, "*")
+    return kept.unionByName(_in_order(new, stored, types), allowMissingColumns=True)
+
+
+def _in_order(joined: DataFrame, stored: dict[str, T.DataType], types: list[list[T.StructField]]) -> DataFrame:
+    """Runs one after another over rows that hold a stored document, a struct per run, or both."""
+    stored = dict(stored)
+    rows = joined.withColumn("key:", F.expr(f"coalesce(_key, {_base('_key')})"))
+    for i, attributes in enumerate(types):
+        rest = [quote(_run(j)) for j in range(i + 1, len(types))]
+        run = quote(_run(i))
+        rows = rows.selectExpr(
+            "`key:`", *[_base(n) for n in ("_key", *stored)], f"if({run} is null, null, `key:`) as _key", f"{run}.*", *rest
+        )
+        rows = _step(rows, stored, attributes, ["`key:`", *rest])
+        for field in attributes:
+            stored.setdefault(field.name, field.dataType)
+        rows = rows.selectExpr(
+            "`key:`",
+            f"if(`exists:`, `key:`, null) as {_base('_key')}",
+            *[f"if(`exists:`, {quote(n)}, null) as {_base(n)}" for n in stored],
+            *rest,
+        )
+    return rows.where(f"{_base('_key')} is not null").selectExpr(
+        f"{_base('_key')} as _key", *[f"{_base(n)} as {quote(n)}" for n in stored]
+    )
+
+
+def _stored(base: DataFrame, runs: list[list[T.StructField]]) -> tuple[DataFrame, dict[str, T.DataType]]:
+    """The collection with its columns set apart and as wide as the changes need, and their types."""
+    stored = {f.name: f.dataType for f in base.schema.fields if f.name != "_key"}
+    wide: dict[str, T.DataType] = {}
+    for attributes in runs:
+        _check_names([*stored, *wide, *[f.name for f in attributes]])
+        for field in attributes:
+            known = wide.get(field.name, stored.get(field.name))
+            wide[field.name] = field.dataType if known is None else _wide(field, known)
+    fitted = [f"{fit(quote(n), t, wide.get(n, t))} as {_base(n)}" for n, t in stored.items()]
+    new = [n for n in wide if n not in stored and len(runs) > 1]
+    fitted += [f"cast(null as {wide[n].simpleString()}) as {_base(n)}" for n in new]
+    types = {n: wide.get(n, stored.get(n)) for n in [*stored, *new]}
+    return base.selectExpr(f"`_key` as {_base('_key')}", *fitted), types
+
+
 def _after(joined: DataFrame, stored: dict[str, T.DataType], attributes: list[T.StructField]) -> DataFrame:
     """Documents after the effects, from rows with both the stored and the effect columns."""
+    rows = joined.withColumn("key:", F.expr(f"coalesce(_key, {_base('_key')})"))
+    names = [f.name for f in attributes]
+    return _step(rows, stored, attributes, ["`key:`"]).where("`exists:`").selectExpr(
+        "`key:` as _key", *[quote(n) for n in [*names, *[n for n in stored if n not in names]]]
+    )
+
+
+def _step(
+    joined: DataFrame, stored: dict[str, T.DataType], attributes: list[T.StructField], carry: list[str]
+) -> DataFrame:
+    """All attributes after one effect, whether the document ``exists:``, and the columns in ``carry``."""
     survives = f"({_base('_key')} is not null and not coalesce(reset, false))"
 
     merging = [f for f in attributes if mergeable(f.dataType) and f.name in stored]
@@ -121,11 +206,13 @@ def _after(joined: DataFrame, stored: dict[str, T.DataType], attributes: list[T.
             new = patched(old, f"put.{quote(name)}", field.dataType, stored[name], keep)
         else:
             new = lower(_merged(name) if field in merging else f"put.{quote(name)}", field.dataType)
-        return f"case when not {survives} then {_fresh(field, stored.get(name))} when put is null then {old} else {new} end as {quote(name)}"
+        fresh = _fresh(field, stored.get(name))
+        return f"case when not {survives} then {fresh} when put is null then {old} else {new} end as {quote(name)}"
 
     only_in_base = [n for n in stored if n not in {f.name for f in attributes}]
-    return joined.where(f"_key is null or {survives} or present").selectExpr(
-        f"coalesce(_key, {_base('_key')}) as _key",
+    return joined.selectExpr(
+        *carry,
+        f"{survives} or coalesce(present, false) as `exists:`",
         *[attribute(f) for f in attributes],
         *[f"if({survives} and not coalesce(replaced, false), {_base(n)}, null) as {quote(n)}" for n in only_in_base],
     )
@@ -171,6 +258,10 @@ def _base(name: str) -> str:
     return quote(f"base:{name}")
 
 
+def _run(number: int) -> str:
+    return f"run:{number}"
+
+
 def _merged(name: str) -> str:
     return quote(f"merged:{name}")
 

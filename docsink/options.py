@@ -26,7 +26,8 @@ class SinkOptions:
 
     ``key`` is the primary key column (or columns, see ``key_policy``);
     ``seq_chunk`` is explained in ``roll_bulks``, ``max_log`` and
-    ``compact_ratio`` in ``Collection.tidy``, ``buckets`` in ``Collection``.
+    ``compact_ratio`` in ``Collection.tidy``, ``buckets``, ``keep_versions`` and
+    ``keep_seconds`` in ``Collection``.
     ``mode`` is ``"bulk"`` for exact bulk semantics or ``"lww"`` for last write
     wins, which gives the same result on a well-formed changelog.
     """
@@ -46,6 +47,8 @@ class SinkOptions:
     compact_ratio: float = 0.25
     seq_chunk: int | None = SEQ_CHUNK
     buckets: int | None = None
+    keep_versions: int = 100
+    keep_seconds: int = 3600
 
     def __post_init__(self) -> None:
         if not self.database or not self.collection:

@@ -252,6 +252,34 @@ def apply_into_new_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read()
 
 
+@query(
+    "scan_collection_with_log",
+    """
+    select cast(o_orderkey as varchar) as _key, o_custkey,
+           case when o_orderkey % 3 <> 0 and o_orderkey % 5 <> 0 then o_orderstatus end as o_orderstatus,
+           case when o_orderkey % 3 = 0 and o_orderkey % 5 <> 0 then o_orderpriority end as note,
+           case when o_orderkey % 5 = 0 then 1 end as flag
+    from orders where o_orderkey % 10 <> 0""",
+)
+def scan_collection_with_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bucketed base, and a log of two document types that is not broadcast."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    collection = Collection(spark, f"{work_dir(spark, 'log')}/shop/orders", buckets=4, broadcast_limit=0)
+    collection.create(orders.select(key.cast("string").alias("_key"), "o_custkey", "o_orderstatus"))
+    noted = F.struct("o_custkey", F.col("o_orderpriority").alias("note"))
+    flagged = F.struct("o_custkey", F.lit(1).alias("flag"))
+    for rows, op, doc in (
+        (orders.where(key % 3 == 0), F.lit("+U"), noted),
+        (orders.where(key % 5 == 0), F.when(key % 2 == 0, "-D").otherwise("+U"), flagged),
+    ):
+        changes = rows.select(
+            key.cast("string").alias("_key"), key.alias("seq"), F.lit(0).alias("bulk_id"), op.alias("op"), doc.alias("doc")
+        )
+        collection.append(fold_bulks(changes), changes.schema["doc"].dataType)
+    return collection.read()
+
+
 @query(
     "scan_collection",
     "select cast(o_orderkey as varchar) as _key, o_custkey, o_orderstatus, o_totalprice from orders",

@@ -13,6 +13,7 @@ There is one writing job per collection at a time.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from dataclasses import asdict, dataclass, field, replace
 from itertools import groupby
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsink.functions.names import literal, quote
-from docsink.operators.applying import apply_effects
+from docsink.operators.applying import apply_effect_runs, apply_effects
 from docsink.operators.effects import EFFECT_COLUMNS, fold_effects
 
 # Rows and bytes that Spark lets a broadcast have at most.
@@ -32,9 +33,6 @@ ROW_BYTES = 64  # of a row in memory besides its values
 # A log this many times longer than wanted is compacted, whatever its size.
 MIXED_LOG = 4
 
-# Manifests kept at most, so that finding the latest stays a short listing.
-MAX_MANIFESTS = 100
-
 
 @dataclass(frozen=True)
 class LogEntry:
@@ -71,14 +69,32 @@ class Collection:
     With ``buckets`` the base is kept as Spark bucketed files by ``_key``: a log
     of any size is then joined to it without shuffling the base. Choose about
     one bucket per gigabyte; a compaction applies a changed number.
+
+    ``tidy`` forgets versions beyond the last ``keep_versions`` once they are
+    ``keep_seconds`` old, so that readers that began before can finish.
+    ``broadcast_limit`` bounds a broadcast log, in bytes; None is Spark's own bound.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        buckets: int | None = None,
+        *,
+        keep_versions: int = 100,
+        keep_seconds: int = 3600,
+        broadcast_limit: int | None = None,
+    ) -> None:
         if buckets is not None and buckets < 1:
             raise ValueError("buckets must be at least 1")
         self.spark = spark
         self.path = path.rstrip("/")
+        if keep_versions < 1:
+            raise ValueError("keep_versions must be at least 1")
         self.buckets = buckets
+        self.keep_versions = keep_versions
+        self.keep_seconds = keep_seconds
+        self.broadcast_limit = broadcast_limit
         self._files = _Files(spark)
 
     def manifest(self) -> Manifest | None:
@@ -143,6 +159,12 @@ class Collection:
         Entries of different document types cannot be folded together; a log
         that stays long because of them is compacted after all.
         """
+        self._shorten(max_log, ratio)
+        # Some slack, so that old versions go several at a time.
+        if len(self._version_numbers()) > self.keep_versions + self.keep_versions // 4:
+            self.vacuum(self.keep_versions, self.keep_seconds)
+
+    def _shorten(self, max_log: int, ratio: float) -> None:
         manifest = self.manifest()
         if manifest is None or len(manifest.log) < max_log:
             return
@@ -176,15 +198,17 @@ class Collection:
             return
         self._commit(self._with_base(manifest, self._read(manifest)))
 
-    def vacuum(self, keep: int = 2) -> None:
-        """Delete manifests older than the last ``keep`` and data none of the kept ones uses."""
+    def vacuum(self, keep: int = 2, seconds: int = 0) -> None:
+        """Delete versions before the last ``keep`` that are ``seconds`` old, and data no other version uses."""
         if keep < 1:
             raise ValueError("keep must be at least 1")
         numbers = sorted(self._version_numbers())
-        kept = [json.loads(self._files.read(self._manifest_path(n))) for n in numbers[-keep:]]
+        before = time.time() - seconds
+        gone = [n for n in numbers[:-keep] if self._files.modified(self._manifest_path(n)) <= before]
+        kept = [json.loads(self._files.read(self._manifest_path(n))) for n in numbers if n not in set(gone)]
         used = {f"version={m['base_version']}" for m in kept}
         used_log = {f"commit={e['version']}" for m in kept for e in m["log"]}
-        for number in numbers[:-keep]:
+        for number in gone:
             self._files.delete(self._manifest_path(number))
         for folder, names in (("base", used), ("log", used_log)):
             for name in self._files.names(f"{self.path}/{folder}"):
@@ -195,18 +219,18 @@ class Collection:
         documents = None
         if manifest.base_version is not None:
             documents = self._base(manifest)
-        # Batches with the same document type are folded together; a change of
-        # type starts a new fold, because an attribute a document does not have
-        # is not the same as one that is null.
+        # Batches with the same document type are folded together; the folded runs
+        # of different types meet the base in one join.
+        small = self._broadcastable(manifest.log)
+        buckets = None if small else manifest.base_buckets
+        runs = []
         for (doc_schema, _), entries in groupby(manifest.log, key=lambda e: e.schemas):
-            run = list(entries)
-            small = self._broadcastable(run)
-            documents = apply_effects(
-                documents,
-                self._log_effects(run, None if small else manifest.base_buckets),
-                T.StructType.fromJson(json.loads(doc_schema)),
-                small_effects=small,
-            )
+            effects = self._log_effects(list(entries), buckets)
+            runs.append((effects, T.StructType.fromJson(json.loads(doc_schema))))
+        if documents is None and runs:
+            documents, runs = apply_effects(None, *runs[0]), runs[1:]
+        if runs:
+            documents = apply_effect_runs(documents, runs, small_effects=small, buckets=buckets)
         if documents is None:
             return self.spark.createDataFrame([], "_key string")
         return documents
@@ -286,12 +310,11 @@ class Collection:
         if any(e.rows is None for e in run):
             return False
         rows, memory = sum(e.rows for e in run), sum(e.memory for e in run)
-        return rows <= BROADCAST_ROWS and memory <= self._files.broadcast_limit()
+        limit = self._files.broadcast_limit() if self.broadcast_limit is None else self.broadcast_limit
+        return rows <= BROADCAST_ROWS and memory <= limit
 
     def _commit(self, manifest: Manifest) -> None:
         self._files.write(self._manifest_path(manifest.version), json.dumps(asdict(manifest)))
-        if manifest.version >= MAX_MANIFESTS:
-            self._files.delete(self._manifest_path(manifest.version - MAX_MANIFESTS))
 
     def _version_numbers(self) -> list[int]:
         names = self._files.names(f"{self.path}/_versions")
@@ -348,6 +371,11 @@ class _Files:
         fs, target = self._open(path)
         return fs.getContentSummary(target).getLength()
 
+    def modified(self, path: str) -> float:
+        """Seconds since the epoch."""
+        fs, target = self._open(path)
+        return fs.getFileStatus(target).getModificationTime() / 1000
+
     def read(self, path: str) -> str:
         fs, target = self._open(path)
         stream = fs.open(target)
@@ -361,7 +389,7 @@ class _Files:
         fs, target = self._open(path)
         if fs.exists(target):
             raise FileExistsError(f"{path} was written by another job")
-        aside = self._hadoop.fs.Path(target.getParent(), f".{target.getName()}.tmp")
+        aside = self._hadoop.fs.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}.tmp")
         stream = fs.create(aside, True)
         try:
             stream.write(bytearray(text, "utf-8"))

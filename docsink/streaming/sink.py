@@ -39,7 +39,13 @@ class DocumentSink:
         self.options = options
         self.encoder = encoder or self._encode
         path = f"{root.rstrip('/')}/{options.database}/{options.collection}"
-        self.collection = Collection(spark, path, options.buckets)
+        self.collection = Collection(
+            spark,
+            path,
+            options.buckets,
+            keep_versions=options.keep_versions,
+            keep_seconds=options.keep_seconds,
+        )
 
     def effects(self, rows: DataFrame) -> tuple[DataFrame, T.StructType]:
         """One effect per key for a finite set of rows."""

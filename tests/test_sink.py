@@ -138,6 +138,24 @@ def test_log_of_several_document_types(spark, tmp_path):
     assert {r["_key"]: (r["a"], r["b"]) for r in sink.read().collect()} == got
 
 
+def test_base_is_joined_once_whatever_the_log_holds(spark, tmp_path):
+    sink = DocumentSink(spark, str(tmp_path), options(max_log=50))
+    sink.collection.create(spark.sql("select cast(id as string) as _key, cast(id as int) as id, 'b' as b from range(9)"))
+    sink.collection.broadcast_limit = 0
+    want = {str(k): {"id": k, "b": "b"} for k in range(9)}
+    for n in range(6):
+        name, value = ("a", n) if n % 2 else ("b", f"'{n}'")
+        sink.write(spark.sql(f"select cast(id as int) as id, 0L as seq, '+U' as op, {value} as {name} from range({n}, 9)"))
+        # A single update replaces the document.
+        want |= {str(k): {"id": k, name: n if n % 2 else str(n)} for k in range(n, 9)}
+    plan = sink.read()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1 and "Broadcast" not in plan
+    got = {r["_key"]: r.asDict() for r in sink.read().collect()}
+    assert {k: {c: v for c, v in d.items() if v is not None and c != "_key"} for k, d in got.items()} == want
+    sink.collection.broadcast_limit = None
+    assert {r["_key"]: r.asDict() for r in sink.read().collect()} == got
+
+
 def test_reading_without_broadcast_gives_the_same(spark, tmp_path):
     sink = DocumentSink(spark, str(tmp_path), options(flush_size=13))
     data = changelog(300)
@@ -285,13 +303,15 @@ def test_vacuum_keeps_what_is_in_use(spark, tmp_path):
         sink.collection.vacuum(keep=0)
 
 
-def test_old_manifests_go_away(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("docsink.sources.collection.MAX_MANIFESTS", 3)
-    sink = DocumentSink(spark, str(tmp_path), options(mode="lww", max_log=100))
-    for n in range(5):
-        sink.write(spark.sql(f"select {n} as id, 0L as seq, '+I' as op, 0D as v"))
-    assert len(sink.collection._version_numbers()) == 3
-    assert sink.read().count() == 5
+def test_old_versions_go_away(spark, tmp_path):
+    for seconds, left in ((0, 3), (3600, 5)):
+        sink = DocumentSink(
+            spark, str(tmp_path / str(seconds)), options(mode="lww", max_log=100, keep_versions=3, keep_seconds=seconds)
+        )
+        for n in range(5):
+            sink.write(spark.sql(f"select {n} as id, 0L as seq, '+I' as op, 0D as v"))
+        assert len(sink.collection._version_numbers()) == left
+        assert sink.read().count() == 5
 
 
 def test_own_encoder(spark, tmp_path):

@@ -101,26 +101,20 @@ class IdEncoder:
         full stop after a letter is a pre-token of its own.
         """
         known = self.words
-        words, tails = [], []
-        for word in new:
-            if not word or word[0].isspace() or word[-1].isspace():
-                known[word] = b""
-            elif word[-1] in self.tails and word[-2:-1].isalpha():
-                tails.append(word)
-            else:
-                words.append(word)
-        words += {w[:-1] for w in tails if w[:-1] not in known and w[:-1] not in new}
+        apart = {w for w in new if not w or w.strip() != w}
+        tails = [w for w in new.difference(apart) if w[-1] in self.tails and w[-2:-1].isalpha()]
+        known.update(dict.fromkeys(apart, b""))
+        stems = {w[:-1] for w in tails}.difference(known)
+        words = [*new.difference(apart).difference(tails).union(stems)]
         for start in range(0, len(words), LEARN_WORDS):
             some = words[start : start + LEARN_WORDS]
             ids = np.array(self.whole.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            at = np.flatnonzero(self.spaced[ids])
+            at = 4 * np.flatnonzero(self.spaced[ids])
             if len(at) != len(some):
                 raise ValueError("words and their ids do not agree")
-            raw, ends = ids.tobytes(), [*(4 * at[1:]).tolist(), 4 * len(ids)]
-            for word, begin, end in zip(some, (4 * at).tolist(), ends, strict=True):
-                known[word] = raw[begin:end]
-        for word in tails:
-            known[word] = known[word[:-1]] + self.tails[word[-1]]
+            ends = [*at[1:].tolist(), 4 * len(ids)]
+            known.update(zip(some, map(ids.tobytes().__getitem__, map(slice, at.tolist(), ends)), strict=True))
+        known.update((w, known[w[:-1]] + self.tails[w[-1]]) for w in tails)
 
 
 def _bytes(ids: list[int]) -> bytes:

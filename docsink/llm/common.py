@@ -19,7 +19,7 @@ def text_of(column: str = "text") -> Column:
 def written(frame: DataFrame, purpose: str, *by: str) -> DataFrame:
     """Write to the shared folder and read again: lost executors cost no recomputation."""
     path = f"{work_dir(frame.sparkSession, purpose)}/{purpose}"
-    frame.write.partitionBy(*by).parquet(path)
+    frame.write.option("compression", "zstd").partitionBy(*by).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -17,8 +17,9 @@ articles themselves differ.
 
 Entropies are sums over (host, path, content), combined before the shuffle. A
 host's removed paths occur on at least ``MIN_SHARE`` of its pages, so they are
-few; they meet the pages under a salted host, so a host with a third of all
-pages is spread out.
+few. Hosts that have any are noted in ``HOST_MARKS`` marks by hash, a broadcast of
+bounded size; only pages that hit a mark are shuffled to meet the paths, under a
+salted host, so a host with a third of all pages is spread out.
 
 Defined results: null and empty html give an empty text. White space in a block
 becomes one space; blocks are joined by one space. A null or odd url is a host
@@ -45,6 +46,7 @@ LOW_INSIDE = 0.05  # inside an article
 VARIED = 0.5  # importance of articles that differ from page to page
 DAMPING = 0.9
 SALT = 16
+HOST_MARKS = 1 << 16
 CHUNK_PAGES = 64
 
 # Tags of HTML by their role.
@@ -272,14 +274,21 @@ def main_text(pages: DataFrame) -> DataFrame:
     """One row per page: ``page_id, url, text, n_chars``."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", text_of("html").alias("html"))
     parsed = written(rows.mapInPandas(_parse, _PARSED), "pages")
+    removed = written(_removed(parsed), "removed")
+    mark = F.pmod(F.xxhash64("host"), F.lit(HOST_MARKS)).alias("mark")
+    marks = F.broadcast(removed.select(mark).distinct())
+    rows = parsed.select("page_id", "url", "host", "blocks", mark)
+    untouched = rows.join(marks, "mark", "left_anti")
+
     salts = F.explode(F.array(*[F.lit(i) for i in range(SALT)])).alias("salt")
-    removed = _removed(parsed).select("host", "removed", salts)
-    salted = parsed.select("page_id", "url", "host", "blocks", F.pmod(F.hash("page_id", "url"), F.lit(SALT)).alias("salt"))
-    found = salted.join(removed, ["host", "salt"], "left")
+    salted = rows.join(marks, "mark", "left_semi").withColumn("salt", F.pmod(F.hash("page_id", "url"), F.lit(SALT)))
+    found = salted.join(removed.select("host", "removed", salts), ["host", "salt"], "left")
 
     def kept(block):
         below = F.exists("removed", lambda r: F.startswith(F.concat(block["path"], F.lit(">")), F.concat(r, F.lit(">"))))
         return F.coalesce(~below, F.lit(True))
 
-    text = F.array_join(F.transform(F.filter("blocks", kept), lambda b: b["text"]), " ")
-    return found.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.char_length("text").cast("long"))
+    touched = found.withColumn("blocks", F.filter("blocks", kept)).select("page_id", "url", "blocks")
+    text = F.array_join(F.transform("blocks", lambda b: b["text"]), " ")
+    texts = untouched.select("page_id", "url", "blocks").unionByName(touched).select("page_id", "url", text.alias("text"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -81,3 +81,23 @@ def test_long_pages_extra_columns_and_repeats(spark, pages):
     got = main_text(frame).collect()
     assert sorted((r.page_id, r.n_chars) for r in got) == [(1, 99_999), (2, 1), (2, 1)]
     assert main_text(frame.where("false")).collect() == []
+
+
+WRAPPED = {
+    "<div class='layout has-sidebar'><article><p>a b</p></article></div>": "a b",
+    "<div class='social'><p>menu</p><main><p>a long text</p></main></div>": "a long text",
+    "<form id='page'><div class='widget'><article><p>a b</p></article></div></form>": "a b",
+    "<aside><main><p>a b</p></main></aside>": "a b",
+    "<div class='with-comments no-menu'><p>plain page</p></div>": "plain page",
+    "<div class='widget'><p>plain page</p></div>": "plain page",
+    "<main><p>the body of the page</p><article><p>teaser</p></article></main>": "the body of the page teaser",
+    "<main><p>the body of the page</p></main><article><p>teaser</p></article>": "the body of the page",
+    "<article><p>the text</p><ol class='comments'><li><article>long words of a reader</article></ol></article>": "the text",
+    "<article><p>the text</p></article><div class='comments'><article>long words of a reader</article></div>": "the text",
+    "<p>the text <span class='ads'>buy</span> goes on</p>": "the text goes on",
+}
+
+
+def test_names_and_teasers_take_no_article(pages):
+    got = texts(pages([(i, f"http://w{i}.org/", html) for i, html in enumerate(WRAPPED)]))
+    assert [got[i] for i in range(len(WRAPPED))] == list(WRAPPED.values())

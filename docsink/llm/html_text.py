@@ -20,7 +20,7 @@ little. A branch goes only if what lies around it (inside articles, their text)
 differs between the pages that have it, so copied articles stay.
 
 Entropies are sums over (host, path, content), combined before the shuffle. Every
-path on ``MIN_PAGES`` pages and ``MIN_SHARE`` of the host's is judged. Removed
+path on ``MIN_PAGES`` pages is judged, whatever its share of the host. Removed
 paths meet the paths of the pages as (host, path) rows, under a salt, so a host
 with a third of all pages is spread out. Hosts that have any are noted in
 ``HOST_MARKS`` marks by hash, a broadcast of bounded size; other pages, and pages
@@ -45,7 +45,6 @@ from pyspark.sql import functions as F
 from docsink.llm.common import text_of, written
 
 MIN_PAGES = 8  # of a host, before its statistics say anything
-MIN_SHARE = 0.02  # of a host's pages, for a path to be judged
 LOW = 0.2  # importance below this is boilerplate
 LOW_INSIDE = 0.05  # inside an article
 VARIED = 0.5  # entropy of what differs from page to page
@@ -167,6 +166,8 @@ class _Page(HTMLParser):
         if block:
             kinds = sorted({part for parts in names for part in parts})
             path += ">" + tag + "".join("." + n for n in kinds[:4])
+            if len(kinds) > 4:
+                path += "." + xxhash.xxh64_hexdigest(" ".join(kinds))
         element = _Element(tag, above, path, area, block, noise, named)
         self.stack.append(element)
         if noise < 3:
@@ -340,11 +341,8 @@ def _removed(parsed: DataFrame) -> DataFrame:
     is_article = F.col("path").rlike(r">(article|main)[^>]*$")
     outside = (F.col("area") == "") & (F.col("importance") < LOW) & ~F.col("path").rlike(r"^(>html)?(>body)?$")
     inside = (F.col("area") != "") & ~is_article & (F.col("importance") < LOW_INSIDE)
-    hosts = parsed.groupBy("host").agg(F.count("*").alias("host_pages"))
-    judged = style_tree(parsed).join(hosts, "host").where((F.col("pages") >= MIN_PAGES) & (F.col("around") >= VARIED))
-    judged = judged.where(F.col("pages") >= MIN_SHARE * F.col("host_pages"))
-    nearly_all = F.col("pages") >= 0.9 * F.col("host_pages")
-    return judged.where(outside | (inside & nearly_all)).select("host", "path", "taken")
+    judged = style_tree(parsed).where((F.col("pages") >= MIN_PAGES) & (F.col("around") >= VARIED))
+    return judged.where(outside | inside).select("host", "path", "taken")
 
 
 def _size(blocks: Column) -> Column:

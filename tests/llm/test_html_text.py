@@ -101,3 +101,19 @@ WRAPPED = {
 def test_names_and_teasers_take_no_article(pages):
     got = texts(pages([(i, f"http://w{i}.org/", html) for i, html in enumerate(WRAPPED)]))
     assert [got[i] for i in range(len(WRAPPED))] == list(WRAPPED.values())
+
+
+def test_boilerplate_of_a_small_section_goes(pages):
+    """Sections below any share of a host, notices in most articles, and paths that differ in their fifth name."""
+    rows = [(i, f"http://big.org/{i}", f"<body><div class='y'><p>{prose(i, 20)}</p></div></body>") for i in range(1000)]
+    section = "<body><div class='s'>Of this section</div><div class='y'><p>{}</p></div></body>"
+    rows += [(2000 + i, f"http://big.org/s{i}", section.format(prose(2000 + i, 20))) for i in range(10)]
+    notice = "<div class='q'>Read more here</div>"
+    rows += [(3000 + i, f"http://v.org/{i}", f"<article><p>{prose(i, 20)}</p>{notice * (i % 5 > 0)}</article>") for i in range(40)]
+    names = "<body><div class='a b c d {}'><p>{}</p></div><div class='a b c d f'><p>All rights</p></div></body>"
+    rows += [(4000 + i, f"http://n.org/{i}", names.format("e", prose(i, 20))) for i in range(20)]
+    copies = [(5000 + i, f"http://v.org/c{i}", "<article><section class='k'><p>a copied article</p></section></article>") for i in range(20)]
+    got = texts(pages([*rows, *copies]))
+    assert all(got[i] == prose(i, 20) for i in range(1000)) and all(got[2000 + i] == prose(2000 + i, 20) for i in range(10))
+    assert all(got[3000 + i] == prose(i, 20) for i in range(40)) and all(got[4000 + i] == prose(i, 20) for i in range(20))
+    assert all(got[5000 + i] == "a copied article" for i in range(20))

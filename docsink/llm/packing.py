@@ -6,10 +6,10 @@ documents are counted in a histogram; dynamic programming over it chooses the
 documents are numbered and cut into batches of as many as ``token_budget``
 padded tokens allow, one at least.
 
-The histogram is exact up to length 255 and keeps eight significant bits above,
-with the true maximum, count and sum of each bin, so it has at most a few
-thousand bins whatever the table holds, and the padding it reports is exact;
-bounds are optimal among the bins' maxima.
+The histogram holds every distinct length, so the bounds have the least padding
+there is. It is counted in Spark and comes to the driver, one row per distinct
+length. The best start of a bucket never falls as its bound grows, so each bucket
+is found by divide and conquer, in about ``n log n`` steps for ``n`` lengths.
 
 Numbering does not send a bucket to one task: documents lie in lanes chosen by
 hash, only row counts of lanes are summed up over a bucket, and rows are
@@ -32,6 +32,7 @@ from docsink.llm.common import text_of, written
 BUCKETS = 12
 TOKEN_BUDGET = 65_536
 LANE_ROWS = 50_000
+_FAR = np.int64(1 << 62)  # no padding is as much
 
 
 def word_length(text: str = "text") -> Column:
@@ -47,19 +48,27 @@ def best_bounds(longest: np.ndarray, count: np.ndarray, total: np.ndarray, bucke
     bins = len(longest)
     if not bins:
         return []
-    rows = np.concatenate([[0], np.cumsum(count)]).astype(np.float64)
-    sums = np.concatenate([[0], np.cumsum(total)]).astype(np.float64)
+    rows = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
+    sums = np.concatenate([[0], np.cumsum(total, dtype=np.int64)])
     # least[j]: padding of the first j bins with the buckets used so far.
-    least = np.full(bins + 1, np.inf)
+    least = np.full(bins + 1, _FAR)
     least[0] = 0
     choices = []
     for _ in range(min(buckets, bins)):
         new, choice = least.copy(), np.full(bins + 1, -1)
-        for j in range(1, bins + 1):
-            padding = least[:j] + longest[j - 1] * (rows[j] - rows[:j]) - (sums[j] - sums[:j])
-            i = int(padding.argmin())
-            if padding[i] < new[j]:
-                new[j], choice[j] = padding[i], i
+        # Ranges of bounds, and of the starts their buckets may have.
+        todo = [(1, bins, 0, bins - 1)]
+        while todo:
+            first, last, low, high = todo.pop()
+            if first > last:
+                continue
+            j = (first + last) // 2
+            starts = slice(low, min(high, j - 1) + 1)
+            padding = least[starts] + longest[j - 1] * (rows[j] - rows[starts]) - (sums[j] - sums[starts])
+            i = low + int(padding.argmin())
+            if padding[i - low] < new[j]:
+                new[j], choice[j] = padding[i - low], i
+            todo += [(first, j - 1, low, i), (j + 1, last, i, high)]
         least = new
         choices.append(choice)
     bounds, j = [], bins
@@ -71,7 +80,7 @@ def best_bounds(longest: np.ndarray, count: np.ndarray, total: np.ndarray, bucke
 
 
 def length_bounds(lengths: DataFrame, buckets: int) -> list[int]:
-    """Best bounds for all rows of ``length``."""
+    """Best bounds among bins of eight significant bits; ``pack`` uses ``exact_bounds``."""
     shift = F.greatest(F.length(F.bin("length")) - 8, F.lit(0))
     bins = (
         lengths.select("length", shift.cast("int").alias("shift"))
@@ -84,6 +93,14 @@ def length_bounds(lengths: DataFrame, buckets: int) -> list[int]:
     return best_bounds(*columns, buckets)
 
 
+def exact_bounds(lengths: DataFrame, buckets: int) -> list[int]:
+    """Bounds with the least padding for all rows of ``length``."""
+    counts = lengths.groupBy("length").agg(F.count("*").alias("count"), F.sum("length").alias("total"))
+    bins = counts.select(F.col("length").alias("longest"), "count", "total").orderBy("longest").collect()
+    columns = [np.array([row[c] for row in bins], np.int64) for c in ("longest", "count", "total")]
+    return best_bounds(*columns, buckets)
+
+
 def pack(
     docs: DataFrame,
     *,
@@ -94,7 +111,7 @@ def pack(
     """One row per document: ``doc_id, length, bucket, bucket_length, batch, slot``."""
     length = word_length() if length is None else length
     rows = written(docs.select("doc_id", length.alias("length"), F.xxhash64("doc_id", text_of()).alias("_key")), "lengths")
-    bounds = length_bounds(rows, buckets) or [1]
+    bounds = exact_bounds(rows, buckets) or [1]
     lanes = max(1, -(-rows.count() // LANE_ROWS))
     above = [(F.col("length") > bound).cast("int") for bound in bounds[:-1]]
     bucket = sum(above, F.lit(0))

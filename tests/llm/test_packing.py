@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from docsink.llm.packing import best_bounds, length_bounds, pack
+from docsink.llm.packing import best_bounds, exact_bounds, length_bounds, pack
 from tests.llm.conftest import prose
 
 
@@ -59,3 +59,25 @@ def test_lanes_do_not_change_the_contract(documents, monkeypatch):
 
 def test_empty_table(documents):
     assert pack(documents([])).collect() == []
+
+
+def test_long_lengths_are_told_apart(spark, documents):
+    lengths = [1, 255, 256, 257, 511, 512, 100_003, 100_004, 7_000_001]
+    assert exact_bounds(spark.createDataFrame([(n,) for n in lengths], "length long"), 99) == lengths
+    got = pack(documents([(i, prose(i, 599 + i)) for i in range(4)]), buckets=4).collect()
+    assert all(r.bucket_length == r.length for r in got) and len({r.length for r in got}) == 4
+
+
+def test_many_lengths_take_the_same_padding_as_brute_force():
+    rng = np.random.default_rng(0)
+    values = np.sort(rng.choice(5000, 300, replace=False) + 1)
+    counts = rng.integers(1, 1000, 300)
+    lengths = np.repeat(values, counts)
+    least = np.append(0.0, np.full(300, np.inf))
+    rows, sums = np.append(0, np.cumsum(counts)), np.append(0, np.cumsum(values * counts))
+    for _ in range(5):
+        least = np.array([0.0] + [
+            min(least[i] + values[j - 1] * (rows[j] - rows[i]) - sums[j] + sums[i] for i in range(j)) for j in range(1, 301)
+        ])
+    bounds = np.array(best_bounds(values, counts, values * counts, 5))
+    assert int((bounds[np.searchsorted(bounds, lengths)] - lengths).sum()) == least[-1]

@@ -13,6 +13,7 @@ from docsink.llm.html_text import main_text
 from docsink.llm.lm_scoring import lm_scores
 from docsink.llm.minhash import near_duplicate_report
 from docsink.llm.packing import pack
+from docsink.llm.periodic import planted, run_report
 from docsink.llm.token_counts import token_counts
 from docsink.llm.token_files import token_file_report
 from docsink.llm.toxicity import toxicity_scores, train
@@ -148,3 +149,9 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity_scores(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return run_report(docs.withColumn("text", planted(docs)))

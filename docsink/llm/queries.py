@@ -14,6 +14,7 @@ from docsink.llm.lm_scoring import lm_scores
 from docsink.llm.minhash import near_duplicate_report
 from docsink.llm.packing import pack
 from docsink.llm.periodic import planted, run_report
+from docsink.llm.prefix_trie import prefix_trie, turn_sequences, with_shared_heads
 from docsink.llm.token_counts import token_counts
 from docsink.llm.token_files import token_file_report
 from docsink.llm.toxicity import toxicity_scores, train
@@ -155,3 +156,53 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return run_report(docs.withColumn("text", planted(docs)))
+
+
+# CRC-32 of a number's digits, bit by bit, modulo 6.
+_CRC_STEP = "x"
+for _ in range(8):
+    _CRC_STEP = f"list_transform([{_CRC_STEP}], lambda x: xor(x >> 1, (x & 1) * 3988292384))[1]"
+_CRC = f"""xor(list_reduce(
+    list_concat([cast(4294967295 as bigint)],
+                list_transform(string_split(cast(conv_id as varchar), ''), lambda d: cast(ascii(d) as bigint))),
+    lambda c, d: list_transform([xor(c, d)], lambda x: {_CRC_STEP})[1]), 4294967295)"""
+
+
+@query(
+    "op13_prefix_trie",
+    f"""
+    with t as (
+      select conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as id,
+             length(coalesce(text, '')) as chars, turn
+      from conversations where conv_id is not null),
+    o as (select *, row_number() over (partition by conv_id order by turn nulls first, id) as i from t),
+    c as (select distinct conv_id, conv_id - conv_id % 100 as head, {_CRC} % 6 as h from t),
+    r as (
+      select c.conv_id, 0 as own, o.i, o.id, o.chars from c join o on o.conv_id = c.head and o.i <= c.h
+      union all
+      select c.conv_id, 1, o.i, o.id, o.chars from c join o on o.conv_id = c.conv_id and o.i > c.h),
+    p as (
+      select conv_id, row_number() over w as depth, chars,
+             md5(string_agg(id, '') over w) as key
+      from r window w as (partition by conv_id order by own, i rows between unbounded preceding and current row)
+      union all select conv_id, 0, 0, '' from c),
+    q as (
+      select *, lag(key) over w as up, lead(key) over w is null as ends from p
+      window w as (partition by conv_id order by depth)),
+    n as (
+      select key, depth, min(up) as up, min(conv_id) as conv_id, count(*) as n_convs,
+             (count(*) - 1) * min(chars) as saved,
+             coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where ends), '') as ends
+      from q group by key, depth),
+    k as (select up as key, count(*) as n_children from n group by up),
+    s as (
+      select p.key, sum(n.saved) as saved_tokens, sum(case when k.key is null then 1 else 0 end) as n_leaves
+      from n left join k using (key) join p on p.conv_id = n.conv_id and p.depth <= n.depth
+      group by p.key)
+    select n.conv_id, n.depth, u.conv_id as parent_conv_id, n.n_convs, coalesce(k.n_children, 0) as n_children,
+           cast(s.n_leaves as bigint) as n_leaves, cast(s.saved_tokens as bigint) as saved_tokens,
+           sha256(n.ends) as ends_sha256
+    from n left join n u on u.key = n.up left join k on k.key = n.key join s on s.key = n.key""",
+)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(with_shared_heads(turn_sequences(table(spark, sf_dir, "conversations"))))

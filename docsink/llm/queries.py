@@ -15,6 +15,7 @@ from docsink.llm.minhash import near_duplicate_report
 from docsink.llm.packing import pack
 from docsink.llm.periodic import planted, run_report
 from docsink.llm.prefix_trie import prefix_trie, turn_sequences, with_shared_heads
+from docsink.llm.substrings import repeat_report
 from docsink.llm.token_counts import token_counts
 from docsink.llm.token_files import token_file_report
 from docsink.llm.toxicity import toxicity_scores, train
@@ -158,6 +159,32 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_report(docs.withColumn("text", planted(docs)))
 
 
+@query(
+    "op12_substring_dedup",
+    r"""
+    with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+    t as (select doc_id, len(words) as n, unnest(words) as word, generate_subscripts(words, 1) as i from d),
+    x as (
+      select *, md5(string_agg(word, ' ') over (
+          partition by doc_id order by i rows between current row and 19 following)) as k
+      from t),
+    f as (
+      select *, case when i + 19 <= n then row_number() over (partition by k, i + 19 <= n order by doc_id, i) else 1 end as place
+      from x),
+    c as (
+      select *, max(place) over (partition by doc_id order by i rows between 19 preceding and current row) > 1 as gone
+      from f),
+    g as (
+      select doc_id, count(*) filter (where gone) as n_removed, string_agg(word, ' ' order by i) filter (where not gone) as kept
+      from c group by doc_id)
+    select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_removed, 0) as n_removed,
+           sha256(coalesce(kept, '')) as kept_sha256
+    from d left join g using (doc_id)""",
+)
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(table(spark, sf_dir, "documents"))
+
+
 # CRC-32 of a number's digits, bit by bit, modulo 6.
 _CRC_STEP = "x"
 for _ in range(8):

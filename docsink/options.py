@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from docsink.operators.rolling import SEQ_CHUNK
-
 # Option names.
 DATABASE = "database"
 COLLECTION = "collection"
@@ -28,6 +26,8 @@ class SinkOptions:
     ``seq_chunk`` is explained in ``roll_bulks``, ``max_log`` and
     ``compact_ratio`` in ``Collection.tidy``, ``buckets``, ``keep_versions`` and
     ``keep_seconds`` in ``Collection``.
+    ``arrival`` names a column with the time at which a change arrived, for
+    bulks cut by time; without it the time of its micro-batch counts.
     ``mode`` is ``"bulk"`` for exact bulk semantics or ``"lww"`` for last write
     wins, which gives the same result on a well-formed changelog.
     """
@@ -45,7 +45,8 @@ class SinkOptions:
     writers: int = 1
     max_log: int = 20
     compact_ratio: float = 0.25
-    seq_chunk: int | None = SEQ_CHUNK
+    seq_chunk: int | None = None
+    arrival: str | None = None
     buckets: int | None = None
     keep_versions: int = 100
     keep_seconds: int = 3600
@@ -97,6 +98,11 @@ class SinkOptions:
         values = {"flush_size": 100, "flush_interval_ms": 1000, **_parsed(properties), **more}
         return cls(database=database, collection=collection, key=key, **values)
 
+    @property
+    def carries_bulks(self) -> bool:
+        """Whether a bulk that is not full at the end of a micro-batch stays open."""
+        return self.mode == "bulk" and not self.flush_on_checkpoint
+
     @property
     def trigger(self) -> dict[str, str]:
         """Structured Streaming trigger that matches the flush interval (R2)."""

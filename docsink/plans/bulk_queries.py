@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docsink.operators import bulks
 from docsink.operators.changelog import normalize_changelog
-from docsink.operators.rolling import roll_bulks, roll_by_interval
+from docsink.operators.rolling import SEQ_CHUNK, roll_bulks, roll_by_interval
 from docsink.plans.catalog import query
 from docsink.plans.tables import BULK, CHANGES_SQL, GROUPS_SQL, NET_SQL, event_changes, table
 
@@ -36,7 +36,7 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def roll_bulks_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 4).alias("writer"))
-    return roll_bulks(rows, BULK, seq="event_id")
+    return roll_bulks(rows, BULK, seq="event_id", seq_chunk=SEQ_CHUNK)
 
 
 @query(
@@ -61,7 +61,7 @@ def roll_bulks_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def roll_bulks_size_or_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("event_id", "ts", (F.col("user_id") % 4).alias("writer"))
-    rolled = roll_bulks(rows, 10, seq="event_id", interval_ms=SIX_HOURS * 1000)
+    rolled = roll_bulks(rows, 10, seq="event_id", interval_ms=SIX_HOURS * 1000, seq_chunk=SEQ_CHUNK)
     return rolled.select("event_id", "writer", "bulk_id")
 
 

@@ -1,4 +1,4 @@
-"""Streaming queries."""
+"""Streaming queries."""
 
 from __future__ import annotations
 
@@ -81,3 +81,62 @@ def stream_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
             sink.write(part, source="slices", batch_id=batch_id)
             sink.write(part, source="slices", batch_id=batch_id)
     return sink.read()
+
+
+HALF_DAY = 12 * 3600
+
+
+def _uncut(spark: SparkSession, sf_dir: str) -> Iterator[DataFrame]:
+    """The changelog without bulk ids, in slices of unequal length that split bulks."""
+    rows = table(spark, sf_dir, "events").select(
+        "user_id", "value", "event_type", F.col("event_id").alias("seq"), F.col("ts").alias("arrived"), event_kind().alias("op")
+    )
+    last = (rows.agg(F.max("seq")).first()[0] or 0) + 1
+    cuts = [0, last // 7, last // 3 + 1, last // 2 + 13, last]
+    for first, end in zip(cuts, cuts[1:], strict=False):
+        yield rows.where((F.col("seq") >= first) & (F.col("seq") < end))
+
+
+def _stream_uncut(spark: SparkSession, sf_dir: str, options: SinkOptions) -> DataFrame:
+    """A run of the stream for each slice, so every open bulk goes on after a restart; then the last ones are closed."""
+    root = work_dir(spark, "open-bulks")
+    sink = DocumentSink(spark, root, options)
+    arriving = f"{root}/arriving"
+    for part in _uncut(spark, sf_dir):
+        part.write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(part.schema).parquet(arriving)
+        sink.start(stream, f"{root}/checkpoint", available_now=True).awaitTermination()
+    sink.flush()
+    return sink.read()
+
+
+def _uncut_oracle(bulk_id: str) -> str:
+    return f"""
+with {CHANGES_SQL.replace("bulk_id, value", "epoch(ts) as arrived, value").replace(f"event_id // {BULK} as ", "")},
+accepted as (select * from ch where op <> '-U'),
+ticked as (select *, cast(floor(arrived / {HALF_DAY}) as bigint) as tick from accepted),
+cut as (
+  select *, (row_number() over (partition by tick order by seq) - 1) // {BULK} as in_tick,
+         (row_number() over (order by seq) - 1) // {BULK} as in_all
+  from ticked),
+bulks as (select *, {bulk_id} as bulk_id from cut),
+{GROUPS_SQL.replace("from ch", "from bulks")}, {NET_SQL}, {EMPTY_BASE_SQL}, {APPLY_SQL}
+select _key, cast(_key as bigint) as user_id, value, event_type from result"""
+
+
+@query("stream_roll_bulks", _uncut_oracle("in_all"))
+def stream_roll_bulks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulks by size that go on over micro-batches and restarts."""
+    options = SinkOptions(
+        "shop", "users", key="user_id", flush_size=BULK, flush_interval_ms=0, arrival="arrived", max_log=3
+    )
+    return _stream_uncut(spark, sf_dir, options)
+
+
+@query("stream_roll_bulks_or_interval", _uncut_oracle("dense_rank() over (order by tick, in_tick)"))
+def stream_roll_bulks_or_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulks by size or by the time of arrival that go on over micro-batches and restarts."""
+    options = SinkOptions(
+        "shop", "users", key="user_id", flush_size=BULK, flush_interval_ms=HALF_DAY * 1000, arrival="arrived", max_log=3
+    )
+    return _stream_uncut(spark, sf_dir, options)

@@ -50,9 +50,18 @@ class LogEntry:
         return self.doc_schema, self.effect_schema
 
 
+@dataclass(frozen=True)
+class OpenBulks:
+    """Changes of a source whose bulks are not full yet; ``tick`` is the last timer tick it has seen."""
+
+    tick: int
+    version: int | None = None
+    schema: str | None = None
+
+
 @dataclass(frozen=True)
 class Manifest:
-    """State of a collection: the base, the log since, and the last batch of each source."""
+    """State of a collection: the base, the log since, and the last batch and the open bulks of each source."""
 
     version: int = 0
     base_version: int | None = None
@@ -61,6 +70,7 @@ class Manifest:
     base_buckets: int | None = None
     log: list[LogEntry] = field(default_factory=list)
     batches: dict[str, int] = field(default_factory=dict)
+    open: dict[str, OpenBulks] = field(default_factory=dict)
 
 
 class Collection:
@@ -103,7 +113,8 @@ class Collection:
         if not numbers:
             return None
         raw = json.loads(self._files.read(self._manifest_path(max(numbers))))
-        return Manifest(**{**raw, "log": [LogEntry(**e) for e in raw["log"]]})
+        opened = {source: OpenBulks(**o) for source, o in raw.get("open", {}).items()}
+        return Manifest(**{**raw, "log": [LogEntry(**e) for e in raw["log"]], "open": opened})
 
     def exists(self) -> bool:
         return self.manifest() is not None
@@ -133,11 +144,14 @@ class Collection:
         *,
         source: str | None = None,
         batch_id: int | None = None,
+        opened: tuple[DataFrame | None, int] | None = None,
     ) -> bool:
         """Add the effects of one batch; False if that batch was applied before.
 
         A batch that failed halfway left no manifest, and its directory is
-        written again from the start.
+        written again from the start. ``opened`` is what the batch leaves in
+        open bulks and its last timer tick; it replaces the source's open bulks
+        in the same version that holds the effects.
         """
         manifest = self.manifest() or Manifest()
         if source is not None and batch_id is not None and manifest.batches.get(source, -1) >= batch_id:
@@ -146,9 +160,29 @@ class Collection:
         batches = dict(manifest.batches)
         if source is not None and batch_id is not None:
             batches[source] = batch_id
-        self._commit(replace(manifest, version=entry.version, log=[*manifest.log, entry], batches=batches))
+        manifest = replace(manifest, version=entry.version, batches=batches)
+        if opened is not None:
+            manifest = replace(manifest, open={**manifest.open, source or "": self._open_entry(entry.version, *opened)})
+        # A batch that only fills open bulks is no entry of the log.
+        log = manifest.log if opened is not None and entry.rows == 0 else [*manifest.log, entry]
+        self._commit(replace(manifest, log=log))
         return True
 
+    def opened(self, source: str | None) -> tuple[DataFrame | None, int | None]:
+        """Changes in the open bulks of a source, if any, and its last timer tick."""
+        manifest = self.manifest()
+        found = None if manifest is None else manifest.open.get(source or "")
+        if found is None:
+            return None, None
+        if found.version is None:
+            return None, found.tick
+        schema = T.StructType.fromJson(json.loads(found.schema))
+        return self.spark.read.schema(schema).parquet(self._open_path(found.version)), found.tick
+
+    def sources_with_open_bulks(self) -> list[str]:
+        manifest = self.manifest()
+        return [] if manifest is None else [s for s, o in manifest.open.items() if o.version is not None]
+
     def tidy(self, max_log: int, ratio: float) -> None:
         """Shorten a log of ``max_log`` entries or more.
 
@@ -208,9 +242,10 @@ class Collection:
         kept = [json.loads(self._files.read(self._manifest_path(n))) for n in numbers if n not in set(gone)]
         used = {f"version={m['base_version']}" for m in kept}
         used_log = {f"commit={e['version']}" for m in kept for e in m["log"]}
+        used_open = {f"version={o['version']}" for m in kept for o in m.get("open", {}).values()}
         for number in gone:
             self._files.delete(self._manifest_path(number))
-        for folder, names in (("base", used), ("log", used_log)):
+        for folder, names in (("base", used), ("log", used_log), ("open", used_open)):
             for name in self._files.names(f"{self.path}/{folder}"):
                 if "=" in name and name not in names:
                     self._files.delete(f"{self.path}/{folder}/{name}")
@@ -279,6 +314,14 @@ class Collection:
             seen.get["memory"] or 0,
         )
 
+    def _open_entry(self, version: int, rows: DataFrame | None, tick: int) -> OpenBulks:
+        if rows is None:
+            return OpenBulks(tick)
+        seen = Observation()
+        path = self._open_path(version)
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        return OpenBulks(tick, version, rows.schema.json()) if seen.get["rows"] else OpenBulks(tick)
+
     def _with_base(self, manifest: Manifest, documents: DataFrame) -> Manifest:
         version = manifest.version + 1
         path = self._base_path(version)
@@ -326,6 +369,9 @@ class Collection:
     def _base_path(self, version: int) -> str:
         return f"{self.path}/base/version={version}"
 
+    def _open_path(self, version: int) -> str:
+        return f"{self.path}/open/version={version}"
+
     def _log_path(self, version: int) -> str:
         return f"{self.path}/log/commit={version}"
 

@@ -93,7 +93,8 @@ def apply_effects(
     if not small_effects:
         return _after(left.join(effects, F.expr(f"{_base('_key')} = _key"), "full_outer"), stored, attributes)
 
-    kept = _after(left.join(F.broadcast(effects), F.expr(f"{_base('_key')} = _key"), "left"), stored, attributes)
+    matched = left.join(F.broadcast(effects), F.expr(f"{_base('_key')} = _key"), "left")
+    kept = _after(matched, stored, attributes, key=_base("_key"))
     found = base.select("_key").join(F.broadcast(effects.select("_key")), "_key", "left_semi")
     new = _new_documents(effects.join(found, "_key", "left_anti"), attributes, stored)
     return kept.unionByName(new, allowMissingColumns=True)
@@ -176,9 +177,14 @@ def _stored(base: DataFrame, runs: list[list[T.StructField]]) -> tuple[DataFrame
     return base.selectExpr(f"`_key` as {_base('_key')}", *fitted), types
 
 
-def _after(joined: DataFrame, stored: dict[str, T.DataType], attributes: list[T.StructField]) -> DataFrame:
-    """Documents after the effects, from rows with both the stored and the effect columns."""
-    rows = joined.withColumn("key:", F.expr(f"coalesce(_key, {_base('_key')})"))
+def _after(
+    joined: DataFrame, stored: dict[str, T.DataType], attributes: list[T.StructField], key: str | None = None
+) -> DataFrame:
+    """Documents after the effects, from rows with both the stored and the effect columns.
+
+    Where every row has a stored document, its ``key`` alone lets conditions on keys reach the scan.
+    """
+    rows = joined.withColumn("key:", F.expr(key or f"coalesce(_key, {_base('_key')})"))
     names = [f.name for f in attributes]
     return _step(rows, stored, attributes, ["`key:`"]).where("`exists:`").selectExpr(
         "`key:` as _key", *[quote(n) for n in [*names, *[n for n in stored if n not in names]]]

@@ -291,3 +291,32 @@ def scan_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     collection = Collection(spark, f"{work_dir(spark, 'scan')}/shop/orders")
     collection.create(documents)
     return collection.read()
+
+
+@query(
+    "scan_collection_by_key",
+    """
+    select 'range' as asked, cast(o_orderkey as varchar) as _key, o_custkey, if(o_orderkey % 3 = 0, 'seen', null) as note
+    from orders where cast(o_orderkey as varchar) between '17' and '4' and o_orderkey % 6 <> 3
+    union all
+    select 'keys', cast(o_orderkey as varchar), o_custkey, if(o_orderkey % 3 = 0, 'seen', null)
+    from orders where o_orderkey in (1, 2, 3, 6, 35, 420, 600000) and o_orderkey % 6 <> 3""",
+)
+def scan_collection_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of keys and a few single ones, out of a base and a log of all orders."""
+    orders = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    collection = Collection(spark, f"{work_dir(spark, 'keys')}/shop/orders")
+    collection.create(orders.select(key.cast("string").alias("_key"), "o_custkey"))
+    doc = F.struct("o_custkey", F.lit("seen").alias("note"))
+    changes = orders.where(key % 3 == 0).select(
+        key.cast("string").alias("_key"),
+        key.alias("seq"),
+        F.lit(0).alias("bulk_id"),
+        F.when(key % 6 == 3, "-D").otherwise("+U").alias("op"),
+        doc.alias("doc"),
+    )
+    collection.append(fold_bulks(changes), changes.schema["doc"].dataType)
+    between = collection.read(low="17", high="4").select(F.lit("range").alias("asked"), "*")
+    some = collection.read(keys=["1", "2", "3", "6", "35", "420", "600000", "none"])
+    return between.unionByName(some.select(F.lit("keys").alias("asked"), "*"))

@@ -7,6 +7,12 @@ log short: recent entries are folded into one, and only when the log has grown
 to a good share of the base are both rewritten. A version is a small manifest
 file; a batch counts as applied when its manifest exists.
 
+The base lies in files of disjoint key ranges, sorted by key; ``index/`` holds
+the first and the last key of each. Reading some keys or a range of them looks
+up the files when the plan is built, and the scans get the condition, too, so
+that they skip row groups. Log entries are sorted inside their files and know
+their first and last key.
+
 There is one writing job per collection at a time.
 """
 
@@ -15,7 +21,9 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -36,7 +44,7 @@ MIXED_LOG = 4
 
 @dataclass(frozen=True)
 class LogEntry:
-    """Effects of one batch; ``rows`` and ``memory`` were counted when it was written."""
+    """Effects of one batch; ``rows``, ``memory`` and the first and last key were taken when it was written."""
 
     version: int
     doc_schema: str
@@ -44,12 +52,49 @@ class LogEntry:
     size: int
     rows: int | None = None
     memory: int | None = None
+    low: str | None = None
+    high: str | None = None
 
     @property
     def schemas(self) -> tuple[str, str]:
         return self.doc_schema, self.effect_schema
 
 
+@dataclass(frozen=True)
+class KeyRange:
+    """Some keys, or all between two (both included); nothing given means all documents."""
+
+    keys: tuple[str, ...] | None = None
+    low: str | None = None
+    high: str | None = None
+
+    @property
+    def condition(self) -> Column | None:
+        found = [] if self.keys is None else [F.col("_key").isin(*self.keys)]
+        found += [] if self.low is None else [F.col("_key") >= self.low]
+        found += [] if self.high is None else [F.col("_key") <= self.high]
+        return reduce(Column.__and__, found) if found else None
+
+    def meets(self, low: str, high: str) -> Column:
+        """Condition on rows with a first and last key: whether any wanted key can lie between."""
+        first, last = F.col(low), F.col(high)
+        found = [] if self.low is None else [last >= self.low]
+        found += [] if self.high is None else [first <= self.high]
+        if self.keys is not None:
+            within = [(first <= key) & (last >= key) for key in self.keys]
+            found.append(reduce(Column.__or__, within, F.lit(False)))
+        return reduce(Column.__and__, found, F.lit(True))
+
+    def may_meet(self, entry: LogEntry) -> bool:
+        if entry.low is None:
+            return True
+        # Bytes of UTF-8 are ordered as Spark orders strings.
+        low, high = entry.low.encode(), entry.high.encode()
+        if self.keys is not None and not any(low <= key.encode() <= high for key in self.keys):
+            return False
+        return (self.low is None or self.low.encode() <= high) and (self.high is None or low <= self.high.encode())
+
+
 @dataclass(frozen=True)
 class OpenBulks:
     """Changes of a source whose bulks are not full yet; ``tick`` is the last timer tick it has seen."""
@@ -68,6 +113,7 @@ class Manifest:
     base_schema: str | None = None
     base_size: int = 0
     base_buckets: int | None = None
+    base_indexed: bool = False
     log: list[LogEntry] = field(default_factory=list)
     batches: dict[str, int] = field(default_factory=dict)
     open: dict[str, OpenBulks] = field(default_factory=dict)
@@ -125,12 +171,18 @@ class Collection:
             return
         self._commit(Manifest() if documents is None else self._with_base(Manifest(), documents))
 
-    def read(self) -> DataFrame:
-        """All documents: ``_key`` and the attributes."""
+    def read(
+        self, *, keys: Sequence[str] | None = None, low: str | None = None, high: str | None = None
+    ) -> DataFrame:
+        """Documents, ``_key`` and the attributes: all, those of some ``keys``, or those from ``low`` to ``high``.
+
+        The files that can hold them are looked up now; the others are not read.
+        """
         manifest = self.manifest()
         if manifest is None:
             raise FileNotFoundError(f"no collection at {self.path}")
-        return self._read(manifest)
+        wanted = KeyRange(None if keys is None else tuple(dict.fromkeys(keys)), low, high)
+        return self._read(manifest, wanted)
 
     def applied(self, source: str, batch_id: int) -> bool:
         """Whether a batch of a source is already part of the collection."""
@@ -245,22 +297,26 @@ class Collection:
         used_open = {f"version={o['version']}" for m in kept for o in m.get("open", {}).values()}
         for number in gone:
             self._files.delete(self._manifest_path(number))
-        for folder, names in (("base", used), ("log", used_log), ("open", used_open)):
+        for folder, names in (("base", used), ("index", used), ("log", used_log), ("open", used_open)):
             for name in self._files.names(f"{self.path}/{folder}"):
                 if "=" in name and name not in names:
                     self._files.delete(f"{self.path}/{folder}/{name}")
 
-    def _read(self, manifest: Manifest) -> DataFrame:
+    def _read(self, manifest: Manifest, wanted: KeyRange = KeyRange()) -> DataFrame:
         documents = None
         if manifest.base_version is not None:
-            documents = self._base(manifest)
+            documents = self._base(manifest, wanted)
         # Batches with the same document type are folded together; the folded runs
         # of different types meet the base in one join.
-        small = self._broadcastable(manifest.log)
+        log = [entry for entry in manifest.log if wanted.may_meet(entry)]
+        small = self._broadcastable(log)
         buckets = None if small else manifest.base_buckets
         runs = []
         for (doc_schema, _), entries in groupby(manifest.log, key=lambda e: e.schemas):
-            effects = self._log_effects(list(entries), buckets)
+            # Attributes count even where no document is wanted.
+            entries = list(entries)
+            met = [entry for entry in entries if entry in log] or entries[:1]
+            effects = self._log_effects(met, buckets, wanted)
             runs.append((effects, T.StructType.fromJson(json.loads(doc_schema))))
         if documents is None and runs:
             documents, runs = apply_effects(None, *runs[0]), runs[1:]
@@ -270,17 +326,41 @@ class Collection:
             return self.spark.createDataFrame([], "_key string")
         return documents
 
-    def _base(self, manifest: Manifest) -> DataFrame:
+    def _base(self, manifest: Manifest, wanted: KeyRange = KeyRange()) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(manifest.base_schema))
         path = self._base_path(manifest.base_version)
+        if wanted.condition is not None:
+            paths = self._files_with(manifest, wanted) if manifest.base_indexed else [path]
+            if not paths:
+                return self.spark.createDataFrame([], schema)
+            if manifest.base_buckets is None:
+                return self.spark.read.schema(schema).parquet(*paths).where(wanted.condition)
+            return self._bucketed(path, schema, manifest.base_buckets).where(wanted.condition)
         if manifest.base_buckets is None:
             return self.spark.read.schema(schema).parquet(path)
+        return self._bucketed(path, schema, manifest.base_buckets)
+
+    def _files_with(self, manifest: Manifest, wanted: KeyRange) -> list[str]:
+        """Files of the base that can hold a wanted key."""
+        index = self.spark.read.parquet(self._index_path(manifest.base_version))
+        names = index.where(wanted.meets("low", "high")).select("file").collect()
+        return [f"{self._base_path(manifest.base_version)}/{row.file}" for row in names]
+
+    def _write_index(self, version: int) -> None:
+        """First and last key of each file, from the column of keys alone."""
+        rows = self.spark.read.schema("_key string").parquet(self._base_path(version))
+        ranges = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+            F.min("_key").alias("low"), F.max("_key").alias("high"), F.count(F.lit(1)).alias("rows")
+        )
+        ranges.write.mode("overwrite").parquet(self._index_path(version))
+
+    def _bucketed(self, path: str, schema: T.StructType, buckets: int) -> DataFrame:
         # Only a table can tell Spark about buckets. It is an external one and
         # needed just long enough to be resolved.
         name = f"docsink_{uuid.uuid4().hex}"
         self.spark.sql(
             f"create table {name} ({schema.toDDL()}) using parquet "
-            f"clustered by (_key) into {manifest.base_buckets} buckets location {literal(path)}"
+            f"clustered by (_key) into {buckets} buckets location {literal(path)}"
         )
         try:
             documents = self.spark.table(name)
@@ -289,11 +369,15 @@ class Collection:
         finally:
             self.spark.sql(f"drop table {name}")
 
-    def _log_effects(self, run: list[LogEntry], buckets: int | None = None) -> DataFrame:
+    def _log_effects(
+        self, run: list[LogEntry], buckets: int | None = None, wanted: KeyRange = KeyRange()
+    ) -> DataFrame:
         """One effect per key for consecutive entries of one type, placed like the base if it has buckets."""
         schema = T.StructType.fromJson(json.loads(run[0].effect_schema)).add("commit", "long")
         paths = [self._log_path(e.version) for e in run]
         effects = self.spark.read.schema(schema).option("basePath", f"{self.path}/log").parquet(*paths)
+        if wanted.condition is not None:
+            effects = effects.where(wanted.condition)
         if buckets is not None:
             effects = effects.repartition(buckets, "_key")
         if len(run) > 1:
@@ -304,7 +388,8 @@ class Collection:
         path = self._log_path(version)
         seen = Observation()
         count, memory = F.count(F.lit(1)).alias("rows"), F.sum(bytes_in_memory(effects)).alias("memory")
-        effects.observe(seen, count, memory).write.mode("overwrite").parquet(path)
+        low, high = F.min("_key").alias("low"), F.max("_key").alias("high")
+        effects.observe(seen, count, memory, low, high).sortWithinPartitions("_key").write.mode("overwrite").parquet(path)
         return LogEntry(
             version,
             doc_schema,
@@ -312,6 +397,8 @@ class Collection:
             self._files.size(path),
             seen.get["rows"],
             seen.get["memory"] or 0,
+            seen.get["low"],
+            seen.get["high"],
         )
 
     def _open_entry(self, version: int, rows: DataFrame | None, tick: int) -> OpenBulks:
@@ -326,7 +413,9 @@ class Collection:
         version = manifest.version + 1
         path = self._base_path(version)
         if self.buckets is None:
-            documents.write.mode("overwrite").parquet(path)
+            ranges = documents.repartitionByRange("_key").sortWithinPartitions("_key")
+            ranges.write.mode("overwrite").parquet(path)
+            self._write_index(version)
         else:
             self._write_buckets(documents, path, aligned=manifest.base_buckets == self.buckets)
         return replace(
@@ -336,6 +425,7 @@ class Collection:
             base_schema=documents.schema.json(),
             base_size=self._files.size(path),
             base_buckets=self.buckets,
+            base_indexed=self.buckets is None,
             log=[],
         )
 
@@ -369,6 +459,9 @@ class Collection:
     def _base_path(self, version: int) -> str:
         return f"{self.path}/base/version={version}"
 
+    def _index_path(self, version: int) -> str:
+        return f"{self.path}/index/version={version}"
+
     def _open_path(self, version: int) -> str:
         return f"{self.path}/open/version={version}"
 

@@ -12,7 +12,7 @@ runs while no change arrives, a heartbeat joins the stream.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -183,8 +183,11 @@ class DocumentSink:
             writer = writer.trigger(**self.options.trigger)
         return writer.start()
 
-    def read(self) -> DataFrame:
-        return self.collection.read()
+    def read(
+        self, *, keys: Sequence[str] | None = None, low: str | None = None, high: str | None = None
+    ) -> DataFrame:
+        """Documents: all, those of some ``keys``, or those from ``low`` to ``high``."""
+        return self.collection.read(keys=keys, low=low, high=high)
 
     def _interval(self, clock_ms: int | None) -> int | None:
         """Milliseconds between ticks, if there is an interval and a clock to measure it by."""

@@ -34,6 +34,7 @@ from docsink.operators.effects import fold_bulks, fold_effects
 from docsink.operators.rolling import hash_writer, roll_bulks, roll_by_interval
 from docsink.options import SinkOptions
 from docsink.sources.collection import Collection
+from docsink.sources.inbox import register_format
 from docsink.streaming.sink import DocumentSink
 
 __all__ = [
@@ -67,6 +68,7 @@ __all__ = [
     "multiset_by",
     "net_actions",
     "normalize_changelog",
+    "register_format",
     "roll_bulks",
     "roll_by_interval",
 ]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from docsink.plans.tables import (
     table,
     work_dir,
 )
+from docsink.sources.inbox import register_format
 from docsink.streaming.sink import DocumentSink
 
 SLICES = 4
@@ -140,3 +142,22 @@ def stream_roll_bulks_or_interval(spark: SparkSession, sf_dir: str) -> DataFrame
         "shop", "users", key="user_id", flush_size=BULK, flush_interval_ms=HALF_DAY * 1000, arrival="arrived", max_log=3
     )
     return _stream_uncut(spark, sf_dir, options)
+
+
+@query("insert_into_collection", _ORACLE)
+def insert_into_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changelog, handed in by ``INSERT INTO`` of a table and by the registered format."""
+    sink = _sink(spark, work_dir(spark, "insert"))
+    name = f"users_{uuid.uuid4().hex}"
+    first, second, *rest = _slices(spark, sf_dir)
+    sink.create_table(name, first.schema)
+    try:
+        for part in (first, second):
+            spark.sql(f"insert into {name} select * from {{part}}", part=part)
+    finally:
+        spark.sql(f"drop table {name}")
+    register_format(spark)
+    for part in rest:
+        part.write.format("docsink").mode("append").option("path", sink.collection.path).save()
+    sink.settle()
+    return sink.read()

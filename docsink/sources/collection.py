@@ -220,6 +220,13 @@ class Collection:
         self._commit(replace(manifest, log=log))
         return True
 
+    def forget(self, sources: Sequence[str]) -> None:
+        """Drop sources that will not deliver again, so that manifests stay small."""
+        manifest = self.manifest()
+        if manifest is not None and any(s in manifest.batches for s in sources):
+            left = {s: b for s, b in manifest.batches.items() if s not in set(sources)}
+            self._commit(replace(manifest, version=manifest.version + 1, batches=left))
+
     def opened(self, source: str | None) -> tuple[DataFrame | None, int | None]:
         """Changes in the open bulks of a source, if any, and its last timer tick."""
         manifest = self.manifest()

@@ -24,6 +24,7 @@ from docsink.operators.changelog import normalize_changelog
 from docsink.operators.effects import SEGMENT_BULKS, effects_of_last_writes, fold_bulks
 from docsink.operators.rolling import continue_bulks, hash_writer, last_bulks, roll_bulks, tick_of
 from docsink.options import SinkOptions
+from docsink.sources import inbox
 from docsink.sources.collection import Collection
 
 Encoder = Callable[[DataFrame], DataFrame]
@@ -33,6 +34,7 @@ _CHANGE_COLUMNS = ("op", "seq", "bulk_id")
 # Up to here, the changes of one key in one segment go to one task uncombined.
 MAX_SEGMENT_CHANGES = 1 << 20
 
+_INSERT = "insert:"  # in front of the names of handed-in jobs
 _BEAT = "beat:"  # column of the heartbeat
 
 
@@ -82,6 +84,20 @@ class DocumentSink:
         self.collection.tidy(self.options.max_log, self.options.compact_ratio)
         return applied
 
+    def create_table(self, table: str, columns: T.StructType | str) -> None:
+        """A table for ``INSERT INTO``; ``columns`` are the document's, with ``op``, ``seq`` and ``bulk_id`` if wanted."""
+        columns = T.StructType.fromDDL(columns) if isinstance(columns, str) else columns
+        inbox.create_table(self.collection.spark, table, columns, self.collection.path)
+
+    def settle(self) -> int:
+        """Apply what was handed in by ``INSERT INTO`` or ``format("docsink")``, in order; returns how many jobs."""
+        commits = inbox.waiting(self.collection.path)
+        for commit in commits:
+            self.write(inbox.changes_of(self.collection.spark, commit), source=f"{_INSERT}{commit.name}", batch_id=0)
+            inbox.remove(commit, self.collection.path)
+        self.collection.forget([f"{_INSERT}{commit.name}" for commit in commits])
+        return len(commits)
+
     def take(
         self, rows: DataFrame, source: str | None = None, batch_id: int | None = None, clock_ms: int | None = None
     ) -> bool:

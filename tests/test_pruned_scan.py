@@ -106,6 +106,6 @@ def test_a_plain_condition_reaches_the_scan(spark, tmp_path, files_of_ranges):
     changed(spark, collection, "id % 7 = 0")
     found = collection.read().where(F.col("_key") == "14")
     plan = found._jdf.queryExecution().executedPlan().toString()
-    scans = [line for line in plan.splitlines() if "FileScan" in line and "/base/" in line]
+    scans = [line for line in plan.splitlines() if "FileScan" in line and "commit#" not in line]
     assert len(scans) == 2 and all("EqualTo(_key,14)" in line for line in scans)
     assert [tuple(r) for r in found.collect()] == [("14", 140)]

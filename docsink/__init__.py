@@ -7,6 +7,7 @@ from docsink.functions.encoding import (
     entries_to_map,
     multiset_by,
 )
+from docsink.functions.serializing import Change, row_encoder, serialize_rows
 from docsink.operators.applying import (
     apply_bulks,
     apply_deletes,
@@ -31,6 +32,7 @@ from docsink.operators.bulks import (
 )
 from docsink.operators.changelog import normalize_changelog
 from docsink.operators.effects import fold_bulks, fold_effects
+from docsink.operators.outcomes import fold_outcomes, resolve_outcomes
 from docsink.operators.rolling import hash_writer, roll_bulks, roll_by_interval
 from docsink.options import SinkOptions
 from docsink.sources.collection import Collection
@@ -38,6 +40,7 @@ from docsink.sources.inbox import register_format
 from docsink.streaming.sink import DocumentSink
 
 __all__ = [
+    "Change",
     "Collection",
     "DocumentSink",
     "SinkOptions",
@@ -64,11 +67,15 @@ __all__ = [
     "entries_to_map",
     "fold_bulks",
     "fold_effects",
+    "fold_outcomes",
     "hash_writer",
     "multiset_by",
     "net_actions",
     "normalize_changelog",
     "register_format",
+    "resolve_outcomes",
     "roll_bulks",
     "roll_by_interval",
+    "row_encoder",
+    "serialize_rows",
 ]

@@ -28,6 +28,10 @@ class SinkOptions:
     ``keep_seconds`` in ``Collection``.
     ``arrival`` names a column with the time at which a change arrived, for
     bulks cut by time; without it the time of its micro-batch counts.
+    ``report`` keeps what became of changes: totals in the manifest, and the
+    keys with refused changes. ``reject`` says what happens to rows that cannot
+    be changes (no key, an unknown kind, no place): ``"fail"`` the job, or put
+    them ``"aside"``.
     ``mode`` is ``"bulk"`` for exact bulk semantics or ``"lww"`` for last write
     wins, which gives the same result on a well-formed changelog.
     """
@@ -47,6 +51,8 @@ class SinkOptions:
     compact_ratio: float = 0.25
     seq_chunk: int | None = None
     arrival: str | None = None
+    report: bool = False
+    reject: str = "fail"
     buckets: int | None = None
     keep_versions: int = 100
     keep_seconds: int = 3600
@@ -64,6 +70,10 @@ class SinkOptions:
             raise ValueError(f"`{MAX_IN_FLIGHT}` is {self.max_in_flight_flushes}, at least 1 is needed")
         if self.mode not in ("bulk", "lww"):
             raise ValueError(f"unknown mode {self.mode!r}")
+        if self.reject not in ("fail", "aside"):
+            raise ValueError(f"unknown way to reject {self.reject!r}")
+        if self.report and self.mode != "bulk":
+            raise ValueError("only bulks tell what became of a change")
         if self.writers < 1 or self.max_log < 1:
             raise ValueError("writers and max_log must be at least 1")
 

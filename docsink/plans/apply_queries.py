@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from docsink.operators import applying
 from docsink.operators.changelog import normalize_changelog
 from docsink.operators.effects import fold_bulks
+from docsink.operators.outcomes import fold_outcomes, resolve_outcomes
 from docsink.options import SinkOptions
 from docsink.plans.catalog import query
 from docsink.plans.tables import (
@@ -320,3 +321,26 @@ def scan_collection_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     between = collection.read(low="17", high="4").select(F.lit("range").alias("asked"), "*")
     some = collection.read(keys=["1", "2", "3", "6", "35", "420", "600000", "none"])
     return between.unionByName(some.select(F.lit("keys").alias("asked"), "*"))
+
+
+@query(
+    "change_outcomes",
+    f"""
+    with {CHANGES_SQL}, {GROUPS_SQL}, {NET_SQL}, {BASE_SQL},
+    u as (
+      select _key, bulk_id, a from net where a is not null
+      union all select _key, -1, 'B' from base),
+    w as (
+      select *, coalesce(last_value(case when a in ('I', 'U', 'B') then true when a = 'D' then false end ignore nulls) over (
+          partition by _key order by bulk_id rows between unbounded preceding and 1 preceding), false) as was
+      from u)
+    select _key, count(*) filter (a = 'I') as inserts, count(*) filter (a = 'R') as replaces,
+           count(*) filter (a = 'U') as upserts, count(*) filter (a = 'D') as deletes,
+           count(*) filter (a = 'I' and was) as inserts_refused, count(*) filter (a = 'R' and not was) as replaces_refused,
+           count(*) filter (a = 'D' and not was) as deletes_missed,
+           max_by(case when a in ('I', 'U', 'B') then true when a = 'D' then false else was end, bulk_id) as present
+    from w group by _key having count(*) filter (a <> 'B') > 0""",
+)
+def change_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many changes of each key an existing collection takes, and how many it refuses."""
+    return resolve_outcomes(fold_outcomes(event_changes(spark, sf_dir)), supplier_documents(spark, sf_dir))

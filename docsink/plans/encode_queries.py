@@ -12,6 +12,7 @@ from docsink.functions.encoding import (
     entries_to_map,
     multiset_by,
 )
+from docsink.functions.serializing import Change, serialize_rows
 from docsink.options import SinkOptions
 from docsink.plans.catalog import query
 from docsink.plans.tables import event_kind, table, work_dir
@@ -308,3 +309,26 @@ def derive_key_composite_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 def derive_key_overwrites(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderstatus").alias("_key"))
     return encode_documents(rows, "o_orderkey").select("_key", "doc.*")
+
+
+@query(
+    "serialize_rows",
+    """
+    select cast(o_orderkey as varchar) as _key, case when o_orderstatus = 'F' then '-D' else '+I' end as op,
+           o_orderkey as seq, o_orderkey, o_custkey, o_totalprice, o_orderpriority
+    from orders where o_orderstatus <> 'P'""",
+)
+def serialize_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents made by a Python function, one row at a time."""
+
+    def serializer(row: dict) -> Change | None:
+        if row["o_orderstatus"] == "P":
+            return None
+        names = ("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+        return Change(str(row["o_orderkey"]), {n: row[n] for n in names}, "-D" if row["o_orderstatus"] == "F" else "+I")
+
+    orders = table(spark, sf_dir, "orders")
+    columns = orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    document = columns.drop("o_orderstatus").schema
+    found = serialize_rows(columns.withColumn("seq", F.col("o_orderkey")), serializer, document)
+    return found.where("error is null").select("_key", "op", "seq", "doc.*")

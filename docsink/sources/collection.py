@@ -13,15 +13,22 @@ up the files when the plan is built, and the scans get the condition, too, so
 that they skip row groups. Log entries are sorted inside their files and know
 their first and last key.
 
-There is one writing job per collection at a time.
+Several jobs may write to a collection at a time. Each writes its data into
+folders of its own; what decides is who creates the next manifest first, which
+only one can. The other reads the new version and tries again on top of it. That
+is right without looking at keys, as effects say what a batch does to any
+collection: the order of versions is the order of the batches. Folding a log and
+compacting it replace the entries they have read, and later ones stay; if
+another job was faster, its work counts and theirs is dropped.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 from itertools import groupby
@@ -33,6 +40,7 @@ from pyspark.sql import types as T
 from docsink.functions.names import literal, quote
 from docsink.operators.applying import apply_effect_runs, apply_effects
 from docsink.operators.effects import EFFECT_COLUMNS, fold_effects
+from docsink.operators.outcomes import OUTCOME_COLUMNS, REFUSED
 
 # Rows and bytes that Spark lets a broadcast have at most.
 BROADCAST_ROWS = 100_000_000
@@ -54,6 +62,7 @@ class LogEntry:
     memory: int | None = None
     low: str | None = None
     high: str | None = None
+    part: str | None = None  # folder inside that of the version
 
     @property
     def schemas(self) -> tuple[str, str]:
@@ -100,7 +109,7 @@ class OpenBulks:
     """Changes of a source whose bulks are not full yet; ``tick`` is the last timer tick it has seen."""
 
     tick: int
-    version: int | None = None
+    version: str | None = None
     schema: str | None = None
 
 
@@ -109,7 +118,7 @@ class Manifest:
     """State of a collection: the base, the log since, and the last batch and the open bulks of each source."""
 
     version: int = 0
-    base_version: int | None = None
+    base_version: int | str | None = None
     base_schema: str | None = None
     base_size: int = 0
     base_buckets: int | None = None
@@ -117,6 +126,10 @@ class Manifest:
     log: list[LogEntry] = field(default_factory=list)
     batches: dict[str, int] = field(default_factory=dict)
     open: dict[str, OpenBulks] = field(default_factory=dict)
+    outcomes: dict[str, int] = field(default_factory=dict)
+
+
+_OF_BASE = ("base_version", "base_schema", "base_size", "base_buckets", "base_indexed")
 
 
 class Collection:
@@ -169,7 +182,12 @@ class Collection:
         """Create the collection if it is missing, empty or with first documents."""
         if self.exists():
             return
-        self._commit(Manifest() if documents is None else self._with_base(Manifest(), documents))
+        try:
+            self._commit(Manifest() if documents is None else self._with_base(Manifest(), documents))
+        except FileExistsError:
+            # Another job created it meanwhile.
+            if documents is not None:
+                raise
 
     def read(
         self, *, keys: Sequence[str] | None = None, low: str | None = None, high: str | None = None
@@ -197,35 +215,76 @@ class Collection:
         source: str | None = None,
         batch_id: int | None = None,
         opened: tuple[DataFrame | None, int] | None = None,
+        outcomes: Callable[[], DataFrame] | None = None,
     ) -> bool:
         """Add the effects of one batch; False if that batch was applied before.
 
-        A batch that failed halfway left no manifest, and its directory is
-        written again from the start. ``opened`` is what the batch leaves in
+        A batch that failed halfway left no manifest and is written again from
+        the start. ``opened`` is what the batch leaves in
         open bulks and its last timer tick; it replaces the source's open bulks
-        in the same version that holds the effects.
+        in the same version that holds the effects. ``outcomes`` makes, for the
+        collection as it is, what becomes of the changes per key (``resolve_outcomes``): totals are added up in
+        the manifest, keys with refused changes are written beside the log.
         """
+        def known(manifest: Manifest) -> bool:
+            return source is not None and batch_id is not None and manifest.batches.get(source, -1) >= batch_id
+
         manifest = self.manifest() or Manifest()
-        if source is not None and batch_id is not None and manifest.batches.get(source, -1) >= batch_id:
+        if known(manifest):
             return False
         entry = self._log_entry(manifest.version + 1, effects, doc_type.json())
-        batches = dict(manifest.batches)
-        if source is not None and batch_id is not None:
-            batches[source] = batch_id
-        manifest = replace(manifest, version=entry.version, batches=batches)
-        if opened is not None:
-            manifest = replace(manifest, open={**manifest.open, source or "": self._open_entry(entry.version, *opened)})
-        # A batch that only fills open bulks is no entry of the log.
-        log = manifest.log if opened is not None and entry.rows == 0 else [*manifest.log, entry]
-        self._commit(replace(manifest, log=log))
-        return True
+        left = None if opened is None else self._open_entry(*opened)
+
+        def added(manifest: Manifest) -> Manifest | None:
+            if known(manifest):
+                return None
+            placed = self._placed(entry, manifest.version + 1)
+            # A batch that only fills open bulks is no entry of the log.
+            log = manifest.log if left is not None and entry.rows == 0 else [*manifest.log, placed]
+            new = replace(manifest, version=placed.version, log=log)
+            if source is not None and batch_id is not None:
+                new = replace(new, batches={**manifest.batches, source: batch_id})
+            if left is not None:
+                new = replace(new, open={**manifest.open, source or "": left})
+            if outcomes is not None:
+                counts = self._write_outcomes(placed, outcomes())
+                new = replace(new, outcomes={n: manifest.outcomes.get(n, 0) + (c or 0) for n, c in counts.items()})
+            return new
+
+        return self._commit_change(added, lambda version: self._drop_outcomes(entry, version))
+
+    def refused(self) -> DataFrame:
+        """Keys with refused changes, ``commit, _key`` and the counts, of all batches that reported them."""
+        schema = ", ".join(["commit long", "_key string", *[f"{name} long" for name in OUTCOME_COLUMNS], "present boolean"])
+        manifest = self.manifest()
+        commits = [] if manifest is None else self._files.names(f"{self.path}/outcomes")
+        # A batch that failed after it wrote its outcomes left no version.
+        done = [c for c in commits if "=" in c and int(c.split("=")[1]) <= manifest.version]
+        if not done:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.path}/outcomes/{c}/{part}" for c in done for part in self._files.names(f"{self.path}/outcomes/{c}")]
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/outcomes").parquet(*paths)
+
+    def _write_outcomes(self, entry: LogEntry, outcomes: DataFrame) -> dict[str, int]:
+        seen = Observation()
+        sums = [F.sum(name).alias(name) for name in OUTCOME_COLUMNS]
+        kept = outcomes.observe(seen, *sums).where(" + ".join(REFUSED) + " > 0")
+        kept.write.mode("overwrite").parquet(self._outcome_path(entry, entry.version))
+        return seen.get
+
+    def _drop_outcomes(self, entry: LogEntry, version: int) -> None:
+        self._files.delete(self._outcome_path(entry, version))
 
     def forget(self, sources: Sequence[str]) -> None:
         """Drop sources that will not deliver again, so that manifests stay small."""
-        manifest = self.manifest()
-        if manifest is not None and any(s in manifest.batches for s in sources):
+        def without(manifest: Manifest) -> Manifest | None:
             left = {s: b for s, b in manifest.batches.items() if s not in set(sources)}
-            self._commit(replace(manifest, version=manifest.version + 1, batches=left))
+            if len(left) == len(manifest.batches):
+                return None
+            return replace(manifest, version=manifest.version + 1, batches=left)
+
+        if self.exists():
+            self._commit_change(without)
 
     def opened(self, source: str | None) -> tuple[DataFrame | None, int | None]:
         """Changes in the open bulks of a source, if any, and its last timer tick."""
@@ -281,15 +340,33 @@ class Collection:
         recent = manifest.log[-entries:]
         if any(e.schemas != recent[-1].schemas for e in recent):
             raise ValueError("log entries of different document types cannot be folded")
-        entry = self._log_entry(manifest.version + 1, self._log_effects(recent), recent[-1].doc_schema)
-        self._commit(replace(manifest, version=entry.version, log=[*manifest.log[:-entries], entry]))
+        # It stands where the last of them stood, before entries that come meanwhile.
+        entry = self._log_entry(recent[-1].version, self._log_effects(recent), recent[-1].doc_schema)
+
+        def folded(current: Manifest) -> Manifest | None:
+            start = len(manifest.log) - entries
+            if current.log[start : start + entries] != recent:
+                return None
+            log = [*current.log[:start], entry, *current.log[start + entries :]]
+            return replace(current, version=current.version + 1, log=log)
+
+        self._commit_change(folded)
 
     def compact(self) -> None:
         """Store the folded documents as the new base."""
         manifest = self.manifest()
         if manifest is None or not manifest.log:
             return
-        self._commit(self._with_base(manifest, self._read(manifest)))
+        based = self._with_base(manifest, self._read(manifest), f"{manifest.version + 1}-{uuid.uuid4().hex}")
+
+        def compacted(current: Manifest) -> Manifest | None:
+            taken = len(manifest.log)
+            if current.base_version != manifest.base_version or current.log[:taken] != manifest.log:
+                return None
+            of_base = {name: getattr(based, name) for name in _OF_BASE}
+            return replace(current, version=current.version + 1, log=current.log[taken:], **of_base)
+
+        self._commit_change(compacted)
 
     def vacuum(self, keep: int = 2, seconds: int = 0) -> None:
         """Delete versions before the last ``keep`` that are ``seconds`` old, and data no other version uses."""
@@ -306,8 +383,10 @@ class Collection:
             self._files.delete(self._manifest_path(number))
         for folder, names in (("base", used), ("index", used), ("log", used_log), ("open", used_open)):
             for name in self._files.names(f"{self.path}/{folder}"):
-                if "=" in name and name not in names:
-                    self._files.delete(f"{self.path}/{folder}/{name}")
+                data = f"{self.path}/{folder}/{name}"
+                # What is young may belong to a job that has not committed yet.
+                if "=" in name and name not in names and self._files.modified(data) <= before:
+                    self._files.delete(data)
 
     def _read(self, manifest: Manifest, wanted: KeyRange = KeyRange()) -> DataFrame:
         documents = None
@@ -353,7 +432,7 @@ class Collection:
         names = index.where(wanted.meets("low", "high")).select("file").collect()
         return [f"{self._base_path(manifest.base_version)}/{row.file}" for row in names]
 
-    def _write_index(self, version: int) -> None:
+    def _write_index(self, version: int | str) -> None:
         """First and last key of each file, from the column of keys alone."""
         rows = self.spark.read.schema("_key string").parquet(self._base_path(version))
         ranges = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(
@@ -381,7 +460,7 @@ class Collection:
     ) -> DataFrame:
         """One effect per key for consecutive entries of one type, placed like the base if it has buckets."""
         schema = T.StructType.fromJson(json.loads(run[0].effect_schema)).add("commit", "long")
-        paths = [self._log_path(e.version) for e in run]
+        paths = [self._log_path(e.version, e.part) for e in run]
         effects = self.spark.read.schema(schema).option("basePath", f"{self.path}/log").parquet(*paths)
         if wanted.condition is not None:
             effects = effects.where(wanted.condition)
@@ -392,7 +471,8 @@ class Collection:
         return effects.select("_key", *EFFECT_COLUMNS)
 
     def _log_entry(self, version: int, effects: DataFrame, doc_schema: str) -> LogEntry:
-        path = self._log_path(version)
+        part = uuid.uuid4().hex
+        path = self._log_path(version, part)
         seen = Observation()
         count, memory = F.count(F.lit(1)).alias("rows"), F.sum(bytes_in_memory(effects)).alias("memory")
         low, high = F.min("_key").alias("low"), F.max("_key").alias("high")
@@ -406,18 +486,28 @@ class Collection:
             seen.get["memory"] or 0,
             seen.get["low"],
             seen.get["high"],
+            part,
         )
 
-    def _open_entry(self, version: int, rows: DataFrame | None, tick: int) -> OpenBulks:
+    def _placed(self, entry: LogEntry, version: int) -> LogEntry:
+        """The entry in the folder of ``version``, by which entries are ordered."""
+        target = self._log_path(version, entry.part)
+        for held in (entry.version, *range(entry.version + 1, version)):
+            # An attempt that lost may have moved it already.
+            if held != version and self._files.exists(self._log_path(held, entry.part)):
+                self._files.move(self._log_path(held, entry.part), target)
+        return replace(entry, version=version)
+
+    def _open_entry(self, rows: DataFrame | None, tick: int) -> OpenBulks:
         if rows is None:
             return OpenBulks(tick)
-        seen = Observation()
+        seen, version = Observation(), uuid.uuid4().hex
         path = self._open_path(version)
         rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
         return OpenBulks(tick, version, rows.schema.json()) if seen.get["rows"] else OpenBulks(tick)
 
-    def _with_base(self, manifest: Manifest, documents: DataFrame) -> Manifest:
-        version = manifest.version + 1
+    def _with_base(self, manifest: Manifest, documents: DataFrame, folder: str | None = None) -> Manifest:
+        version = folder or manifest.version + 1
         path = self._base_path(version)
         if self.buckets is None:
             ranges = documents.repartitionByRange("_key").sortWithinPartitions("_key")
@@ -427,7 +517,7 @@ class Collection:
             self._write_buckets(documents, path, aligned=manifest.base_buckets == self.buckets)
         return replace(
             manifest,
-            version=version,
+            version=manifest.version + 1,
             base_version=version,
             base_schema=documents.schema.json(),
             base_size=self._files.size(path),
@@ -453,6 +543,21 @@ class Collection:
         limit = self._files.broadcast_limit() if self.broadcast_limit is None else self.broadcast_limit
         return rows <= BROADCAST_ROWS and memory <= limit
 
+    def _commit_change(
+        self, change: Callable[[Manifest], Manifest | None], undo: Callable[[int], None] = lambda version: None
+    ) -> bool:
+        """Commit a change of the latest version, again if another job was faster; False if it is not wanted any more."""
+        while True:
+            new = change(self.manifest() or Manifest())
+            if new is None:
+                return False
+            try:
+                self._commit(new)
+            except FileExistsError:
+                undo(new.version)
+            else:
+                return True
+
     def _commit(self, manifest: Manifest) -> None:
         self._files.write(self._manifest_path(manifest.version), json.dumps(asdict(manifest)))
 
@@ -463,17 +568,20 @@ class Collection:
     def _manifest_path(self, version: int) -> str:
         return f"{self.path}/_versions/{version:020d}.json"
 
-    def _base_path(self, version: int) -> str:
+    def _base_path(self, version: int | str) -> str:
         return f"{self.path}/base/version={version}"
 
-    def _index_path(self, version: int) -> str:
+    def _index_path(self, version: int | str) -> str:
         return f"{self.path}/index/version={version}"
 
-    def _open_path(self, version: int) -> str:
+    def _open_path(self, version: str) -> str:
         return f"{self.path}/open/version={version}"
 
-    def _log_path(self, version: int) -> str:
-        return f"{self.path}/log/commit={version}"
+    def _log_path(self, version: int, part: str | None) -> str:
+        return f"{self.path}/log/commit={version}" + (f"/{part}" if part else "")
+
+    def _outcome_path(self, entry: LogEntry, version: int) -> str:
+        return f"{self.path}/outcomes/commit={version}/{entry.part}"
 
 
 def bytes_in_memory(frame: DataFrame) -> Column:
@@ -531,18 +639,43 @@ class _Files:
             stream.close()
 
     def write(self, path: str, text: str) -> None:
-        """Write aside and rename, so that a reader never sees half a file."""
+        """Put a file where there is none: written aside, so that nobody sees half of it, then given its name.
+
+        Renaming without leave to overwrite is atomic in HDFS; on a local disk a
+        second link to the file is. Stores where neither holds need one writer.
+        """
         fs, target = self._open(path)
-        if fs.exists(target):
-            raise FileExistsError(f"{path} was written by another job")
         aside = self._hadoop.fs.Path(target.getParent(), f".{target.getName()}.{uuid.uuid4().hex}.tmp")
         stream = fs.create(aside, True)
         try:
             stream.write(bytearray(text, "utf-8"))
         finally:
             stream.close()
-        if not fs.rename(aside, target):
-            raise FileExistsError(f"{path} was written by another job")
+        taken = FileExistsError(f"{path} was written by another job")
+        try:
+            if fs.getScheme() == "file":
+                os.link(self._local(aside), self._local(target))
+            elif fs.exists(target) or not fs.rename(aside, target):
+                raise taken
+        except FileExistsError:
+            raise taken from None
+        finally:
+            fs.delete(aside, False)
+
+    def exists(self, path: str) -> bool:
+        fs, target = self._open(path)
+        return fs.exists(target)
+
+    def move(self, path: str, target: str) -> None:
+        fs, source = self._open(path)
+        place = self._hadoop.fs.Path(target)
+        fs.mkdirs(place.getParent())
+        if not fs.rename(source, place):
+            raise OSError(f"{path} could not be moved")
+
+    @staticmethod
+    def _local(path) -> str:
+        return path.toUri().getPath()
 
     def delete(self, path: str) -> None:
         fs, target = self._open(path)

@@ -12,7 +12,9 @@ runs while no change arrives, a heartbeat joins the stream.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
+from urllib import parse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +22,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from docsink.functions.encoding import encode_documents
+from docsink.functions.names import quote
 from docsink.operators.changelog import normalize_changelog
 from docsink.operators.effects import SEGMENT_BULKS, effects_of_last_writes, fold_bulks
+from docsink.operators.outcomes import fold_outcomes, reason_to_reject, resolve_outcomes
 from docsink.operators.rolling import continue_bulks, hash_writer, last_bulks, roll_bulks, tick_of
 from docsink.options import SinkOptions
 from docsink.sources import inbox
@@ -67,20 +71,63 @@ class DocumentSink:
         doc_type = changes.schema["doc"].dataType
         if self.options.mode == "lww":
             return effects_of_last_writes(changes), doc_type
+        return self._folded(self._cut(changes), "bulk_id" not in changes.columns), doc_type
+
+    def _cut(self, changes: DataFrame) -> DataFrame:
+        """Changes with bulk ids: their own, or by size."""
         if "bulk_id" in changes.columns:
-            return fold_bulks(changes), doc_type
+            return changes
         lanes = changes.withColumn("writer", hash_writer(self.options.writers))
-        rolled = roll_bulks(lanes, self.options.flush_size, seq_chunk=self.options.seq_chunk)
+        return roll_bulks(lanes, self.options.flush_size, seq_chunk=self.options.seq_chunk)
+
+    def _folded(self, changes: DataFrame, by_size: bool) -> DataFrame:
         # A segment of bulks holds at most this many changes of one key.
-        bounded = self.options.flush_size * SEGMENT_BULKS <= MAX_SEGMENT_CHANGES
-        return fold_bulks(rolled, bounded_bulks=bounded), doc_type
+        bounded = by_size and self.options.flush_size * SEGMENT_BULKS <= MAX_SEGMENT_CHANGES
+        return fold_bulks(changes, bounded_bulks=bounded)
+
+    def _outcomes(self, changes: DataFrame) -> Callable[[], DataFrame] | None:
+        """What will become of changes with bulk ids in the collection as it is then, if that is to be reported."""
+        if not self.options.report:
+            return None
+        folded = fold_outcomes(changes)
+
+        def resolved() -> DataFrame:
+            keys = self.collection.read().select("_key") if self.collection.exists() else None
+            return resolve_outcomes(folded, keys)
+
+        return resolved
+
+    def _sound(self, rows: DataFrame, source: str | None, batch_id: int | None) -> DataFrame:
+        """Rows that can be changes; the others are put aside, if the options say so."""
+        if self.options.reject == "fail":
+            return rows
+        key = self.options.key if isinstance(self.options.key, str) else self.options.key[0]
+        reasoned = rows.withColumn("reason:", reason_to_reject(key, rows.columns))
+        reason = F.col("`reason:`")
+        # The same batch delivered again is put aside in the same place.
+        name = uuid.uuid4().hex if batch_id is None else f"{parse.quote(source or '', safe='')}-{batch_id}"
+        bad = reasoned.where(reason.isNotNull())
+        text = F.to_json(F.struct(*[F.col(quote(c)) for c in rows.columns]), {"ignoreNullFields": "false"})
+        bad.select(reason.alias("reason"), text.alias("change")).write.mode("overwrite").parquet(
+            f"{self.collection.path}/rejected/batch={name}"
+        )
+        return reasoned.where(reason.isNull()).drop("reason:")
+
+    def rejected(self) -> DataFrame:
+        """Rows that were put aside: ``reason``, the row as JSON in ``change``, and its ``batch``."""
+        if not self.collection.exists():
+            raise FileNotFoundError(f"no collection at {self.collection.path}")
+        spark, path = self.collection.spark, f"{self.collection.path}/rejected"
+        return spark.read.schema("reason string, change string, batch string").parquet(path)
 
     def write(self, rows: DataFrame, source: str | None = None, batch_id: int | None = None) -> bool:
         """Apply a finite changelog; False if this batch of this source was applied before."""
         if source is not None and batch_id is not None and self.collection.applied(source, batch_id):
             return False
+        rows = self._sound(rows, source, batch_id)
         effects, doc_type = self.effects(rows)
-        applied = self.collection.append(effects, doc_type, source=source, batch_id=batch_id)
+        outcomes = self._outcomes(self._cut(normalize_changelog(self.encoder(rows)))) if self.options.report else None
+        applied = self.collection.append(effects, doc_type, source=source, batch_id=batch_id, outcomes=outcomes)
         self.collection.tidy(self.options.max_log, self.options.compact_ratio)
         return applied
 
@@ -108,8 +155,10 @@ class DocumentSink:
         """
         if source is not None and batch_id is not None and self.collection.applied(source, batch_id):
             return False
-        changes = normalize_changelog(self.encoder(rows))
-        if not self.options.carries_bulks or "bulk_id" in changes.columns:
+        if not self.options.carries_bulks or "bulk_id" in rows.columns:
+            return self.write(rows, source, batch_id)
+        changes = normalize_changelog(self.encoder(self._sound(rows, source, batch_id)))
+        if "bulk_id" in changes.columns:
             return self.write(rows, source, batch_id)
         doc_type = changes.schema["doc"].dataType
         interval = self._interval(clock_ms)
@@ -143,7 +192,9 @@ class DocumentSink:
             closed = rolled.join(listed, ["writer", "bulk_id"], "left_anti")
             rest = rolled.join(listed, ["writer", "bulk_id"], "left_semi").select(*held)
         effects = fold_bulks(closed, bounded_bulks=size * SEGMENT_BULKS <= MAX_SEGMENT_CHANGES)
-        applied = self.collection.append(effects, doc_type, source=source, batch_id=batch_id, opened=(rest, tick))
+        applied = self.collection.append(
+            effects, doc_type, source=source, batch_id=batch_id, opened=(rest, tick), outcomes=self._outcomes(closed)
+        )
         self.collection.tidy(self.options.max_log, self.options.compact_ratio)
         return applied
 
@@ -155,9 +206,8 @@ class DocumentSink:
                 continue
             # One bulk per writer; a key has one writer.
             bulk = opened.withColumn("bulk_id", F.lit(0).cast("long"))
-            self.collection.append(
-                fold_bulks(bulk), bulk.schema["doc"].dataType, source=name, opened=(None, tick)
-            )
+            doc_type, outcomes = bulk.schema["doc"].dataType, self._outcomes(bulk)
+            self.collection.append(fold_bulks(bulk), doc_type, source=name, opened=(None, tick), outcomes=outcomes)
         self.collection.tidy(self.options.max_log, self.options.compact_ratio)
 
     def start(

@@ -12,11 +12,13 @@ the earliest dart per coordinate is the signature.
 
 Signatures are banded. Every document of a bucket is compared with the bucket's
 smallest document. Buckets whose documents end up in more than one class are cut
-into blocks of bounded size, and blocks are compared with one another inside
-tasks, but for blocks of one and the same class; so no link that shares a bucket
-is lost, no pairs are written down but links, and a bucket of one class costs
-one comparison per document. All links are verified exactly on the shingles.
-Copies of a text are compared once.
+into blocks of bounded size; documents of a block are compared inside a task,
+then, where blocks still differ in class, blocks with one another. Documents of
+one class need no further link, so a task returns no more links than it has
+classes, and a bucket of one class costs one comparison per document. No link
+that shares a bucket is lost. Links are verified on all shingles, by 32-bit
+hashes of them: two shingles of a pair count as equal by mistake once in some
+four billion comparisons. Copies of a text are compared once.
 
 Defined results: a null text counts as empty; equal texts always share a class,
 other texts without words are alone. A text of fewer than five words is one
@@ -48,6 +50,8 @@ CHUNK_DOCS = 512
 CHUNK_SHINGLES = 400_000
 BLOCK_CELLS = 400_000  # of a block of a bucket; a longer document is a block of its own
 DOC_WEIGHT = 800  # cells a document counts for besides its own, so that blocks of short ones stay small
+LANE_ROWS = 50_000
+CLASS_LANES = 16
 COLUMNS = 4096  # of the tables compared at once
 MAX_WORDS = 500_000  # remembered word hashes of a Python worker
 
@@ -231,36 +235,89 @@ def _shared(rows: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
     return shared
 
 
+def _spanning(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Which of the links between classes join what earlier links do not join already."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while above.setdefault(x, x) != x:
+            above[x] = above[above[x]]
+            x = above[x]
+        return x
+
+    kept = []
+    for i, (x, y) in enumerate(zip(one.tolist(), two.tolist(), strict=True)):
+        x, y = top(x), top(y)
+        if x != y:
+            above[max(x, y)] = min(x, y)
+            kept.append(i)
+    return np.array(kept, np.int64)
+
+
 def _compare_blocks(group: pd.DataFrame) -> pd.DataFrame:
-    """Links between documents of different classes, of two blocks or inside one."""
+    """Links that join the classes of documents of two blocks, or of one; fewer than there are classes."""
     one = group[group["side"] == 0]
     two = group[group["side"] == 1]
     two = two if len(two) else one
-    ids, others = one["id"].to_numpy(), two["id"].to_numpy()
     rows, columns = one["cells"].tolist(), two["cells"].tolist()
     shared = _shared(rows, columns)
     sizes = np.array([len(r) for r in rows])[:, None] + np.array([len(r) for r in columns])[None, :]
     linked = shared >= SIMILARITY * (sizes - shared) * (1 - 1e-9)
-    linked &= one["root"].to_numpy()[:, None] != two["root"].to_numpy()[None, :]
+    root, other = one["root"].to_numpy(), two["root"].to_numpy()
+    linked &= root[:, None] != other[None, :]
     i, j = np.nonzero(linked)
-    return pd.DataFrame({"lo": np.minimum(ids[i], others[j]), "hi": np.maximum(ids[i], others[j])}).drop_duplicates()
+    pairs = np.unique(np.stack([np.minimum(root[i], other[j]), np.maximum(root[i], other[j])], axis=1), axis=0)
+    kept = _spanning(pairs[:, 0], pairs[:, 1])
+    return pd.DataFrame({"lo": pairs[kept, 0], "hi": pairs[kept, 1]})
+
+
+def _blocks(placed: DataFrame) -> DataFrame:
+    """``placed`` with the number of a block of bounded size inside each band, classes side by side.
+
+    Rows lie in lanes by hashes of their class and of themselves; only sums of
+    lanes are added up over a band, and rows are summed inside their lane.
+    """
+    lanes = max(1, -(-placed.count() // LANE_ROWS))
+    lane = F.pmod(F.xxhash64("root"), F.lit(CLASS_LANES)) * lanes + F.pmod(F.xxhash64("id"), F.lit(lanes))
+    rows = placed.withColumns({"_lane": lane, "_weight": F.col("n") + DOC_WEIGHT})
+    sums = rows.groupBy("band", "_lane").agg(F.sum("_weight").alias("_sum"))
+    earlier = Window.partitionBy("band").orderBy("_lane").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("band", "_lane", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("band", "_lane").orderBy("root", "id")
+    upto = F.col("_start") + F.sum("_weight").over(within)
+    block = F.call_function("div", upto, F.lit(BLOCK_CELLS)).alias("block")
+    return rows.join(starts, ["band", "_lane"]).select("band", "id", "n", "root", block)
+
+
+def _met(placed: DataFrame, meetings: DataFrame, cells: DataFrame) -> DataFrame:
+    """Links between classes found where blocks ``i`` and ``j`` of a band meet."""
+    left = placed.join(meetings.withColumn("block", F.col("i")), ["band", "block"]).withColumn("side", F.lit(0))
+    right = meetings.where("i < j").withColumn("block", F.col("j"))
+    right = placed.join(right, ["band", "block"]).withColumn("side", F.lit(1))
+    rows = left.unionByName(right).select("band", "i", "j", "side", "id", "root").join(cells, "id")
+    return rows.groupBy("band", "i", "j").applyInPandas(_compare_blocks, "lo long, hi long").distinct()
+
+
+def _with_roots(placed: DataFrame, links: DataFrame) -> DataFrame:
+    """``placed`` after its classes were joined by ``links``."""
+    joined = connected_components(links).select(F.col("node").alias("root"), F.col("root").alias("_root"))
+    return placed.join(joined, "root", "left").withColumn("root", F.coalesce("_root", "root")).drop("_root")
 
 
 def _links_across(placed: DataFrame, cells: DataFrame) -> DataFrame:
     """Links between classes that share a bucket: ``placed`` is ``band, id, n, root``."""
-    before = Window.partitionBy("band").orderBy("root", "id")
-    weight = F.sum(F.col("n") + DOC_WEIGHT).over(before)
-    placed = written(placed.withColumn("block", F.call_function("div", weight, F.lit(BLOCK_CELLS))), "blocks")
+    placed = written(_blocks(placed), "blocks")
+    blocks = placed.groupBy("band", "block").agg(F.min("root").alias("a"), F.max("root").alias("b"))
+    alone = blocks.where("a < b").select("band", F.col("block").alias("i"), F.col("block").alias("j"))
+    inside = written(_met(placed, alone, cells), "inside")
+
+    placed = written(_with_roots(placed, inside), "blocks")
     blocks = placed.groupBy("band", "block").agg(F.min("root").alias("first"), F.max("root").alias("last"))
     other = blocks.select("band", F.col("block").alias("j"), F.col("first").alias("first2"), F.col("last").alias("last2"))
     same = (F.col("first") == F.col("last")) & (F.col("first") == F.col("first2")) & (F.col("last") == F.col("last2"))
-    meetings = blocks.withColumnRenamed("block", "i").join(other, "band").where((F.col("i") <= F.col("j")) & ~same)
-    meetings = meetings.select("band", "i", "j")
-    left = placed.join(meetings.withColumn("block", F.col("i")), ["band", "block"]).withColumn("side", F.lit(0))
-    right = meetings.where("i < j").withColumn("block", F.col("j"))
-    right = placed.join(right, ["band", "block"]).withColumn("side", F.lit(1))
-    rows = left.unionByName(right).select("band", "i", "j", "side", "id", "root").join(cells, "id")
-    return rows.groupBy("band", "i", "j").applyInPandas(_compare_blocks, "lo long, hi long").distinct()
+    meetings = blocks.withColumnRenamed("block", "i").join(other, "band").where((F.col("i") < F.col("j")) & ~same)
+    between = written(_met(placed, meetings.select("band", "i", "j"), cells), "between")
+    return inside.unionAll(between)
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -288,7 +345,7 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     placed = placed.select("band", "id", "n", F.coalesce("root", "id").alias("root"))
     mixed = placed.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("band")
     placed = placed.join(mixed, "band", "left_semi")
-    links = links.unionAll(written(_links_across(placed, cells), "across"))
+    links = links.unionAll(_links_across(placed, cells))
     # Copies of one text are linked to their first document; repeated ids are one node anyway.
     roots = connected_components(links)
 

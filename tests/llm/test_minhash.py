@@ -118,3 +118,28 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "lo long, hi long")).collect()}
     want = {i: 0 for i in range(41)} | {i: 100 for i in range(100, 140)} | {200: 200, 201: 200}
     assert got == want
+
+
+def test_blocks_return_fewer_links_than_classes():
+    """Documents that are all alike, each a class of its own, and two groups that are not."""
+    import numpy as np
+    import pandas as pd
+
+    from docsink.llm.minhash import _compare_blocks, _spanning
+
+    def block(side, ids, base):
+        cells = [np.arange(base, base + 100, dtype=np.int32)] * len(ids)
+        return pd.DataFrame({"side": side, "id": ids, "root": ids, "cells": cells})
+
+    alike = pd.concat([block(0, list(range(40)), 0), block(1, list(range(40, 80)), 0)])
+    found = _compare_blocks(alike)
+    assert len(found) == 79
+    joined = {0}
+    for _ in range(80):
+        joined |= {x for pair in found.to_numpy().tolist() if joined & set(pair) for x in pair}
+    assert joined == set(range(80))
+    apart = pd.concat([block(0, [1, 2, 3], 0), block(1, [4, 5], 500)])
+    assert _compare_blocks(apart).empty
+    inside = _compare_blocks(block(0, [7, 8, 9], 0))
+    assert len(inside) == 2
+    assert _spanning(np.array([1, 1, 2]), np.array([2, 3, 3])).tolist() == [0, 1]

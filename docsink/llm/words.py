@@ -51,6 +51,10 @@ class Words:
         result[order] = hashed
         return result
 
+    def heads(self) -> np.ndarray:
+        """The first eight bytes of each word, with what follows it where it is shorter."""
+        return np.ndarray((len(self.data) - 7,), "<u8", self.data, strides=(1,))[self.start]
+
     def joined(self, kept: np.ndarray) -> list[bytes]:
         """Of each text the words marked ``kept``, joined by one blank."""
         # Every word is followed by white space, which becomes the blank.
@@ -66,10 +70,11 @@ class Words:
         return [out[a : max(a, b - 1)] for a, b in zip((stop - size).tolist(), stop.tolist(), strict=True)]
 
 
-def split_words(texts: list[bytes]) -> Words:
+def split_words(texts: list[bytes], letters: np.ndarray | None = None) -> Words:
+    """Words of texts; ``letters``, a table by byte, says what they are made of if not of all but white space."""
     # Eight more bytes, so that a word can be read eight bytes at a time.
     data = np.frombuffer(b" ".join([*texts, b" " * 8]), np.uint8)
-    inside = np.concatenate([[False], ~_SPACE[data]])
+    inside = np.concatenate([[False], (~_SPACE if letters is None else letters)[data]])
     turn = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = turn[0::2], turn[1::2]
     begin = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)])

@@ -17,16 +17,21 @@ by exact edit distance.
 Before embedding, windows that cannot match are left out without loss: a match
 starts with a word of an item and holds at most ``n // 10`` words no item has.
 
-The items are the stated query set; they go to the tasks in blocks of at most
-``BLOCK_ITEMS``, and all documents are read whole for each block.
+The items are the stated query set. They are prepared in blocks of at most
+``BLOCK_ITEMS``, but all blocks are held at once, on the driver and by every
+Python worker: a benchmark has to fit in a worker's memory.
 
-Defined results: null and empty texts match nothing. Items with fewer than
-``MIN_WORDS`` words name no passage and are not searched. Equal items are all
-reported. Rows are judged one by one, so repeated rows get equal results.
+Words are what stands between white space, and single characters of scripts
+that are written without. Items of fewer than ten words allow no edit, so they
+are found by their exact words, however short they are.
+
+Defined results: null and empty texts match nothing, and items without words are
+found nowhere. Equal items are all reported. Rows are judged one by one, so repeated rows get equal results.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,13 +41,15 @@ from pyspark.sql import functions as F
 
 from docsink.llm.common import mix64, text_of
 
-MIN_WORDS = 5
 SAMPLED = 3
 RECALL = 0.99
 MOST_REPEATS = 400
 BLOCK_ITEMS = 20_000
 CHUNK_CHARS = 1_500_000
-MAX_REMEMBERED = 300_000
+MAX_REMEMBERED = 150_000  # words, in each of two generations
+
+# Thai, Lao, Burmese, Khmer, kana and Han.
+_UNSPACED = re.compile("[\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 PAD, OTHER = 0, 1  # no word of an item
 
@@ -51,9 +58,18 @@ def edits_allowed(words: int) -> int:
     return words // 10
 
 
+def raw_words(text: str) -> list[str]:
+    """What stands between white space; each character of scripts that are written without."""
+    if not text.isascii() and _UNSPACED.search(text):
+        text = _UNSPACED.sub(r" \g<0> ", text)
+    return text.split()
+
+
 def normal(word: str) -> str:
     """Lower case, without signs at the ends."""
     word = word.lower()
+    if word[:1].isalnum() and word[-1:].isalnum():
+        return word
     start, end = 0, len(word)
     while start < end and not word[start].isalnum():
         start += 1
@@ -62,21 +78,41 @@ def normal(word: str) -> str:
     return word[start:end]
 
 
-def prefix_distance(item: list[int], words: list[int], most: int) -> int:
-    """Least edit distance between ``item`` and a prefix of ``words``; ``most + 1`` if above ``most``."""
-    wide = len(item) + most
-    row = list(range(min(len(words), wide) + 1))
-    for i, symbol in enumerate(item, 1):
-        left, right = max(1, i - most), min(len(row) - 1, i + most)
-        if left > right:
-            return most + 1
-        new = [most + 1] * len(row)
-        if left == 1:
-            new[0] = i
-        for j in range(left, right + 1):
-            new[j] = min(row[j - 1] + (words[j - 1] != symbol), row[j] + 1, new[j - 1] + 1)
-        row = new
-    return min(min(row), most + 1)
+def places_of(item: list[int]) -> dict[int, int]:
+    """Of each word the places where the item has it, as bits."""
+    places: dict[int, int] = {}
+    for i, symbol in enumerate(item):
+        places[symbol] = places.get(symbol, 0) | 1 << i
+    return places
+
+
+def prefix_distance(item: list[int], words: list[int], most: int, places: dict[int, int] | None = None) -> int:
+    """Least edit distance between ``item`` and a prefix of ``words``; ``most + 1`` if above ``most``.
+
+    A column of the table of distances at a time, as bits of where it rises and
+    falls (Myers); the first row counts the words passed.
+    """
+    if not item:
+        return 0
+    places = places_of(item) if places is None else places
+    every, last = (1 << len(item)) - 1, 1 << len(item) - 1
+    rises, falls = every, 0
+    distance = best = len(item)
+    for word in words[: len(item) + most]:
+        equal = places.get(word, 0)
+        along = equal | falls
+        down = (((equal & rises) + rises) ^ rises) | equal
+        up = falls | ~(down | rises) & every
+        low = rises & down
+        if up & last:
+            distance += 1
+        elif low & last:
+            distance -= 1
+            best = min(best, distance)
+        up = (up << 1 | 1) & every
+        rises = (low << 1 & every) | ~(along | up) & every
+        falls = up & along
+    return min(best, most + 1)
 
 
 def _walk(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int, seed: int, steps: np.ndarray) -> np.ndarray:
@@ -104,6 +140,7 @@ class _Class:
         sizes = [len(words) for _, words in items]
         self.shortest, self.most = min(sizes), edits_allowed(max(sizes))
         self.width = width
+        self.places = [places_of(words.tolist()) for _, words in items]
         self.symbols, self.starts, self.ends = _joined([words for _, words in items])
         self.words = np.zeros(width, bool)
         self.words[np.unique(self.symbols)] = True
@@ -118,7 +155,7 @@ class _Class:
     def _steps(self, repeat: int) -> np.ndarray:
         # A pointer moves at every other step.
         rng = np.random.default_rng(repeat)
-        return np.sort(rng.choice(2 * self.shortest, SAMPLED, replace=False))
+        return np.sort(rng.choice(2 * self.shortest, min(SAMPLED, 2 * self.shortest), replace=False))
 
     def _repeats(self, recall: float) -> int:
         """Repetitions that find ``recall`` of windows edited up to the bound, and half as many again."""
@@ -166,8 +203,8 @@ class ItemIndex:
     """Items prepared for searching; small enough to go along with every task."""
 
     def __init__(self, items: list[tuple[int, str]], recall: float = RECALL) -> None:
-        split = [(i, [w for w in map(normal, (text or "").split()) if w]) for i, text in items]
-        split = [(i, words) for i, words in split if len(words) >= MIN_WORDS]
+        split = [(i, [w for w in map(normal, raw_words(text or "")) if w]) for i, text in items]
+        split = [(i, words) for i, words in split if words]
         names = sorted({w for _, words in split for w in words})
         self.number = {w: k + 2 for k, w in enumerate(names)}
         numbered = sorted(((i, np.array([self.number[w] for w in words], np.int32)) for i, words in split), key=lambda x: len(x[1]))
@@ -187,7 +224,7 @@ class ItemIndex:
             return found
         parts = []
         for text in texts:
-            parts.append(np.fromiter(map(remembered.__getitem__, text.split()), np.int32))
+            parts.append(np.fromiter(map(remembered.__getitem__, raw_words(text)), np.int32))
         parts = [p[p > 0] for p in parts]
         symbols, starts, ends = _joined(parts)
         of = np.repeat(np.arange(len(texts)), ends - starts + 1)
@@ -219,7 +256,7 @@ class ItemIndex:
                 if np.array_equal(there[: len(words)], words):
                     found[doc][name] = 0
                     continue
-                distance = prefix_distance(words.tolist(), there.tolist(), most)
+                distance = prefix_distance(words.tolist(), there.tolist(), most, group.places[item])
                 if distance < best:
                     found[doc][name] = distance
         return found
@@ -231,11 +268,16 @@ class _Numbers(dict):
     def __init__(self, known: dict[str, int]) -> None:
         super().__init__()
         self.known = known
+        self.older: dict[str, int] = {}
 
     def __missing__(self, raw: str) -> int:
-        word = normal(raw)
-        number = self.known.get(word, OTHER) if word else PAD
+        number = self.older.get(raw)
+        if number is None:
+            word = normal(raw)
+            number = self.known.get(word, OTHER) if word else PAD
         if len(self) >= MAX_REMEMBERED:
+            # Words that come again are taken over from the generation before.
+            self.older = dict(self)
             self.clear()
         self[raw] = number
         return number

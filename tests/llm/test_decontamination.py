@@ -109,3 +109,44 @@ def test_prefix_distance(seed):
 
     want = min(distance(words[:n]) for n in range(len(words) + 1))
     assert prefix_distance(item, words, most) == min(want, most + 1)
+
+
+def plain_distance(item, words, most):
+    row = list(range(len(words) + 1))
+    for i, symbol in enumerate(item, 1):
+        new = [i]
+        for j, word in enumerate(words, 1):
+            new.append(min(row[j - 1] + (word != symbol), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return min(min(row), most + 1)
+
+
+def test_distance_by_bits_equals_the_table():
+    rng = random.Random(11)
+    for _ in range(2000):
+        n = rng.choice([0, 1, 3, 10, 40, 90])
+        item = [rng.randrange(2, 2 + rng.choice([2, 5, 50])) for _ in range(n)]
+        words = list(item)
+        for _ in range(rng.randint(0, 8)):
+            place = rng.randint(0, len(words))
+            rng.choice([lambda: words.insert(place, rng.randrange(60)), lambda: words.pop(place - 1) if words else None])()
+        words += [rng.randrange(60) for _ in range(rng.randint(0, 10))]
+        most = rng.choice([0, 1, n // 10, n])
+        got = prefix_distance(item, words[: n + most], most)
+        assert got == plain_distance(item, words[: n + most], most)
+
+
+def test_short_and_unspaced_items(spark):
+    items = [(1, "what is blood"), (2, "\u65e5\u672c\u8a9e\u306e\u554f\u984c"), (3, "Photosynthesis"), (4, "..."), (5, None), (6, "four words only here")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = {
+        1: "so: What, is blood? asked",
+        2: "\u3053\u308c\u306f\u65e5\u672c\u8a9e\u306e\u554f\u984c\u3067\u3059",
+        3: "photosynthesis!",
+        6: "a b FOUR words (only) here c",
+        7: "what was blood, four words only there, \u65e5\u672c\u8a9e",
+        8: "... nothing ...",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.item_ids for r in contamination_report(docs, benchmark).collect()}
+    assert got == {i: [i] if i in (1, 2, 3, 6) else [] for i in texts}

@@ -56,7 +56,7 @@ MAGIC = b"PLN1"
 BLOCK = 1 << 15
 END_ID = 0
 LEVEL = 3
-MAX_REMEMBERED = 600_000  # words, in a Python worker
+MAX_REMEMBERED = 300_000  # words, in each of two generations of a Python worker
 LEARN_WORDS = 4000
 CHUNK_CHARS = 2_000_000
 
@@ -75,13 +75,18 @@ class IdEncoder:
         self.spaced = np.zeros(max(spec["model"]["vocab"].values()) + 1, bool)
         self.spaced[[i for entry, i in spec["model"]["vocab"].items() if entry.startswith(space)]] = True
         self.words: dict[str, bytes] = {}  # ids of a word with the space before it
+        self.older: dict[str, bytes] = {}
         self.tails = {c: _bytes(self.whole.encode(c, add_special_tokens=False).ids) for c in ",."}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > MAX_REMEMBERED:
-            self.words.clear()
+            self.older, self.words = self.words, {}
         split = [[] if any(s in t for s in self.special) else t.split(" ") for t in texts]
-        self._learn(set().union(*split).difference(self.words))
+        new = set().union(*split).difference(self.words)
+        # Words that come again are taken over from the generation before.
+        again = new.intersection(self.older)
+        self.words.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        self._learn(new.difference(again))
         out, look = [], self.words.__getitem__
         for text, words in zip(texts, split, strict=True):
             ids = list(map(look, words))
@@ -101,11 +106,19 @@ class IdEncoder:
         full stop after a letter is a pre-token of its own.
         """
         known = self.words
-        apart = {w for w in new if not w or w.strip() != w}
-        tails = [w for w in new.difference(apart) if w[-1] in self.tails and w[-2:-1].isalpha()]
-        known.update(dict.fromkeys(apart, b""))
-        stems = {w[:-1] for w in tails}.difference(known)
-        words = [*new.difference(apart).difference(tails).union(stems)]
+        words, tails = [], []
+        for w in new:
+            end = w[-1:]
+            if end in self.tails:
+                # ``known`` has what was learnt, ``words`` what is new.
+                (tails if w[-2:-1].isalpha() and not w[0].isspace() else words).append(w)
+            else:
+                words.append(w)
+        apart = [w for w in words if not w or w.strip() != w]
+        if apart:
+            known.update(dict.fromkeys(apart, b""))
+            words = [w for w in words if w not in known]
+        words += {w[:-1] for w in tails}.difference(known, words)
         for start in range(0, len(words), LEARN_WORDS):
             some = words[start : start + LEARN_WORDS]
             ids = np.array(self.whole.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")

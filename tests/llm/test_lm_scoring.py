@@ -108,3 +108,66 @@ def test_small_tables(documents):
     assert only.train_tokens == 0 and only.n_known == 0 and only.n_tokens == 5
     (one,) = lm_scores(documents([(held + 1 if not is_held_out(held + 1) else held + 2, None)])).collect()
     assert one.n_tokens == one.n_known == 1
+
+
+def test_every_word_is_a_context(documents, small):
+    """Words that are not among the most frequent, of one class: each has learnt what follows it."""
+    lm_scoring.HOT_WORDS = 3
+    train, held = [i for i in range(400) if not is_held_out(i)], [i for i in range(400) if is_held_out(i)]
+    rows = [(i, f"{'xx' if i % 2 else 'yy'}-ing {'left' if i % 2 else 'right'} " + "of the way " * 5) for i in train]
+    rows += [(held[0], "xx-ing left"), (held[1], "xx-ing right"), (held[2], "yy-ing left"), (held[3], "yy-ing right")]
+    # The words before and after are rare, or the word after is frequent and follows one of the two alone.
+    rows += [(i + 1000, f"{'xx' if i % 2 else 'yy'}-est {'the' if i % 2 else 'unit'}") for i in range(300)]
+    held = [*held[:4], *[i for i in range(2000, 2100) if is_held_out(i)][:2]]
+    rows += [(held[4], "xx-est the"), (held[5], "yy-est the")]
+    got = {r.doc_id: r.score for r in lm_scores(documents(rows)).collect()}
+    right, wrong, other, same, frequent, never = [got[i] for i in held]
+    assert right > wrong + 1 and same > other + 1 and frequent > never + 1
+
+
+def test_rare_restaurants_are_whole(documents, small):
+    """Customers and tables that lie in several parts sum up to the totals that all parts use."""
+    model, _, (cells, after, seats, _), parts = lm_scoring.train_model(documents(ROWS))
+    replies = {}
+    for r in seats.where("kind in (0, 1)").collect():
+        replies[r.kind, r.part, r.stretch] = r.asDict()
+    own, rest, total, spread, discount = Counter(), {}, {}, Counter(), model.discounts[3]
+    for row in cells.where(f"part < {parts}").collect():
+        part = lm_scoring.Part(row.asDict(), model)
+        part.take_seats({g: v for (k, p, g), v in replies.items() if k == 0 and p == row.part}, parts)
+        count = part.count[part.rare]
+        assert ((part.rare_tables >= np.minimum(count, 1)) & (part.rare_tables <= count)).all()
+        for u, c, t, a, b in zip(part.before, count, part.rare_tables, part.rare_rest, part.rare_total, strict=True):
+            own[u] += c - discount * t
+            assert rest.setdefault(u, a) == a and total.setdefault(u, b) == b
+        spread.update(set(part.before.tolist()))
+    for row in after.collect():
+        words = lm_scoring._words_of(row.a)
+        tables, left, whole = lm_scoring._reply(replies[1, row.part, row.part], words, model)
+        for u, c, t, a, b in zip(words, lm_scoring._unpack(row.c, "<u4"), tables, left, whole, strict=True):
+            own[u] += int(c) - discount * t
+            assert rest.setdefault(u, a) == a and total.setdefault(u, b) == b
+    train = {w for i, text in ROWS if not is_held_out(i) for w in tokens(text)}
+    assert len(own) > len(train) - 50 and max(spread.values()) > 1
+    assert all(math.isclose(own[u] + rest[u], total[u], rel_tol=1e-9) for u in own)
+
+
+def test_whole_restaurants_follow_their_joint_distribution():
+    """Two words in one restaurant, against all seatings; the strength is the one of the highest likelihood."""
+    rng, d, n = np.random.default_rng(1), 0.4, 20_000
+    counts, base = np.tile([4, 3, 1], n), np.tile([0.3, 0.2, 0.1], n)
+    of = np.repeat(np.arange(n), 3)
+    tables, s = lm_scoring.seat_restaurants(of, counts, base, d, rng, stirling(40, d))
+    assert s in lm_scoring.RARE_STRENGTHS
+    table = np.exp(stirling(6, d))
+    weight = np.array(
+        [
+            [table[4, t] * 0.3**t * table[3, u] * 0.2**u * np.prod([s + d * j for j in range(t + u + 1)]) for u in (1, 2, 3)]
+            for t in (1, 2, 3, 4)
+        ]
+    )
+    tables = tables.reshape(n, 3)
+    got = np.zeros((4, 3))
+    np.add.at(got, (tables[:, 0] - 1, tables[:, 1] - 1), 1 / n)
+    assert (tables[:, 2] == 1).all()
+    assert np.abs(got - weight / weight.sum()).max() < 0.04

@@ -19,10 +19,13 @@ its own per task attempt, and only names in the index table count: an attempt
 that was lost leaves nothing that is read. The folder is the shared one, by any
 scheme that ``pyarrow.fs`` knows.
 
-Ids come from the tokenizers library. What stands between single spaces is
-encoded once and remembered, as such a space always begins a pre-token. Texts
-with special strings or with runs of white space that hold a space go through
-the library whole.
+Ids come from the tokenizers library. Texts are cut, in numpy, where a
+pre-token surely starts: before single spaces, around single line feeds and
+before marks after letters. A piece is encoded once and remembered by two 64-bit
+hashes in sorted arrays, from which the ids of whole texts are gathered; the
+pieces not used for longest are forgotten. Texts with special strings, with other
+runs of white space at the end of a piece, or with pieces that only the second
+hash tells apart go through the library whole.
 
 Defined results: null and empty texts are just the end id. Documents of equal
 ``doc_id`` follow in the order of a hash of their text; a null ``doc_id`` comes
@@ -41,6 +44,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyarrow import fs
 from pyspark import TaskContext
@@ -48,7 +52,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docsink.llm.common import text_of, written
+from docsink.llm.common import mix64, text_of, written
 from docsink.llm.token_counts import byte_letters, default_vocabulary, read_vocabulary
 from docsink.plans.tables import work_dir
 
@@ -56,84 +60,219 @@ MAGIC = b"PLN1"
 BLOCK = 1 << 15
 END_ID = 0
 LEVEL = 3
-MAX_REMEMBERED = 300_000  # words, in each of two generations of a Python worker
-LEARN_WORDS = 4000
+MAX_REMEMBERED = 1_000_000  # pieces, by a Python worker
+MAX_POOL = 8_000_000  # ids of all of them
+LEARN_PIECES = 4000
+LONG = 64  # bytes of a piece, beyond which it is hashed by itself
 CHUNK_CHARS = 2_000_000
 
 _PACK = struct.Struct("<6Q")
+_KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first bytes of a word
 
 
 class IdEncoder:
-    """The library's ids of whole texts, as little-endian bytes."""
+    """The library's ids of whole texts, as little-endian bytes.
+
+    Pieces that were met are remembered in sorted arrays: two hashes of a piece
+    and where its ids lie in a pool. A piece without ids cannot be encoded apart.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         spec = read_vocabulary(path)
         self.whole = Tokenizer.from_file(path)
         self.special = [t["content"] for t in spec["added_tokens"]]
-        space = next(letter for letter, byte in byte_letters().items() if byte == ord(" "))
-        self.spaced = np.zeros(max(spec["model"]["vocab"].values()) + 1, bool)
-        self.spaced[[i for entry, i in spec["model"]["vocab"].items() if entry.startswith(space)]] = True
-        self.words: dict[str, bytes] = {}  # ids of a word with the space before it
-        self.older: dict[str, bytes] = {}
-        self.tails = {c: _bytes(self.whole.encode(c, add_special_tokens=False).ids) for c in ",."}
+        letter = {byte: letter for letter, byte in byte_letters().items()}
+        vocabulary = spec["model"]["vocab"]
+        self.begins = {}  # ids that begin with a space, with a line feed
+        for byte in b" \n":
+            self.begins[chr(byte)] = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.begins[chr(byte)][[i for entry, i in vocabulary.items() if entry.startswith(letter[byte])]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.at, self.sizes, self.used = (np.zeros(0, np.int64) for _ in range(3))
+        self.pool, self.calls = np.zeros(0, "<u4"), 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.words) > MAX_REMEMBERED:
-            self.older, self.words = self.words, {}
-        split = [[] if any(s in t for s in self.special) else t.split(" ") for t in texts]
-        new = set().union(*split).difference(self.words)
-        # Words that come again are taken over from the generation before.
-        again = new.intersection(self.older)
-        self.words.update(zip(again, map(self.older.__getitem__, again), strict=True))
-        self._learn(new.difference(again))
-        out, look = [], self.words.__getitem__
-        for text, words in zip(texts, split, strict=True):
-            ids = list(map(look, words))
-            # A special string, or a word that cannot be encoded apart.
-            if b"" in ids or not ids:
-                ids = [_bytes(self.whole.encode(text, add_special_tokens=False).ids)]
-            else:  # the first word has no space before it
-                ids[0] = _bytes(self.whole.encode(words[0], add_special_tokens=False).ids)
-            out.append(b"".join(ids))
+        packed = [t.encode() for t in texts]
+        data = b"".join(packed)
+        ends = np.cumsum([len(p) for p in packed], dtype=np.int64)
+        del packed
+        starts = _cuts(data, ends)
+        keys, checks = _hashes(data, starts)
+        order = np.argsort(keys)
+        new = np.ones(len(order), bool)
+        new[1:] = keys[order[1:]] != keys[order[:-1]]
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
+        first = order[new]
+        places = self._places(data, starts, keys, checks, first)
+        place = places[which]
+        sizes = self.sizes[place]
+        # Pieces of one key are one piece, unless the second hash tells them apart.
+        whole = (sizes == 0) | (self.checks[place] != checks)
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.pool[np.repeat(self.at[place] - before[:-1], sizes) + np.arange(before[-1])].tobytes()
+        bounds = np.searchsorted(starts, np.concatenate([[0], ends]))
+        bad = np.concatenate([[0], np.cumsum(whole)])[bounds]
+        out = []
+        for text, a, b, is_whole in zip(
+            texts, (4 * before[bounds[:-1]]).tolist(), (4 * before[bounds[1:]]).tolist(), (np.diff(bad) > 0).tolist(), strict=True
+        ):
+            if is_whole or any(s in text for s in self.special):
+                out.append(_bytes(self.whole.encode(text, add_special_tokens=False).ids))
+            else:
+                out.append(ids[a:b])
         return out
 
-    def _learn(self, new: set[str]) -> None:
-        """Encode words not met before, many in one text; ids that begin with the space tell where each begins.
-
-        What is empty or has white space at an end, so that a space beside it
-        is part of a run, cannot be encoded apart and gets no ids. A comma or
-        full stop after a letter is a pre-token of its own.
+    def _places(self, data: bytes, starts: np.ndarray, keys: np.ndarray, checks: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Where the pieces ``first``, sorted by key, are remembered; those not met before are learnt."""
+        self.calls += 1
+        if len(self.keys) > MAX_REMEMBERED or len(self.pool) > MAX_POOL:
+            self._keep(self.used > np.median(self.used))
+        found = np.searchsorted(self.keys, keys[first])
+        known = np.zeros(len(first), bool)
+        inside = found < len(self.keys)
+        known[inside] = self.keys[found[inside]] == keys[first[inside]]
+        fresh, at = first[~known], found[~known]
+        stops = np.append(starts[1:], len(data))
+        pieces = [data[a:b].decode() for a, b in zip(starts[fresh].tolist(), stops[fresh].tolist(), strict=True)]
+        pool, begins, sizes = self._learn(pieces)
+        self.keys = np.insert(self.keys, at, keys[fresh])
+        self.checks = np.insert(self.checks, at, checks[fresh])
+        self.at = np.insert(self.at, at, len(self.pool) + begins)
+        self.sizes = np.insert(self.sizes, at, sizes)
+        self.used = np.insert(self.used, at, self.calls)
+        self.pool = np.concatenate([self.pool, pool])
+        places = found + np.cumsum(~known) - ~known
+        self.used[places] = self.calls
+        return places
+
+    def _keep(self, kept: np.ndarray) -> None:
+        """Forget all other pieces."""
+        self.keys, self.checks, self.used = self.keys[kept], self.checks[kept], self.used[kept]
+        at, self.sizes = self.at[kept], self.sizes[kept]
+        self.at = np.cumsum(self.sizes) - self.sizes
+        self.pool = self.pool[np.repeat(at - self.at, self.sizes) + np.arange(self.sizes.sum())]
+
+    def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces, and where they begin for each piece and how many they are.
+
+        What is empty or has white space at an end, but for the one space
+        before it, cannot be encoded apart and gets no ids; a line feed alone
+        was cut out where it can be. Many pieces are encoded in one text, in
+        which ids that begin with what stands between them tell where each begins.
         """
-        known = self.words
-        words, tails = [], []
-        for w in new:
-            end = w[-1:]
-            if end in self.tails:
-                # ``known`` has what was learnt, ``words`` what is new.
-                (tails if w[-2:-1].isalpha() and not w[0].isspace() else words).append(w)
+        at, sizes = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        spaced, bare, alone = [], [], []
+        for i, piece in enumerate(pieces):
+            if piece[0] == " ":
+                if len(piece) > 1 and piece[1:].strip() == piece[1:]:
+                    spaced.append(i)
+            elif piece == "\n":
+                alone.append([i])
+            elif piece.strip() == piece:
+                if "\n" in piece:
+                    alone.append([i])
+                else:
+                    bare.append(i)
+        parts, held = [np.zeros(0, "<u4")], 0
+        for some in (*_slices(spaced), *_slices(bare), *alone):
+            texts = [pieces[i] for i in some]
+            mark = " " if texts[0][0] == " " else "\n"
+            if len(some) == 1:
+                found = self._ids(texts[0])
+                begins, skipped = np.zeros(1, np.int64), 0
             else:
-                words.append(w)
-        apart = [w for w in words if not w or w.strip() != w]
-        if apart:
-            known.update(dict.fromkeys(apart, b""))
-            words = [w for w in words if w not in known]
-        words += {w[:-1] for w in tails}.difference(known, words)
-        for start in range(0, len(words), LEARN_WORDS):
-            some = words[start : start + LEARN_WORDS]
-            ids = np.array(self.whole.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
-            at = 4 * np.flatnonzero(self.spaced[ids])
-            if len(at) != len(some):
-                raise ValueError("words and their ids do not agree")
-            ends = [*at[1:].tolist(), 4 * len(ids)]
-            known.update(zip(some, map(ids.tobytes().__getitem__, map(slice, at.tolist(), ends)), strict=True))
-        known.update((w, known[w[:-1]] + self.tails[w[-1]]) for w in tails)
+                found = self._ids("".join(texts) if mark == " " else "\n" + "\n".join(texts))
+                begins, skipped = np.flatnonzero(self.begins[mark][found]), int(mark == "\n")
+            if len(begins) != len(some):
+                raise ValueError("pieces and their ids do not agree")
+            at[some] = held + begins + skipped
+            sizes[some] = np.diff(np.append(begins, len(found))) - skipped
+            parts.append(found)
+            held += len(found)
+        return np.concatenate(parts), at, sizes
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+
+def _slices(places: list[int]) -> list[list[int]]:
+    return [places[start : start + LEARN_PIECES] for start in range(0, len(places), LEARN_PIECES)]
 
 
 def _bytes(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
+def _classes() -> np.ndarray:
+    """Of every byte: 1 is an ASCII letter or digit, 2 another visible ASCII character, 0 anything else."""
+    table = np.zeros(256, np.uint8)
+    table[33:127] = 2
+    for first, last in ("09", "AZ", "az"):
+        table[ord(first) : ord(last) + 1] = 1
+    return table
+
+
+_CLASSES = _classes()
+_MARKS = _CLASSES == 2
+_MARKS[ord("'")] = False  # may begin a pre-token with the letters after it
+
+
+def _cuts(data: bytes, ends: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts start: places at which a pre-token surely starts, if pieces have no white space at an end."""
+    found = np.frombuffer(data, np.uint8)
+    spaces = np.flatnonzero(found == 32)
+    marks = np.flatnonzero(_MARKS[found])
+    marks = marks[_is_letter(found, marks - 1)]
+    lines = np.flatnonzero(found == 10)
+    lines = lines[(lines > 0) & (lines < len(data) - 1)]
+    # Between what surely is no white space, a line feed is a pre-token.
+    lines = lines[(_CLASSES[found[lines - 1]] > 0) | _is_letter(found, lines - 1)]
+    after = found[lines + 1]
+    lines = lines[(_CLASSES[after] > 0) | ((after >= 0xC3) & (after <= 0xC9))]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[0] = True
+    for places in (spaces, marks, lines, lines + 1, ends):
+        cut[places] = True
+    cut[len(data)] = False
+    return np.flatnonzero(cut[: len(data)])
+
+
+def _is_letter(found: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether an ASCII letter or digit, or a letter from U+00C0 to U+024F, ends at a place."""
+    lead, last = found[np.maximum(at - 1, 0)], found[np.maximum(at, 0)]
+    two = (lead >= 0xC3) & (lead <= 0xC9) & (last >= 0x80) & ~((lead == 0xC3) & ((last == 0x97) | (last == 0xB7)))
+    return ((at >= 0) & (_CLASSES[last] == 1)) | ((at >= 1) & two)
+
+
+def _hashes(data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of every piece."""
+    words = np.frombuffer(data + bytes(24 - len(data) % 8), "<u8")
+    sizes = np.diff(np.append(starts, len(data)))
+    one = sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    two = ~one
+    at = np.flatnonzero(sizes <= LONG)
+    place, left = starts[at], sizes[at]
+    while len(at):
+        word, shift = place >> 3, ((place & 7) << 3).astype(np.uint64)
+        value = (words[word] >> shift) | ((words[word + 1] << np.uint64(1)) << (np.uint64(63) - shift))
+        value &= _KEPT[np.minimum(left, 8)]
+        mixed = (one[at] ^ value) * np.uint64(0xFF51AFD7ED558CCD)
+        one[at] = mixed ^ (mixed >> np.uint64(32))
+        mixed = (two[at] + value) * np.uint64(0xC4CEB9FE1A85EC53)
+        two[at] = mixed ^ (mixed >> np.uint64(29))
+        more = left > 8
+        at, place, left = at[more], place[more] + 8, left[more] - 8
+    for i in np.flatnonzero(sizes > LONG).tolist():
+        both = xxhash.xxh3_128_intdigest(data[starts[i] : starts[i] + sizes[i]])
+        one[i], two[i] = both >> 64, both & 0xFFFFFFFFFFFFFFFF
+    return mix64(one), two
+
+
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> IdEncoder:
     return IdEncoder(path)

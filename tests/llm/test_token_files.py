@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyarrow import BufferReader
 from tokenizers import Tokenizer
 
+from docsink.llm import token_files
 from docsink.llm.token_counts import default_vocabulary
 from docsink.llm.token_files import IdEncoder, ShardReader, ShardWriter, from_planes, read_token_files, to_planes, write_token_files
 from tests.llm.conftest import prose
@@ -24,6 +25,60 @@ def test_ids_are_the_librarys(texts):
         assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+class _Counting:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, whole):
+        self.whole, self.chars = whole, 0
+
+    def encode(self, text, **options):
+        self.chars += len(text)
+        return self.whole.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.chars += sum(map(len, texts))
+        return self.whole.encode_batch_fast(texts, **options)
+
+
+def test_a_word_is_encoded_once_whatever_stands_beside_it():
+    encoder, words = IdEncoder(PATH), sorted(set(prose(5, 4000).split()))
+    encoder.whole = _Counting(encoder.whole)
+    marks = ("", ",", ".", "%%%", "$$$", "&&&", "***", "###")
+    texts = [f"é {w}{mark}\né\né {w}{mark}" for w in words for mark in marks]
+    got = encoder.encode(texts)
+    assert encoder.whole.chars < 3 * sum(map(len, words))
+    for text, ids in zip(texts[::37], got[::37], strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    before = encoder.whole.chars
+    assert encoder.encode(texts) == got and encoder.whole.chars == before
+
+
+@pytest.mark.parametrize("limits", [{"MAX_REMEMBERED": 40}, {"MAX_POOL": 100}, {"LONG": 3}, {"LEARN_PIECES": 1}])
+def test_forgetting_and_long_pieces(monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(token_files, name, value)
+    encoder = IdEncoder(PATH)
+    for first in (0, 3, 0, 7, 3):
+        texts = [*(prose(first + i, 60) for i in range(4)), *ODD, "", "x" * 500, f"a\n{first}\nb"]
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_of_equal_hash_are_told_apart(monkeypatch):
+    hashes = token_files._hashes
+
+    def poor(data, starts):
+        one, two = hashes(data, starts)
+        return one % np.uint64(16), two
+
+    monkeypatch.setattr(token_files, "_hashes", poor)
+    encoder = IdEncoder(PATH)
+    for _ in range(2):
+        texts = [*(prose(i, 3) for i in range(30)), *ODD]
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("planes", [4, 32])
 @pytest.mark.parametrize("count", [1, 7, 8, 1000])
 def test_planes_round_trip(planes, count):

@@ -55,6 +55,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docsink.llm.common import text_of, written
+from docsink.llm.words import Words, split_words
 from docsink.plans.tables import work_dir
 
 HOT_WORDS = 1024
@@ -65,7 +66,8 @@ LEAST_PARTS = 24
 MOST_PARTS = 50_000
 HOT_PARTS = 16
 STRETCH_TOKENS = 1_500_000
-MAX_REMEMBERED = 300_000
+SLICE_BYTES = 2_000_000  # of texts cut into words together
+LONG = 128  # bytes of a word, beyond which it is hashed by itself
 EXACT = 40
 SWEEPS = 2  # between exchanges of totals
 EXCHANGES = 2
@@ -89,35 +91,40 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 1, F.lit(False))
 
 
-class _Ids(dict):
-    """Number of a word: its class in the high bits, a hash below."""
-
-    def __missing__(self, word: bytes) -> int:
-        number = ((zlib.crc32(word[-2:]) % CLASSES) << 58) | (xxhash.xxh64_intdigest(word) & _LOW)
-        if len(self) >= MAX_REMEMBERED:
-            self.clear()
-        self[word] = number
-        return number
-
-
-_IDS = _Ids()
-_END = _IDS[b" "]  # no word holds a space
+# Class of a word by its last two bytes, and of a word of one byte.
+_CLASS_OF_TWO = np.array([zlib.crc32(bytes([a, b])) % CLASSES for a in range(256) for b in range(256)], np.uint64)
+_CLASS_OF_ONE = np.array([zlib.crc32(bytes([b])) % CLASSES for b in range(256)], np.uint64)
+_END = _CLASS_OF_ONE[32] << np.uint64(58) | np.uint64(xxhash.xxh64_intdigest(b" ") & _LOW)  # no word holds a space
 
 
 def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of all tokens, an end after each text, and tokens per text."""
     numbers, sizes = [], []
-    words: list[bytes] = []
+    waiting, held = [], 0
     for text in texts:
-        found = text.encode("utf-8", "surrogatepass").lower().split()
-        words += found
-        words.append(b" ")
-        sizes.append(len(found) + 1)
-        if len(words) > 100_000:  # words take much more memory than numbers
-            numbers.append(np.fromiter(map(_IDS.__getitem__, words), np.uint64, len(words)))
-            words = []
-    numbers.append(np.fromiter(map(_IDS.__getitem__, words), np.uint64, len(words)))
-    return np.concatenate(numbers), np.array(sizes, np.int64)
+        waiting.append(text.encode("utf-8", "surrogatepass").lower())
+        held += len(waiting[-1])
+        if held > SLICE_BYTES:  # places of words take more memory than numbers
+            numbers, sizes = _numbered(waiting, numbers, sizes)
+            waiting, held = [], 0
+    numbers, sizes = _numbered(waiting, numbers, sizes)
+    return np.concatenate(numbers), np.concatenate(sizes)
+
+
+def _numbered(texts: list[bytes], numbers: list[np.ndarray], sizes: list[np.ndarray]) -> tuple[list, list]:
+    """With the tokens of some more texts. Number of a word: its class in the high bits, a hash below."""
+    words = split_words(texts)
+    length = words.end - words.start
+    low = np.empty(len(length), np.uint64)
+    short = length <= LONG
+    low[short] = Words(words.n, words.data, words.start[short], words.end[short], words.doc[short]).numbers()
+    for i in np.flatnonzero(~short).tolist():
+        low[i] = xxhash.xxh64_intdigest(words.data[words.start[i] : words.end[i]].tobytes())
+    last = words.data[words.end - 1].astype(np.int64)
+    of = np.where(length > 1, _CLASS_OF_TWO[256 * words.data[words.end - 2].astype(np.int64) + last], _CLASS_OF_ONE[last])
+    found = np.full(len(length) + len(texts), _END)
+    found[np.arange(len(length)) + words.doc] = of << np.uint64(58) | low & np.uint64(_LOW)
+    return [*numbers, found], [*sizes, np.bincount(words.doc, minlength=len(texts)) + 1]
 
 
 def _pack(array: np.ndarray) -> bytes:

@@ -171,3 +171,28 @@ def test_whole_restaurants_follow_their_joint_distribution():
     np.add.at(got, (tables[:, 0] - 1, tables[:, 1] - 1), 1 / n)
     assert (tables[:, 2] == 1).all()
     assert np.abs(got - weight / weight.sum()).max() < 0.04
+
+
+def test_tokens_are_numbered_together(monkeypatch):
+    """Short words take no call each, and are numbered as a plain loop would number them."""
+    asked = []
+
+    class Asked:
+        @staticmethod
+        def xxh64_intdigest(word):
+            asked.append(word)
+            return zlib.crc32(word)
+
+    monkeypatch.setattr(lm_scoring, "xxhash", Asked)
+    monkeypatch.setattr(lm_scoring, "SLICE_BYTES", 3000, raising=False)
+    long = "Lang" * 50
+    texts = [prose(i, 40) for i in range(60)] + ["", " ", "A\x0bb\ta\n", "x", f"{long} É é\xa0z {long.lower()}q {long}", "", "ﬀ\x1cß 😀"] + ["ends Here\r"]
+    tokens, sizes = lm_scoring._tokens(texts)
+    assert len(asked) <= 3 and all(len(word) >= 200 for word in asked)
+    want = [[*re.findall(rb"[^\x20\x09-\x0D]+", t.encode().lower()), b" "] for t in texts]
+    assert sizes.tolist() == [len(words) for words in want]
+    flat = [w for words in want for w in words]
+    assert lm_scoring._class_of(tokens).tolist() == [zlib.crc32(w[-2:]) % lm_scoring.CLASSES for w in flat]
+    assert len(set(zip(flat, tokens.tolist(), strict=True))) == len(set(flat)) == len(set(tokens.tolist()))
+    assert set(tokens[np.cumsum(sizes) - 1].tolist()) == {int(lm_scoring._END)}
+    assert all(len(x) == 0 for x in lm_scoring._tokens([]))

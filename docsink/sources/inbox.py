@@ -3,7 +3,8 @@
 Tasks write the changes they get, as they are, into files of their own; the
 commit lists the files of all tasks in one manifest, and only listed files
 count. So a task that failed, was tried again or ran twice leaves nothing, and
-neither does a job that was aborted. Handed-in changes wait in ``inbox/`` until
+neither does a job that was aborted, whose tasks may still run: they look for the
+mark of their job before they write and after. Handed-in changes wait in ``inbox/`` until
 ``DocumentSink.settle`` applies them: one commit is one batch of the collection,
 recognised by its name, so settling twice applies it once.
 
@@ -17,6 +18,7 @@ import json
 import time
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import asdict, dataclass
 
 import pyarrow as pa
@@ -32,6 +34,7 @@ from docsink.functions.names import quote
 
 FORMAT = "docsink"
 ROW = "row:"  # column with the place of a row in its task
+_WANTED = "_wanted"  # mark in a job's folder, removed first by an abort
 _ROW_GROUP = 1 << 17
 
 
@@ -70,6 +73,17 @@ class InboxWriter(DataSourceArrowWriter):
         self.inbox = f"{path}/inbox"
         self.folder = f"{self.inbox}/{uuid.uuid4().hex}"
         self.schema = schema.json()
+        system, folder = open_path(self.folder)
+        system.create_dir(folder, recursive=True)
+        with system.open_output_stream(f"{folder}/{_WANTED}"):
+            pass
+
+    def _refuse_if_unwanted(self) -> None:
+        """A task may outlive its job, which then has removed the mark first and what it found afterwards."""
+        system, folder = open_path(self.folder)
+        if system.get_file_info(f"{folder}/{_WANTED}").type == fs.FileType.NotFound:
+            _delete_folder(system, folder)
+            raise RuntimeError("the job of this task was aborted")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         system, folder = open_path(self.folder)
@@ -84,18 +98,27 @@ class InboxWriter(DataSourceArrowWriter):
                 place = pa.array(range(rows, rows + batch.num_rows), pa.int64())
                 table = pa.Table.from_batches([batch]).append_column(ROW, place)
                 if writer is None:
-                    system.create_dir(folder, recursive=True)
+                    self._refuse_if_unwanted()
                     writer = pq.ParquetWriter(f"{folder}/{name}", table.schema, filesystem=system, compression="zstd")
                 writer.write_table(table, row_group_size=_ROW_GROUP)
                 rows += batch.num_rows
-        finally:
             if writer is not None:
                 writer.close()
+                # Either the abort finds the file, or the task finds the mark removed.
+                self._refuse_if_unwanted()
+        except BaseException:
+            if writer is not None:
+                with suppress(Exception):
+                    writer.close()
+                with suppress(OSError):
+                    system.delete_file(f"{folder}/{name}")
+            raise
         return _Written(context.partitionId(), name if rows else None, rows)
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         written = sorted((m for m in messages if m is not None and m.file), key=lambda m: m.task)
         if not written:
+            self.abort(messages)
             return
         name = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
         commit = Commit(name, self.folder, self.schema, [m.file for m in written])
@@ -108,8 +131,20 @@ class InboxWriter(DataSourceArrowWriter):
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         system, folder = open_path(self.folder)
-        if system.get_file_info(folder).type != fs.FileType.NotFound:
+        with suppress(FileNotFoundError):
+            system.delete_file(f"{folder}/{_WANTED}")
+        _delete_folder(system, folder)
+
+
+def _delete_folder(system: fs.FileSystem, folder: str) -> None:
+    """Also while others delete it, or still write a file into it."""
+    for _ in range(20):
+        if system.get_file_info(folder).type == fs.FileType.NotFound:
+            return
+        with suppress(OSError):
             system.delete_dir(folder)
+    if system.get_file_info(folder).type != fs.FileType.NotFound:
+        system.delete_dir(folder)
 
 
 class DocsinkFormat(DataSource):

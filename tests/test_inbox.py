@@ -2,9 +2,11 @@
 
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docsink import DocumentSink, SinkOptions, register_format
 from docsink.sources import inbox
@@ -76,6 +78,33 @@ def test_a_failed_job_leaves_nothing(spark, sink, table):
     assert sink.settle() == 0 and files(sink) == []
 
 
+@pytest.mark.parametrize("aborted_after", [0, 1, 2])
+def test_a_task_that_outlives_its_job_leaves_nothing(tmp_path, monkeypatch, aborted_after):
+    class Context:
+        @staticmethod
+        def get():
+            return Context
+
+        @staticmethod
+        def partitionId():
+            return 0
+
+    monkeypatch.setattr(inbox, "TaskContext", Context)
+    writer = inbox.InboxWriter(f"{tmp_path}/users", T.StructType().add("id", T.IntegerType()))
+
+    def batches():
+        for i in range(3):
+            if i == aborted_after:
+                writer.abort([])
+            if i < 2:
+                yield pa.record_batch({"id": pa.array([i], pa.int32())})
+
+    with pytest.raises((RuntimeError, OSError)):
+        writer.write(batches())
+    assert [f for _, _, names in os.walk(tmp_path) for f in names] == []
+    assert os.listdir(f"{tmp_path}/users/inbox") == []
+
+
 def test_only_listed_files_count(spark, sink, table, tmp_path):
     """What an attempt wrote that lost against another is no part of the commit."""
     spark.sql(f"insert into {table} select 1, 0L, '+I', 1.0D")

@@ -23,9 +23,9 @@ Ids come from the tokenizers library. Texts are cut, in numpy, where a
 pre-token surely starts: before single spaces, around single line feeds and
 before marks after letters. A piece is encoded once and remembered by two 64-bit
 hashes in sorted arrays, from which the ids of whole texts are gathered; the
-pieces not used for longest are forgotten. Texts with special strings, with other
-runs of white space at the end of a piece, or with pieces that only the second
-hash tells apart go through the library whole.
+pieces not used for longest are forgotten. Texts with special strings, with white
+space at an end of a piece, or with pieces that only the second hash tells apart
+go through the library whole.
 
 Defined results: null and empty texts are just the end id. Documents of equal
 ``doc_id`` follow in the order of a hash of their text; a null ``doc_id`` comes
@@ -63,6 +63,7 @@ LEVEL = 3
 MAX_REMEMBERED = 1_000_000  # pieces, by a Python worker
 MAX_POOL = 8_000_000  # ids of all of them
 LEARN_PIECES = 4000
+BLOCK_PIECES = 500_000  # looked up together
 LONG = 64  # bytes of a piece, beyond which it is hashed by itself
 CHUNK_CHARS = 2_000_000
 
@@ -100,21 +101,15 @@ class IdEncoder:
         data = b"".join(packed)
         ends = np.cumsum([len(p) for p in packed], dtype=np.int64)
         del packed
-        starts = _cuts(data, ends)
-        keys, checks = _hashes(data, starts)
-        order = np.argsort(keys)
-        new = np.ones(len(order), bool)
-        new[1:] = keys[order[1:]] != keys[order[:-1]]
-        which = np.empty(len(order), np.int64)
-        which[order] = np.cumsum(new) - 1
-        first = order[new]
-        places = self._places(data, starts, keys, checks, first)
-        place = places[which]
-        sizes = self.sizes[place]
-        # Pieces of one key are one piece, unless the second hash tells them apart.
-        whole = (sizes == 0) | (self.checks[place] != checks)
+        starts = np.append(_cuts(data, ends), len(data))
+        blocks = [(np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, bool))]
+        for first in range(0, len(starts) - 1, BLOCK_PIECES):
+            block = starts[first : first + BLOCK_PIECES + 1]
+            blocks.append(self._encode_pieces(data[block[0] : block[-1]], block[:-1] - block[0]))
+        found, sizes, whole = (np.concatenate(column) for column in zip(*blocks, strict=True))
+        del blocks
+        ids = found.tobytes()
         before = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self.pool[np.repeat(self.at[place] - before[:-1], sizes) + np.arange(before[-1])].tobytes()
         bounds = np.searchsorted(starts, np.concatenate([[0], ends]))
         bad = np.concatenate([[0], np.cumsum(whole)])[bounds]
         out = []
@@ -127,6 +122,21 @@ class IdEncoder:
                 out.append(ids[a:b])
         return out
 
+    def _encode_pieces(self, data: bytes, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces, how many each has, and which can only be encoded with the text around them."""
+        keys, checks = _hashes(data, starts)
+        order = np.argsort(keys)
+        new = np.ones(len(order), bool)
+        new[1:] = keys[order[1:]] != keys[order[:-1]]
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
+        place = self._places(data, starts, keys, checks, order[new])[which]
+        sizes = self.sizes[place]
+        skipped = self.at[place] - (np.cumsum(sizes) - sizes)
+        ids = self.pool[np.repeat(skipped, sizes) + np.arange(sizes.sum())]
+        # Pieces of one key are one piece, unless the second hash tells them apart.
+        return ids, sizes, (sizes == 0) | (self.checks[place] != checks)
+
     def _places(self, data: bytes, starts: np.ndarray, keys: np.ndarray, checks: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Where the pieces ``first``, sorted by key, are remembered; those not met before are learnt."""
         self.calls += 1

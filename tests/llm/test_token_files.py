@@ -53,7 +53,7 @@ def test_a_word_is_encoded_once_whatever_stands_beside_it():
     assert encoder.encode(texts) == got and encoder.whole.chars == before
 
 
-@pytest.mark.parametrize("limits", [{"MAX_REMEMBERED": 40}, {"MAX_POOL": 100}, {"LONG": 3}, {"LEARN_PIECES": 1}])
+@pytest.mark.parametrize("limits", [{"MAX_REMEMBERED": 40}, {"MAX_POOL": 100}, {"LONG": 3}, {"LEARN_PIECES": 1}, {"BLOCK_PIECES": 7}])
 def test_forgetting_and_long_pieces(monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(token_files, name, value)

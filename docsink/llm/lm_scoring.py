@@ -67,6 +67,7 @@ MOST_PARTS = 50_000
 HOT_PARTS = 16
 STRETCH_TOKENS = 1_500_000
 SLICE_BYTES = 2_000_000  # of texts cut into words together
+BLOCK_WORDS = 500_000  # numbered together
 LONG = 128  # bytes of a word, beyond which it is hashed by itself
 EXACT = 40
 SWEEPS = 2  # between exchanges of totals
@@ -116,9 +117,10 @@ def _numbered(texts: list[bytes], numbers: list[np.ndarray], sizes: list[np.ndar
     words = split_words(texts)
     length = words.end - words.start
     low = np.empty(len(length), np.uint64)
-    short = length <= LONG
-    low[short] = Words(words.n, words.data, words.start[short], words.end[short], words.doc[short]).numbers()
-    for i in np.flatnonzero(~short).tolist():
+    for first in range(0, len(length), BLOCK_WORDS):
+        at = first + np.flatnonzero(length[first : first + BLOCK_WORDS] <= LONG)
+        low[at] = Words(words.n, words.data, words.start[at], words.end[at], words.doc[at]).numbers()
+    for i in np.flatnonzero(length > LONG).tolist():
         low[i] = xxhash.xxh64_intdigest(words.data[words.start[i] : words.end[i]].tobytes())
     last = words.data[words.end - 1].astype(np.int64)
     of = np.where(length > 1, _CLASS_OF_TWO[256 * words.data[words.end - 2].astype(np.int64) + last], _CLASS_OF_ONE[last])

@@ -185,6 +185,7 @@ def test_tokens_are_numbered_together(monkeypatch):
 
     monkeypatch.setattr(lm_scoring, "xxhash", Asked)
     monkeypatch.setattr(lm_scoring, "SLICE_BYTES", 3000, raising=False)
+    monkeypatch.setattr(lm_scoring, "BLOCK_WORDS", 70, raising=False)
     long = "Lang" * 50
     texts = [prose(i, 40) for i in range(60)] + ["", " ", "A\x0bb\ta\n", "x", f"{long} É é\xa0z {long.lower()}q {long}", "", "ﬀ\x1cß 😀"] + ["ends Here\r"]
     tokens, sizes = lm_scoring._tokens(texts)
